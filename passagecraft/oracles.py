@@ -1,0 +1,379 @@
+"""SQL for DuckDB that must give the same rows as each query of the registry.
+
+Written apart from the operators: relational SQL over whole tables, with none of
+their shortcuts.
+"""
+
+from __future__ import annotations
+
+SIZE, OVERLAP, SENTENCE_SIZE, DIM = 120, 20, 400, 256
+K, DEPTH = 10, 50
+
+
+def tok(x: str) -> str:
+    return rf"list_filter(string_split_regex(lower({x}), '[^\p{{L}}\p{{N}}]+'), lambda t: t <> '')"
+
+
+def with_(ctes: list[str], select: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + select
+
+
+# --- pages
+
+_MAIN = r"""CASE WHEN regexp_extract(html, '(?is)<article[^>]*>(.*?)(?:</article>|\z)', 1) <> ''
+  THEN regexp_extract(html, '(?is)<article[^>]*>(.*?)(?:</article>|\z)', 1)
+  ELSE regexp_extract(html, '(?is)<body[^>]*>(.*?)(?:</body>|\z)', 1) END"""
+
+
+def _strip(x: str) -> str:
+    for pattern in ["<!--.*?-->", "<script[^>]*>.*?</script>", "<style[^>]*>.*?</style>", "<nav[^>]*>.*?</nav>",
+                    "<footer[^>]*>.*?</footer>", "<h1[^>]*>.*?</h1>"]:
+        x = f"regexp_replace({x}, '(?is){pattern}', ' ', 'g')"
+    block = r"(?i)</?(?:p|br|div|li|ul|ol|tr|table|h[1-6]|section|blockquote|pre)(?:\s[^>]*)?/?>"
+    x = f"regexp_replace({x}, '{block}', chr(10), 'g')"
+    x = f"regexp_replace({x}, '(?s)<[^>]*>', '', 'g')"
+    return x
+
+
+def _decode(x: str) -> str:
+    for name, sign in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
+                       ("&apos;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
+        x = f"replace({x}, '{name}', '{sign}')"
+    return x
+
+
+def _text() -> str:
+    x = _decode(_strip(_MAIN))
+    x = rf"regexp_replace({x}, '[ \t\r]+', ' ', 'g')"
+    x = rf"regexp_replace({x}, ' ?\n[ \n]*', chr(10), 'g')"
+    return rf"regexp_replace({x}, '^[ \n]+|[ \n]+$', '', 'g')"
+
+
+_LANG = r"""coalesce(nullif(lower(regexp_extract(html, '(?i)<html[^>]*\slang=["'']?([a-z]+)', 1)), ''), 'und')"""
+_HOST = r"lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)', 1))"
+PAGE_DOCS = (
+    f"page_docs AS (SELECT doc_id, text, lang, source, length(text)::BIGINT AS n_chars FROM "
+    f"(SELECT page_id AS doc_id, {_text()} AS text, {_LANG} AS lang, {_HOST} AS source FROM pages))"
+)
+
+
+def _profile(table: str) -> str:
+    return f"""SELECT lang, source, grouping(lang, source)::INT AS level, count(*) AS n_docs,
+  sum(n_chars)::BIGINT AS n_chars_total, sum(len({tok('text')}))::BIGINT AS n_words_total,
+  min(n_chars) AS chars_min, round(quantile_cont(n_chars, 0.5), 4) AS chars_p50,
+  round(quantile_cont(n_chars, 0.9), 4) AS chars_p90, max(n_chars) AS chars_max
+FROM {table} GROUP BY ROLLUP (lang, source)"""
+
+
+# --- passages
+
+
+def passages(name: str, table: str, size: int = SIZE, overlap: int = OVERLAP, extra: str = "lang, source") -> str:
+    extra = f"{extra}, " if extra else ""
+    return rf"""{name} AS (
+  SELECT doc_id, (s // {size - overlap})::INT AS chunk_no, {extra}s::INT AS start,
+    array_to_string(w[s + 1 : s + {size}], ' ') AS chunk
+  FROM (SELECT *, unnest(range(0, greatest(len(w) - {overlap} - 1, 0) + 1, {size - overlap})) AS s
+    FROM (SELECT *, list_filter(string_split_regex(text, '[\s\p{{Z}}]+'), lambda t: t <> '') AS w FROM {table})
+    WHERE len(w) > 0))"""
+
+
+def sentence_passages(name: str, table: str, size: int = SENTENCE_SIZE, extra: str = "lang, source") -> str:
+    extra = f"{extra}, " if extra else ""
+    return rf"""{name}_s AS (
+  SELECT doc_id, {extra}list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(text,
+    '([.!?])[\s\p{{Z}}]+', '\1' || chr(10), 'g'), '([。！？])', '\1' || chr(10), 'g'), '\n+'),
+    lambda s: trim(s, ' ')), lambda s: s <> '') AS s FROM {table}),
+{name}_f AS (
+  SELECT doc_id, {extra}list_reduce(list_transform(s, lambda x: {{'open': x, 'done': []::VARCHAR[]}}),
+    lambda a, x: CASE WHEN length(a.open || ' ' || x.open) <= {size}
+      THEN {{'open': a.open || ' ' || x.open, 'done': a.done}}
+      ELSE {{'open': x.open, 'done': list_append(a.done, a.open)}} END) AS f
+  FROM {name}_s WHERE len(s) > 0),
+{name} AS (
+  SELECT doc_id, (i - 1)::INT AS chunk_no, {extra}c[i] AS chunk
+  FROM (SELECT *, unnest(range(1, len(c) + 1)) AS i FROM
+    (SELECT doc_id, {extra}list_append(f.done, f.open) AS c FROM {name}_f)))"""
+
+
+# --- ranking
+
+
+def bm25_ctes(p: str, chunks: str, asked: str, k: int, by: str = "", where: str = "true") -> list[str]:
+    g = f"{by}, " if by else ""
+    join = f"JOIN {p}_tot USING ({by})" if by else f"CROSS JOIN {p}_tot"
+    return [
+        f"{p}_tok AS (SELECT *, {tok('chunk')} AS t FROM {chunks})",
+        f"""{p}_post AS (SELECT {g}doc_id, chunk_no, term, count(*) AS tf, any_value(n) AS n_words,
+  any_value(ok) AS ok FROM (SELECT {g}doc_id, chunk_no, unnest(t) AS term, len(t) AS n, {where} AS ok FROM {p}_tok)
+  GROUP BY {g}doc_id, chunk_no, term)""",
+        f"{p}_df AS (SELECT {g}term, count(*) AS df FROM {p}_post GROUP BY {g}term)",
+        f"{p}_tot AS (SELECT {g}count(*) AS n, sum(len(t)) AS words FROM {p}_tok WHERE len(t) > 0 "
+        + (f"GROUP BY {by})" if by else ")"),
+        f"""{p}_q AS (SELECT query_id, term, count(*) AS qtf FROM
+  (SELECT query_id, unnest({tok('question')}) AS term FROM {asked}) GROUP BY query_id, term)""",
+        f"""{p}_score AS (SELECT {g}query_id, doc_id, chunk_no, round(sum(
+  qtf * ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE
+  / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n_words / (words::DOUBLE / n)))), 6) AS score
+  FROM {p}_post JOIN {p}_q USING (term) JOIN {p}_df USING ({g}term) {join} WHERE ok
+  GROUP BY {g}query_id, doc_id, chunk_no)""",
+        f"""{p} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {g}query_id
+  ORDER BY score DESC, doc_id, chunk_no) AS rank FROM {p}_score) WHERE rank <= {k})""",
+    ]
+
+
+def hash_ctes(p: str, source: str, keys: str, text: str, idf: str | None = None) -> list[str]:
+    """Unit vectors as rows; ``idf`` names another prefix whose weights to use."""
+    w = idf or p
+    out = [
+        f"""{p}_tf AS (SELECT {keys}, b, count(*) AS tf FROM (SELECT {keys},
+  unnest(list_transform({tok(text)}, lambda t: ('0x' || substr(md5(t), 1, 7))::BIGINT % {DIM})) AS b FROM {source})
+  GROUP BY {keys}, b)""",
+    ]
+    if idf is None:
+        out += [
+            f"{p}_df AS (SELECT b, count(*) AS df FROM {p}_tf GROUP BY b)",
+            f"{p}_n AS (SELECT count(*) AS n FROM {source})",
+        ]
+    out += [
+        f"""{p}_raw AS (SELECT {keys}, b, tf * (ln((n + 1)::DOUBLE / (coalesce(df, 0) + 1)) + 1) AS x
+  FROM {p}_tf LEFT JOIN {w}_df USING (b) CROSS JOIN {w}_n)""",
+        f"{p} AS (SELECT {keys}, b, x / sqrt(sum(x * x) OVER (PARTITION BY {keys})) AS x FROM {p}_raw)",
+    ]
+    return out
+
+
+def near_ctes(k: int) -> list[str]:
+    return [
+        *hash_ctes("hv", "chunks", "doc_id, chunk_no", "chunk"),
+        *hash_ctes("hq", "asked", "query_id", "question", "hv"),
+        """near_score AS (SELECT query_id, doc_id, chunk_no, round(sum(hv.x * hq.x), 6) AS score
+  FROM hv JOIN hq USING (b) GROUP BY query_id, doc_id, chunk_no)""",
+        f"""near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id
+  ORDER BY score DESC, doc_id, chunk_no) AS rank FROM near_score) WHERE rank <= {k})""",
+    ]
+
+
+def best_ctes(p: str, hits: str, by: str = "") -> list[str]:
+    g = f"{by}, " if by else ""
+    return [
+        f"""{p}_b AS (SELECT * FROM (SELECT {g}query_id, doc_id, chunk_no, score, row_number() OVER
+  (PARTITION BY {g}query_id, doc_id ORDER BY score DESC, chunk_no) AS r FROM {hits}) WHERE r = 1)""",
+        f"""{p} AS (SELECT {g}query_id, doc_id, chunk_no, score, row_number() OVER
+  (PARTITION BY {g}query_id ORDER BY score DESC, doc_id) AS rank FROM {p}_b)""",
+    ]
+
+
+def vector_sql(score: str, where: str = "true") -> str:
+    return f"""WITH cells AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+means AS (SELECT label, pos, round(avg(x::DOUBLE), 6) AS x FROM cells GROUP BY label, pos),
+centroids AS (SELECT label::BIGINT AS query_id, list(x ORDER BY pos) AS q FROM means GROUP BY label),
+scored AS (SELECT query_id, vec_id, round({score}, 6) AS score FROM
+  (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE {where}), centroids)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= {K}"""
+
+
+COSINE = "list_cosine_similarity(v, q)"
+
+ASKED = "asked AS (SELECT item_id AS query_id, text AS question FROM benchmark)"
+CHUNKS = passages("chunks", "documents")
+QRELS = f"""qrels AS (SELECT DISTINCT i.query_id, d.doc_id, 1 AS rel FROM
+  (SELECT item_id AS query_id, ' ' || array_to_string({tok('text')}, ' ') || ' ' AS t FROM benchmark) i
+  JOIN (SELECT doc_id, ' ' || array_to_string({tok('text')}, ' ') || ' ' AS t FROM documents) d ON contains(d.t, i.t))"""
+JUDGED = "judged AS (SELECT query_id, count(*) AS n_rel FROM qrels GROUP BY query_id)"
+BASE = [ASKED, CHUNKS]
+RUN_A = [*bm25_ctes("lex", "chunks", "asked", DEPTH), *best_ctes("run_a", "lex")]
+RUN_B = [*near_ctes(DEPTH), *best_ctes("run_b", "near")]
+HITS = "SELECT query_id, doc_id, chunk_no, score, rank FROM"
+
+
+def recall_select(run: str, ks: list[int], by: str = "") -> str:
+    g = f"{by}, " if by else ""
+    return f"""SELECT {g}k::INT AS k, round(sum(h / n_rel) / any_value(nq), 6) AS recall,
+  round(sum(h / k) / any_value(nq), 6) AS precision,
+  round(sum(CASE WHEN h > 0 THEN 1.0::DOUBLE ELSE 0 END) / any_value(nq), 6) AS hit_rate, any_value(nq) AS n_queries
+FROM (SELECT {g}r.query_id, k, count(*) FILTER (WHERE rank <= k AND q.rel > 0)::DOUBLE AS h
+    FROM {run} r CROSS JOIN (SELECT unnest({ks}) AS k) LEFT JOIN qrels q
+    ON q.query_id = r.query_id AND q.doc_id = r.doc_id GROUP BY {g}r.query_id, k)
+  JOIN judged USING (query_id) CROSS JOIN (SELECT count(*) AS nq FROM judged) GROUP BY {g}k"""
+
+
+def ndcg_ctes(p: str, run: str) -> list[str]:
+    return [
+        f"""{p} AS (SELECT j.query_id, round(coalesce(got, 0) / ideal, 6) AS ndcg FROM
+  (SELECT query_id, sum(1 / log2(i + 1)) AS ideal FROM (SELECT query_id,
+     row_number() OVER (PARTITION BY query_id ORDER BY doc_id) AS i FROM qrels) WHERE i <= {K} GROUP BY query_id) j
+  LEFT JOIN (SELECT r.query_id, sum(1 / log2(rank + 1)) AS got FROM {run} r JOIN qrels q
+     ON q.query_id = r.query_id AND q.doc_id = r.doc_id WHERE rank <= {K} GROUP BY r.query_id) g USING (query_id))"""
+    ]
+
+
+# --- question sets
+
+QA = """qa AS (SELECT u.conv_id::VARCHAR AS title, a.text AS context, u.conv_id || '-' || u.turn AS id,
+  u.text AS question FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  WHERE u.role = 'user' AND a.role = 'assistant')"""
+GOLD = """gold AS (SELECT DISTINCT id, gold FROM
+  (SELECT id, unnest(string_split(context, chr(10))) AS gold FROM qa) WHERE gold <> '')"""
+REPLIES = "replies AS (SELECT conv_id * 1000000 + turn AS doc_id, text FROM conversations WHERE role = 'assistant')"
+QA_BASE = [
+    QA, GOLD, REPLIES, sentence_passages("reply_chunks", "replies", extra=""),
+    "qa_asked AS (SELECT id AS query_id, question FROM qa)",
+]
+ANSWERS = [
+    *QA_BASE, *bm25_ctes("qa_lex", "reply_chunks", "qa_asked", 1),
+    "pred AS (SELECT query_id AS id, chunk AS answer FROM qa_lex JOIN reply_chunks USING (doc_id, chunk_no))",
+]
+
+
+def norm(x: str, unit: str = "word") -> str:
+    gap = "" if unit == "char" else " "
+    return rf"trim(regexp_replace(regexp_replace(lower({x}), '[\p{{P}}\p{{S}}]+', '', 'g'), '[\s\p{{Z}}]+', '{gap}', 'g'), ' ')"
+
+
+def f1_sql(unit: str) -> str:
+    def cut(x):
+        if unit == "char":
+            return rf"regexp_extract_all(lower({norm(x, unit)}), '[^\s\p{{Z}}]', 0)"
+        return tok(norm(x, unit))
+
+    return with_(
+        [
+            *ANSWERS,
+            "pairs AS (SELECT row_number() OVER () AS pair, id, answer, gold FROM pred JOIN gold USING (id))",
+            f"pt AS (SELECT pair, id, {cut('answer')} AS a, {cut('gold')} AS g FROM pairs)",
+            "ac AS (SELECT pair, x, count(*) AS n FROM (SELECT pair, unnest(a) AS x FROM pt) GROUP BY pair, x)",
+            "gc AS (SELECT pair, x, count(*) AS n FROM (SELECT pair, unnest(g) AS x FROM pt) GROUP BY pair, x)",
+            "shared AS (SELECT pair, sum(least(ac.n, gc.n)) AS s FROM ac JOIN gc USING (pair, x) GROUP BY pair)",
+        ],
+        """SELECT id, round(max(CASE WHEN len(a) + len(g) = 0 THEN 1.0::DOUBLE
+  ELSE 2.0::DOUBLE * coalesce(s, 0) / (len(a) + len(g)) END), 6) AS f1
+FROM pt LEFT JOIN shared USING (pair) GROUP BY id""",
+    )
+
+
+_POISSON = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676]
+_WEIGHT = " + ".join(f"(u >= {p}::DOUBLE)::INT" for p in _POISSON)
+
+_REFRESHED = f"""fresh AS (SELECT d.doc_id, CASE WHEN toxic = 1 THEN text || ' revised' ELSE text END AS text
+  FROM documents d LEFT JOIN labels l USING (doc_id) WHERE quality IS NULL OR quality = 1
+  UNION ALL SELECT -1 - doc_id, text FROM page_docs)"""
+
+_CONTEXT = """ctx_w AS (SELECT query_id, doc_id, n AS chunk_no, min(rank) AS rank FROM
+  (SELECT query_id, doc_id, rank, unnest(range(chunk_no - {w}, chunk_no + {w} + 1)) AS n FROM {hits}) GROUP BY ALL),
+ctx_h AS (SELECT w.*, c.chunk FROM ctx_w w JOIN {chunks} c ON c.doc_id = w.doc_id AND c.chunk_no = w.chunk_no),
+ctx_u AS (SELECT *, sum(length(chunk) + 2) OVER (PARTITION BY query_id ORDER BY rank, doc_id, chunk_no
+  ROWS UNBOUNDED PRECEDING) - 2 AS used FROM ctx_h),
+ctx AS (SELECT query_id, count(*) AS n_passages, max(used)::BIGINT AS n_chars,
+  string_agg(chunk, chr(10) || chr(10) ORDER BY rank, doc_id, chunk_no) AS context
+  FROM ctx_u WHERE used <= 2000 GROUP BY query_id)"""
+
+
+def _sweep() -> str:
+    parts, names = [], []
+    for size, overlap in [(60, 0), (120, 20), (240, 40)]:
+        name = f"c{size}"
+        parts.append(passages(name, "documents", size, overlap, ""))
+        names.append(f"SELECT doc_id, chunk_no, chunk, {size} AS size, {overlap} AS overlap FROM {name}")
+    by = "size, overlap"
+    return with_(
+        [ASKED, *parts, f"all_chunks AS ({' UNION ALL '.join(names)})",
+         *bm25_ctes("lex", "all_chunks", "asked", DEPTH, by), *best_ctes("run_s", "lex", by), QRELS, JUDGED],
+        recall_select("run_s", [1, 10], by),
+    )
+
+
+ORACLES: dict[str, str] = {
+    "read_pages": "SELECT page_id, url, html FROM pages",
+    "extract_text": with_([PAGE_DOCS], "SELECT doc_id AS page_id, url, text FROM page_docs JOIN pages ON page_id = doc_id"),
+    "page_meta": rf"""SELECT page_id, trim({_decode("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}) AS title,
+  {_LANG} AS lang, {_HOST} AS host FROM pages""",
+    "page_documents": with_([PAGE_DOCS], "SELECT * FROM page_docs"),
+    "page_profile": with_([PAGE_DOCS], _profile("page_docs")),
+    "corpus_profile": _profile("documents"),
+    "write_corpus": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "write_corpus_json": with_([PAGE_DOCS], "SELECT * FROM page_docs"),
+    "incremental_corpus": with_([PAGE_DOCS], "SELECT * FROM page_docs"),
+    "read_qa": with_([QA, GOLD], """SELECT title, context, id, question, gold, instr(context, gold)::BIGINT - 1 AS answer_start
+FROM qa JOIN gold USING (id)"""),
+    "chunk": with_([CHUNKS], "SELECT doc_id, chunk_no, lang, source, start, chunk FROM chunks"),
+    "chunk_chars": """SELECT doc_id, (s // 450)::INT AS chunk_no, lang, source, s::INT AS start, substr(text, s + 1, 500) AS chunk
+FROM (SELECT *, unnest(range(0, greatest(length(text) - 51, 0) + 1, 450)) AS s FROM documents WHERE length(text) > 0)""",
+    "chunk_sentences": with_([sentence_passages("sc", "documents")], "SELECT doc_id, chunk_no, lang, source, chunk FROM sc"),
+    "index_postings": with_([*BASE, *bm25_ctes("lex", "chunks", "asked", K)],
+                            "SELECT doc_id, chunk_no, term, tf, n_words FROM lex_post"),
+    "index_terms": with_([*BASE, *bm25_ctes("lex", "chunks", "asked", K)], "SELECT term, df FROM lex_df"),
+    "index_changes": with_([PAGE_DOCS, _REFRESHED], """SELECT doc_id, CASE WHEN d.text IS NULL THEN 'new'
+  WHEN f.text IS NULL THEN 'deleted' WHEN d.text <> f.text THEN 'changed' ELSE 'same' END AS status
+FROM documents d FULL OUTER JOIN fresh f USING (doc_id)"""),
+    "update_index": with_(
+        [PAGE_DOCS, _REFRESHED, passages("fc", "fresh", extra=""), ASKED, *bm25_ctes("lex", "fc", "asked", K)],
+        """SELECT term, df, n_postings, n_tokens FROM lex_df JOIN
+  (SELECT term, count(*) AS n_postings, sum(tf)::BIGINT AS n_tokens FROM lex_post GROUP BY term) USING (term)"""),
+    "bm25": with_([*BASE, *bm25_ctes("lex", "chunks", "asked", K)], f"{HITS} lex"),
+    "filtered_topk": with_([*BASE, *bm25_ctes("lex", "chunks", "asked", K, where="lang = 'en'")], f"{HITS} lex"),
+    "hash_embed": with_([*BASE, *hash_ctes("hv", "chunks", "doc_id, chunk_no", "chunk")],
+                        "SELECT doc_id, chunk_no, b::INT AS bucket, round(x, 6) AS weight FROM hv"),
+    "vector_topk_cosine": vector_sql(COSINE),
+    "vector_topk_dot": vector_sql("list_dot_product(v, q)"),
+    "vector_topk_l2": vector_sql("-list_distance(v, q)"),
+    "vector_filtered": vector_sql(COSINE, "label >= 5"),
+    "vector_passages": with_([*BASE, *near_ctes(K)], f"{HITS} near"),
+    "ivf_topk_all_cells": vector_sql(COSINE),
+    "rrf": with_(
+        [*BASE, *bm25_ctes("lex", "chunks", "asked", DEPTH), *near_ctes(DEPTH),
+         "pooled AS (SELECT query_id, doc_id, chunk_no, rank FROM lex UNION ALL SELECT query_id, doc_id, chunk_no, rank FROM near)",
+         "fused AS (SELECT query_id, doc_id, chunk_no, round(sum(1 / (60 + rank)::DOUBLE), 9) AS score FROM pooled GROUP BY ALL)"],
+        f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_no) AS rank
+FROM fused) WHERE rank <= {K}"""),
+    "expand": with_([*BASE, *bm25_ctes("lex", "chunks", "asked", K), _CONTEXT.format(w=1, hits="lex", chunks="chunks")],
+                    "SELECT query_id, doc_id, chunk_no, rank, chunk FROM ctx_h"),
+    "best_per_doc": with_([*BASE, *RUN_A], f"{HITS} run_a"),
+    "context": with_([*BASE, *bm25_ctes("lex", "chunks", "asked", K), _CONTEXT.format(w=1, hits="lex", chunks="chunks")],
+                     "SELECT * FROM ctx"),
+    "qrels": with_([QRELS], "SELECT * FROM qrels"),
+    "recall_at": with_([*BASE, *RUN_A, QRELS, JUDGED], recall_select("run_a", [1, 3, 5, 10])),
+    "mrr": with_([*BASE, *RUN_A, QRELS, JUDGED], """SELECT round(coalesce(sum(1 / r::DOUBLE), 0) / any_value(nq), 6) AS mrr,
+  any_value(nq) AS n_queries FROM (SELECT count(*) AS nq FROM judged) LEFT JOIN
+  (SELECT a.query_id, min(rank) AS r FROM run_a a JOIN qrels q ON q.query_id = a.query_id AND q.doc_id = a.doc_id
+   GROUP BY a.query_id) ON true"""),
+    "ndcg": with_([*BASE, *RUN_B, QRELS, *ndcg_ctes("nd", "run_b")],
+                  f"SELECT {K} AS k, round(avg(ndcg), 6) AS ndcg, count(*) AS n_queries FROM nd"),
+    "metric_report": with_(
+        [*BASE, *RUN_B, QRELS, JUDGED, *ndcg_ctes("nd", "run_b"),
+         f"""pq AS (SELECT query_id, round(coalesce(h, 0) / n_rel::DOUBLE, 6) AS recall,
+  round(coalesce(1 / r::DOUBLE, 0), 6) AS rr, ndcg FROM judged JOIN nd USING (query_id) LEFT JOIN
+  (SELECT b.query_id, count(*) FILTER (WHERE rank <= {K}) AS h, min(rank) AS r FROM run_b b JOIN qrels q
+   ON q.query_id = b.query_id AND q.doc_id = b.doc_id GROUP BY b.query_id) USING (query_id))""",
+         """sliced AS (SELECT pq.*, lang, source FROM pq JOIN (SELECT query_id, min(doc_id) AS doc_id FROM qrels
+  GROUP BY query_id) USING (query_id) JOIN documents USING (doc_id))""",
+         """cubed AS (SELECT CASE WHEN grouping(lang) = 1 THEN 'all' ELSE lang END AS lang,
+  CASE WHEN grouping(source) = 1 THEN 'all' ELSE source END AS source, round(avg(recall), 6) AS recall,
+  round(avg(rr), 6) AS rr, round(avg(ndcg), 6) AS ndcg, count(*) AS n FROM sliced GROUP BY CUBE (lang, source))"""],
+        """SELECT lang, source, 'recall' AS metric, recall AS value, n FROM cubed
+UNION ALL SELECT lang, source, 'rr', rr, n FROM cubed UNION ALL SELECT lang, source, 'ndcg', ndcg, n FROM cubed"""),
+    "compare_systems": with_(
+        [*BASE, *RUN_A, *RUN_B, QRELS, *ndcg_ctes("na", "run_a"), *ndcg_ctes("nb", "run_b"),
+         "delta AS (SELECT query_id, round(coalesce(na.ndcg, 0) - coalesce(nb.ndcg, 0), 6) AS d FROM nb FULL OUTER JOIN na USING (query_id))",
+         """drawn AS (SELECT r, d, ('0x' || substr(md5(query_id || '-' || r), 1, 7))::BIGINT / 268435456.0::DOUBLE AS u
+  FROM delta CROSS JOIN (SELECT unnest(range(0, 200)) AS r))""",
+         f"""means AS (SELECT r, round(sum(w * d) / nullif(sum(w), 0), 9) AS m FROM (SELECT r, d, {_WEIGHT} AS w FROM drawn) GROUP BY r)"""],
+        """SELECT count(*) AS n_queries, round(avg(d), 6) AS mean_delta, count(*) FILTER (WHERE d > 0) AS wins,
+  count(*) FILTER (WHERE d = 0) AS ties, count(*) FILTER (WHERE d < 0) AS losses,
+  (SELECT round(quantile_cont(m, 0.025), 6) FROM means) AS low, (SELECT round(quantile_cont(m, 0.975), 6) FROM means) AS high
+FROM delta"""),
+    "sweep": _sweep(),
+    "rank_diff": with_([*BASE, *RUN_A, *RUN_B], f"""SELECT query_id, doc_id, a.rank AS rank_a, b.rank AS rank_b,
+  CASE WHEN b.rank IS NULL THEN 'only_a' WHEN a.rank IS NULL THEN 'only_b' ELSE 'both' END AS found
+FROM (SELECT * FROM run_a WHERE rank <= {K}) a FULL OUTER JOIN (SELECT * FROM run_b WHERE rank <= {K}) b USING (query_id, doc_id)"""),
+    "exact_match": with_(ANSWERS, f"""SELECT id, max(CASE WHEN {norm('answer')} = {norm('gold')} THEN 1 ELSE 0 END) AS em
+FROM pred JOIN gold USING (id) GROUP BY id"""),
+    "answer_f1": f1_sql("word"),
+    "answer_f1_chars": f1_sql("char"),
+    "support": with_(
+        [*QA_BASE, *bm25_ctes("qa_lex", "reply_chunks", "qa_asked", 5), _CONTEXT.format(w=0, hits="qa_lex", chunks="reply_chunks")],
+        f"""SELECT id, round(CASE WHEN len(p) = 0 THEN 0.0::DOUBLE ELSE len(list_intersect(p, c)) / len(p)::DOUBLE END, 6) AS support
+FROM (SELECT qa.id, list_distinct({tok('qa.context')}) AS p, list_distinct({tok("coalesce(ctx.context, '')")}) AS c
+  FROM qa LEFT JOIN ctx ON ctx.query_id = qa.id)"""),
+}
