@@ -101,6 +101,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For results that several later steps read: each step then scans the columns it
+    needs instead of computing everything again, and losing an executor loses no work.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tasks(spark: SparkSession) -> int:
+    """Tasks for a shuffle whose rows expand afterwards; its bytes say too little to coalesce by."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def top_k(df: DataFrame, group: list[str], k: int, ties: list[str]) -> DataFrame:
     """Highest ``score`` first within ``group``; ``ties`` decide equal scores.
 

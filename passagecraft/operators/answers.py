@@ -1,4 +1,7 @@
-"""Answer metrics. ``pred``: id, answer, one row per id; ``gold``: id, gold, any number per id."""
+"""Answer metrics. ``pred``: id, answer, one row per id; ``gold``: id, gold, any number per id.
+
+A question without a prediction scores zero.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +11,17 @@ from passagecraft.functions.sizing import split_join
 from passagecraft.functions.text import normal_answer, numbered, tokens, with_runs
 
 
+def _scored(gold: DataFrame, best: DataFrame) -> DataFrame:
+    """A score for every question, best answer or none."""
+    return gold.select("id").distinct().join(best, "id", "left").fillna(0, [best.columns[1]])
+
+
 def exact_match(pred: DataFrame, gold: DataFrame, unit: str = "word") -> DataFrame:
     """1 where the normalised answer equals any accepted one."""
     right = gold.select("id", normal_answer("gold", unit).alias("_g"))
     left = pred.select("id", normal_answer("answer", unit).alias("_p"))
     both = split_join(right, left, ["id"], ["_g"])
-    return both.groupBy("id").agg(F.max(F.when(F.col("_p") == F.col("_g"), 1).otherwise(0)).alias("em"))
+    return _scored(gold, both.groupBy("id").agg(F.max(F.when(F.col("_p") == F.col("_g"), 1).otherwise(0)).alias("em")))
 
 
 def _numbered_tokens(df: DataFrame, text: str, out: str, unit: str) -> DataFrame:
@@ -34,7 +42,7 @@ def answer_f1(pred: DataFrame, gold: DataFrame, unit: str = "word") -> DataFrame
     shared = F.size(F.array_intersect("_p", "_g"))
     total = F.size("_p") + F.size("_g")
     f1 = F.when(total == 0, 1.0).otherwise(2 * shared / total)
-    return both.groupBy("id").agg(F.round(F.max(f1), 6).alias("f1"))
+    return _scored(gold, both.groupBy("id").agg(F.round(F.max(f1), 6).alias("f1")))
 
 
 def support(pred: DataFrame, contexts: DataFrame, unit: str = "word") -> DataFrame:

@@ -46,7 +46,7 @@ def compare(a: DataFrame, b: DataFrame, replicates: int = 200, level: float = 0.
     weight = reduce(lambda w, p: w + F.when(u >= p, 1).otherwise(0), POISSON, F.lit(0))
     means = (
         drawn.select("r", "d", weight.alias("w")).groupBy("r")
-        .agg(F.round(F.sum(F.col("w") * F.col("d")) / F.sum("w"), 9).alias("m"))
+        .agg(F.round(F.try_divide(F.sum(F.col("w") * F.col("d")), F.sum("w")), 9).alias("m"))
         .filter("m is not null")
     )
     tail = (1 - level) / 2

@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
 from passagecraft.functions.kernel import Best, matrix
-from passagecraft.functions.sizing import fits_broadcast, top_k
+from passagecraft.functions.sizing import fits_broadcast, stage, top_k
 from passagecraft.functions.text import hash28, tokens, unnest, with_runs
 
 BLOCK_ROWS = 100_000
@@ -23,7 +23,7 @@ def bucket_counts(texts: DataFrame, keys: list[str], text: str, dim: int, unit:
     hashed = cut.select(
         *keys, F.transform("_tokens", lambda t: F.pmod(hash28(t), F.lit(dim)).cast("int")).alias("_buckets")
     )
-    return with_runs(hashed, "_buckets", "_runs").drop("_buckets")
+    return with_runs(hashed, "_buckets", "_runs").select(*keys, "_runs")
 
 
 def bucket_idf(counts: DataFrame, dim: int) -> DataFrame:
@@ -65,7 +65,7 @@ def hash_embed(
     Weights belong to buckets, not to terms, so what has to be known everywhere
     is ``dim`` numbers however large the vocabulary is; passages are not shuffled.
     """
-    counts = bucket_counts(chunks, list(keys), "chunk", dim, unit)
+    counts = stage(bucket_counts(chunks, list(keys), "chunk", dim, unit), "buckets")
     idf = bucket_idf(counts, dim)
     asked = None
     if queries is not None:

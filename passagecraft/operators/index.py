@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from passagecraft.functions.sizing import stage, tasks
 from passagecraft.functions.text import tokens, unnest, with_runs
 
 PASSAGE = ["doc_id", "chunk_no"]
@@ -13,13 +14,35 @@ PASSAGE = ["doc_id", "chunk_no"]
 
 @dataclass
 class Index:
-    """postings: by, doc_id, chunk_no, term, tf, n_words and kept columns, a row per passage and term.
-    terms: by, term, df. totals: by, n_chunks, n_words."""
+    """A passage-wise inverted index.
 
-    postings: DataFrame
+    passages: by, doc_id, chunk_no, kept columns, n_words and ``runs``, the
+    passage's distinct terms with their counts. terms: by, term, df. totals: by,
+    n_chunks, n_words. ``placed`` says that equal passages already share a task.
+    """
+
+    passages: DataFrame
     terms: DataFrame
     totals: DataFrame
     by: tuple[str, ...] = ()
+    placed: bool = False
+
+    def postings(self) -> DataFrame:
+        """One row per passage and term: by, doc_id, chunk_no, kept columns, n_words, term, tf."""
+        held = [c for c in self.passages.columns if c != "runs"]
+        rows = unnest(self.passages, held, "runs", "_r")
+        return rows.select(*held, F.col("_r.item").alias("term"), F.col("_r.n").alias("tf"))
+
+    def scoring_postings(self) -> DataFrame:
+        """Postings with each passage in one task, so that its scores need no shuffle.
+
+        What is shuffled is one compact row per passage; a saved index is not shuffled at all.
+        """
+        if self.placed:
+            return self.postings()
+        spark = self.passages.sparkSession
+        moved = self.passages.repartition(tasks(spark), *self.by, *PASSAGE)
+        return replace(self, passages=moved, placed=True).postings()
 
 
 def build_index(
@@ -27,46 +50,47 @@ def build_index(
 ) -> Index:
     """Index passages. ``by`` keeps separate statistics for variants of a corpus.
 
-    The one shuffle of passages, on their key, serves both outputs: the passages
-    of a query's candidates stay in one task, so scoring needs no other, and
-    partial counts per term are taken before terms are shuffled.
+    Text is cut once, without a shuffle, and the result staged; counts per term
+    are partly summed before terms are shuffled.
     """
     cut = chunks.select(*by, *PASSAGE, *keep, tokens("chunk", unit).alias("_tokens"))
-    placed = cut.repartition(*by, *PASSAGE)
-    runs = with_runs(placed, "_tokens", "_runs").withColumn("n_words", F.size("_tokens"))
-    postings = unnest(runs, [*by, *PASSAGE, *keep, "n_words"], "_runs", "_r").select(
-        *by, *PASSAGE, *keep, F.col("_r.item").alias("term"), F.col("_r.n").alias("tf"), "n_words"
+    runs = with_runs(cut, "_tokens", "runs")
+    passages = stage(runs.select(*by, *PASSAGE, *keep, F.size("_tokens").alias("n_words"), "runs"), "index")
+    return _counted(passages, by)
+
+
+def _counted(passages: DataFrame, by: tuple[str, ...] = ()) -> Index:
+    index = Index(passages, None, None, by)
+    index.terms = document_frequency(index.postings(), by)
+    index.totals = passages.filter("n_words > 0").groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_chunks"), F.coalesce(F.sum("n_words"), F.lit(0)).alias("n_words")
     )
-    return Index(postings, document_frequency(postings, by), _totals(placed, by), by)
+    return index
 
 
 def document_frequency(postings: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return postings.groupBy(*by, "term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def _totals(placed: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    sized = placed.select(*by, F.size("_tokens").cast("long").alias("n")).filter("n > 0")
-    return sized.groupBy(*by).agg(F.count(F.lit(1)).alias("n_chunks"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_words"))
-
-
 def save_index(index: Index, path: str, name: str, buckets: int) -> None:
-    """Write an index as tables ``name``_postings, ``name``_terms and ``name``_totals.
+    """Write an index as tables ``name``_passages, ``name``_terms and ``name``_totals.
 
-    Postings are bucketed by passage: a query batch reads them and scores in
+    Passages are bucketed by their key: a query batch reads them and scores in
     place, shuffling only each task's best passages.
     """
+    key = [*index.by, *PASSAGE]
     (
-        index.postings.write.bucketBy(buckets, *index.by, *PASSAGE)
-        .sortBy("term")
-        .option("path", f"{path}/postings")
-        .saveAsTable(f"{name}_postings")
+        index.passages.repartition(buckets, *key)
+        .write.bucketBy(buckets, *key)
+        .option("path", f"{path}/passages")
+        .saveAsTable(f"{name}_passages")
     )
     index.terms.write.option("path", f"{path}/terms").saveAsTable(f"{name}_terms")
     index.totals.write.option("path", f"{path}/totals").saveAsTable(f"{name}_totals")
 
 
 def load_index(spark: SparkSession, name: str, by: tuple[str, ...] = ()) -> Index:
-    return Index(*(spark.table(f"{name}_{part}") for part in ("postings", "terms", "totals")), by)
+    return Index(*(spark.table(f"{name}_{part}") for part in ("passages", "terms", "totals")), by, placed=True)
 
 
 def changes(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -93,19 +117,17 @@ def update_index(index: Index, changed: DataFrame, new_chunks: DataFrame, unit:
     out_ids = changed.filter("status in ('deleted', 'changed')").select("doc_id")
     in_ids = changed.filter("status in ('new', 'changed')").select("doc_id")
     fresh = build_index(new_chunks.join(in_ids, "doc_id", "left_semi"), unit, keep)
-    gone = index.postings.join(out_ids, "doc_id", "left_semi")
-    kept = index.postings.join(out_ids, "doc_id", "left_anti")
-    lost = document_frequency(gone).select("term", (-F.col("df")).alias("df"))
+    gone = index.passages.join(out_ids, "doc_id", "left_semi")
+    kept = index.passages.join(out_ids, "doc_id", "left_anti")
+    lost = _counted(gone)
     terms = (
-        index.terms.unionByName(lost).unionByName(fresh.terms)
+        index.terms.unionByName(lost.terms.withColumn("df", -F.col("df"))).unionByName(fresh.terms)
         .groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0")
     )
-    gone_passages = gone.groupBy(*PASSAGE).agg(F.first("n_words").cast("long").alias("n"))
-    lost_totals = gone_passages.agg(
-        (-F.count(F.lit(1))).alias("n_chunks"), F.coalesce(-F.sum("n"), F.lit(0)).alias("n_words")
-    )
+    left = lost.totals.select((-F.col("n_chunks")).alias("n_chunks"), (-F.col("n_words")).alias("n_words"))
     totals = (
-        index.totals.unionByName(lost_totals).unionByName(fresh.totals)
+        index.totals.unionByName(left).unionByName(fresh.totals)
         .agg(F.sum("n_chunks").alias("n_chunks"), F.sum("n_words").alias("n_words"))
     )
-    return Index(kept.unionByName(fresh.postings), terms, totals)
+    columns = index.passages.columns
+    return Index(kept.select(columns).unionByName(fresh.passages), terms, totals)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from passagecraft.functions.sizing import fits_broadcast, split_join, top_k
@@ -28,7 +30,7 @@ def bm25(
 ) -> DataFrame:
     """Best k passages per query. ``where`` limits the passages ranked, not the statistics.
 
-    The filter stands on columns kept in the postings, so it reaches the scan.
+    The filter stands on columns kept in the index, so it reaches the scan.
     """
     by = list(index.by)
     asked = query_terms(queries, unit)
@@ -38,15 +40,16 @@ def bm25(
         known = known.join(F.broadcast(index.totals), by)
         n, words = F.col("n_chunks"), F.col("n_words")
     else:
-        n = index.totals.select("n_chunks").scalar()
-        words = index.totals.select("n_words").scalar()
+        both = index.totals.select(F.struct("n_chunks", "n_words")).scalar()
+        n, words = both["n_chunks"], both["n_words"]
     weights = known.select(
         *by, "query_id", "term",
         (F.col("qtf") * F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("_idf"),
         (words / n).alias("_mean"),
     )
-    postings = index.postings if where is None else index.postings.filter(where)
-    narrow = postings.select(*by, *PASSAGE, "term", "tf", "n_words")
+    if where is not None:
+        index = replace(index, passages=index.passages.filter(where))
+    narrow = index.scoring_postings().select(*by, *PASSAGE, "term", "tf", "n_words")
     keys = [*by, "term"]
     hits = narrow.join(F.broadcast(weights), keys) if small else split_join(narrow, weights, keys, PASSAGE)
     tf = F.col("tf")

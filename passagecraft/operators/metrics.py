@@ -56,7 +56,7 @@ def mrr(run: DataFrame, qrels: DataFrame) -> DataFrame:
     n = _judged(qrels).agg(F.count(F.lit(1))).scalar()
     first = _matched(run, qrels).filter("rel > 0").groupBy("query_id").agg(F.min("rank").alias("r"))
     total = first.agg(F.coalesce(F.sum(1 / F.col("r")), F.lit(0.0)).alias("s"))
-    return total.select(F.round(F.col("s") / n, 6).alias("mrr"), n.alias("n_queries"))
+    return total.select(F.round(F.try_divide(F.col("s"), n), 6).alias("mrr"), n.alias("n_queries"))
 
 
 def _gain(rel: str, rank: str):

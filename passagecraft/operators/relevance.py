@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from passagecraft.functions.sizing import match
+from passagecraft.functions.sizing import match, stage
 from passagecraft.functions.text import tokens, unnest
 
 
@@ -41,4 +41,4 @@ def qrels(items: DataFrame, docs: DataFrame, n: int = 8, unit: str = "word") ->
     long = found(cut_items.filter(F.size("_t") >= n), n)
     short = cut_items.filter((F.size("_t") < n) & (F.size("_t") > 0))
     pairs = long if short.isEmpty() else long.unionByName(found(short, 1))
-    return pairs.distinct().withColumn("rel", F.lit(1))
+    return stage(pairs.distinct().withColumn("rel", F.lit(1)), "qrels")

@@ -241,13 +241,13 @@ def f1_sql(unit: str) -> str:
     return with_(
         [
             *ANSWERS,
-            "pairs AS (SELECT row_number() OVER () AS pair, id, answer, gold FROM pred JOIN gold USING (id))",
+            "pairs AS (SELECT row_number() OVER () AS pair, id, answer, gold FROM gold LEFT JOIN pred USING (id))",
             f"pt AS (SELECT pair, id, {cut('answer')} AS a, {cut('gold')} AS g FROM pairs)",
             "ac AS (SELECT pair, x, count(*) AS n FROM (SELECT pair, unnest(a) AS x FROM pt) GROUP BY pair, x)",
             "gc AS (SELECT pair, x, count(*) AS n FROM (SELECT pair, unnest(g) AS x FROM pt) GROUP BY pair, x)",
             "shared AS (SELECT pair, sum(least(ac.n, gc.n)) AS s FROM ac JOIN gc USING (pair, x) GROUP BY pair)",
         ],
-        """SELECT id, round(max(CASE WHEN len(a) + len(g) = 0 THEN 1.0::DOUBLE
+        """SELECT id, round(max(CASE WHEN a IS NULL THEN 0 WHEN len(a) + len(g) = 0 THEN 1.0::DOUBLE
   ELSE 2.0::DOUBLE * coalesce(s, 0) / (len(a) + len(g)) END), 6) AS f1
 FROM pt LEFT JOIN shared USING (pair) GROUP BY id""",
     )
@@ -368,7 +368,7 @@ FROM delta"""),
   CASE WHEN b.rank IS NULL THEN 'only_a' WHEN a.rank IS NULL THEN 'only_b' ELSE 'both' END AS found
 FROM (SELECT * FROM run_a WHERE rank <= {K}) a FULL OUTER JOIN (SELECT * FROM run_b WHERE rank <= {K}) b USING (query_id, doc_id)"""),
     "exact_match": with_(ANSWERS, f"""SELECT id, max(CASE WHEN {norm('answer')} = {norm('gold')} THEN 1 ELSE 0 END) AS em
-FROM pred JOIN gold USING (id) GROUP BY id"""),
+FROM gold LEFT JOIN pred USING (id) GROUP BY id"""),
     "answer_f1": f1_sql("word"),
     "answer_f1_chars": f1_sql("char"),
     "support": with_(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from passagecraft.functions.sizing import stage
 from passagecraft.operators.chunk import chunk
 from passagecraft.operators.compare import report
 from passagecraft.operators.dense import hash_embed, vector_topk
@@ -32,7 +33,7 @@ def retrieve(
 
 def evaluate(hits: DataFrame, qrels: DataFrame, docs: DataFrame, k: int = 10) -> DataFrame:
     """Metrics of passage hits by language and source of the wanted document, with totals."""
-    scores = per_query(best_per_doc(hits), qrels, k)
+    scores = per_query(stage(best_per_doc(hits), "run"), qrels, k)
     wanted = qrels.groupBy("query_id").agg(F.min("doc_id").alias("doc_id"))
     sliced = scores.join(wanted, "query_id").join(docs.select("doc_id", "lang", "source"), "doc_id")
     return report(sliced, ["lang", "source"], ["recall", "rr", "ndcg"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from passagecraft.functions.sizing import scratch_path
+from passagecraft.functions.sizing import scratch_path, stage
 from passagecraft.operators import answers, chunk as chunks_, compare, dense, extract, index as index_, lexical
 from passagecraft.operators import metrics, profile, ranking, relevance
 from passagecraft.plans import corpus as corpus_plan, rag
@@ -56,11 +56,11 @@ def _near(spark, d, k=K):
 
 
 def _run_a(spark, d):
-    return ranking.best_per_doc(_bm25(spark, d, DEPTH))
+    return stage(ranking.best_per_doc(_bm25(spark, d, DEPTH)), "run")
 
 
 def _run_b(spark, d):
-    return ranking.best_per_doc(_near(spark, d, DEPTH))
+    return stage(ranking.best_per_doc(_near(spark, d, DEPTH)), "run")
 
 
 def _qrels(spark, d):
@@ -142,7 +142,7 @@ def chunk_sentences(spark, d):
 
 
 def index_postings(spark, d):
-    return index_.build_index(_chunks(spark, d)).postings
+    return index_.build_index(_chunks(spark, d)).postings()
 
 
 def index_terms(spark, d):
@@ -167,7 +167,7 @@ def update_index(spark, d):
     old, new = _docs(spark, d), _refreshed(spark, d)
     before = index_.build_index(chunks_.chunk(old, SIZE, OVERLAP))
     after = index_.update_index(before, index_.changes(old, new), chunks_.chunk(new, SIZE, OVERLAP))
-    held = after.postings.groupBy("term").agg(F.count(F.lit(1)).alias("n_postings"), F.sum("tf").alias("n_tokens"))
+    held = after.postings().groupBy("term").agg(F.count(F.lit(1)).alias("n_postings"), F.sum("tf").alias("n_tokens"))
     return after.terms.join(held, "term", "full_outer")
 
 
