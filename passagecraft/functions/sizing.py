@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+SMALL_INPUT_BYTES = 1024 * 1024 * 1024
 HOT_KEY_ROWS = 1_000_000
 HOT_KEY_LIMIT = 10_000
 
@@ -42,6 +44,11 @@ def fits_broadcast(df: DataFrame) -> bool:
     return measured_bytes(df) <= broadcast_bytes(df.sparkSession)
 
 
+def broadcast_if(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if its measured size allows."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
 def match(big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[str]) -> DataFrame:
     """Inner equi-join of a large table with one that is normally small.
 
@@ -83,12 +90,23 @@ def split_join(big: DataFrame, small: DataFrame, keys: list[str], spread_by: lis
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core work when there are fewer input files than cores.
+    """Give every core work when a small input lies in fewer files than there are cores.
 
-    Large tables lie in many files and come back unchanged, never shuffled here.
+    The size check lists files and opens none. Inputs above ``SMALL_INPUT_BYTES``
+    come back unchanged and are never shuffled here.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+    spark = df.sparkSession
+    cores, files = spark.sparkContext.defaultParallelism, df.inputFiles()
+    if not files or len(files) >= cores:
+        return df
+    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0
+    return df.repartition(cores, *keys) if size <= SMALL_INPUT_BYTES else df
+
+
+@functools.cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """Stands in for the shared folder on one machine; removed when Python exits."""
+    return tempfile.TemporaryDirectory(prefix="passagecraft-", ignore_cleanup_errors=True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -97,7 +115,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="passagecraft-")
+        base = _local_folder().name
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
 
 

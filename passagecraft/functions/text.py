@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # marks that end a sentence.
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 CHARACTER = r"[^\s\p{Z}]"
+CHARACTER_PAIR = r"(?=([^\s\p{Z}\p{Cs}]{2}))"
 SPACE = r"[\s\p{Z}]+"
 SENTENCE_END = r"([.!?])[\s\p{Z}]+"
 WIDE_SENTENCE_END = r"([。！？])"
@@ -15,12 +16,15 @@ PUNCTUATION = r"[\p{P}\p{S}]+"
 
 
 def tokens(text: Column | str, unit: str = "word") -> Column:
-    """Lower-cased tokens. ``char`` suits writing without spaces between words."""
+    """Lower-cased tokens: words, or for writing without spaces between words
+    single characters (``char``) or overlapping pairs of them (``pair``)."""
     lowered = F.lower(F.col(text) if isinstance(text, str) else text)
     if unit == "word":
         return F.filter(F.split(lowered, WORD_BREAK), lambda t: t != "")
     if unit == "char":
         return F.regexp_extract_all(lowered, F.lit(CHARACTER), F.lit(0))
+    if unit == "pair":
+        return F.regexp_extract_all(lowered, F.lit(CHARACTER_PAIR), F.lit(1))
     raise ValueError(f"unknown unit {unit!r}")
 
 

@@ -15,6 +15,7 @@ from passagecraft.functions.sizing import fits_broadcast, stage, top_k
 from passagecraft.functions.text import hash28, tokens, unnest, with_runs
 
 BLOCK_ROWS = 100_000
+MOST_CELLS = 10_000
 
 
 def bucket_counts(texts: DataFrame, keys: list[str], text: str, dim: int, unit: str = "word") -> DataFrame:
@@ -95,7 +96,7 @@ def vector_topk(
     asked = queries.select("query_id", vector)
     rows = vectors.select(*[F.col(key).cast("long") for key in keys], vector)
     if not fits_broadcast(asked):
-        spread = max(1, -(-vectors.count() // BLOCK_ROWS))
+        spread = min(MOST_CELLS, max(1, -(-vectors.count() // BLOCK_ROWS)))
         parted = rows.withColumn("cell", F.pmod(F.xxhash64(*keys), F.lit(spread)).cast("int"))
         everywhere = asked.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
         return top_k(_blocked(parted, everywhere, k, metric, keys, vector, dim), ["query_id"], k, list(keys))
@@ -158,7 +159,14 @@ def ivf_topk(
     vector: str = "embedding",
     seed: int = 7,
 ) -> DataFrame:
-    """Approximate nearest vectors: k-means cells, of which each query searches the nearest few."""
+    """Approximate nearest vectors: k-means cells, of which each query searches the nearest few.
+
+    Cells are formed over directions, whatever the metric; only which vectors
+    are looked at is approximate, their scores are exact.
+    """
+    if cells > MOST_CELLS:
+        raise ValueError(f"at most {MOST_CELLS} cells")
+
     def features(df):
         out = df.withColumn("_raw", array_to_vector(F.col(vector).cast("array<double>")))
         return Normalizer(inputCol="_raw", outputCol="_features").transform(out)

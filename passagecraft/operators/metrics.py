@@ -45,7 +45,7 @@ def recall_at(
         )
 
     sums = hits.join(judged, "query_id").groupBy(*by).agg(F.array(*[at(k) for k in ks]).alias("all"))
-    mean = lambda name: F.round(F.coalesce(F.col(f"m.{name}"), F.lit(0.0)) / n, 6).alias(name)
+    mean = lambda name: F.round(F.try_divide(F.coalesce(F.col(f"m.{name}"), F.lit(0.0)), n), 6).alias(name)
     return sums.select(*by, F.explode("all").alias("m")).select(
         *by, "m.k", mean("recall"), mean("precision"), mean("hit_rate"), n.alias("n_queries")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from passagecraft.functions.sizing import stage
+from passagecraft.functions.sizing import broadcast_if, stage
 from passagecraft.operators.chunk import chunk
 from passagecraft.operators.compare import report
 from passagecraft.operators.dense import hash_embed, vector_topk
@@ -25,10 +25,15 @@ def hybrid(chunks: DataFrame, queries: DataFrame, k: int = 10, depth: int = 50,
 def retrieve(
     docs: DataFrame, queries: DataFrame, k: int = 10, budget: int = 2000, width: int = 1, unit: str = "word"
 ) -> DataFrame:
-    """Context for each query: rank passages, add neighbours, fill the budget."""
-    chunks = chunk(docs, unit=unit)
-    hits = bm25(build_index(chunks, unit), queries, k, unit)
-    return context(expand(hits, chunks, width, most_hits=queries.count() * k), budget)
+    """Context for each query: rank passages, add neighbours, fill the budget.
+
+    ``unit`` is how text is cut for ranking. Only documents with a hit are cut
+    again for their text.
+    """
+    cut = "word" if unit == "word" else "char"
+    hits = stage(bm25(build_index(chunk(docs, unit=cut), unit), queries, k, unit), "hits")
+    found = docs.join(broadcast_if(hits.select("doc_id").distinct()), "doc_id", "left_semi")
+    return context(expand(hits, chunk(found, unit=cut), width, most_hits=queries.count() * k), budget)
 
 
 def evaluate(hits: DataFrame, qrels: DataFrame, docs: DataFrame, k: int = 10) -> DataFrame:

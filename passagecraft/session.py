@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
+def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "12g", shared: str | None = None) -> SparkSession:
+    builder = SparkSession.builder
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("passagecraft")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)

@@ -1,0 +1,57 @@
+from conftest import rows
+
+from passagecraft.operators.ranking import best_per_doc, context, expand, rank_diff, rrf, with_text
+from passagecraft.plans.rag import retrieve
+
+
+def _hits(spark, data):
+    return spark.createDataFrame(data, "query_id long, doc_id long, chunk_no int, score double, rank int")
+
+
+def _chunks(spark, n=4):
+    return spark.createDataFrame([(d, c, f"d{d}c{c}") for d in (1, 2) for c in range(n)],
+                                 "doc_id long, chunk_no int, chunk string")
+
+
+def test_rrf_by_hand(spark):
+    a = _hits(spark, [(1, 1, 0, 9.0, 1), (1, 2, 0, 8.0, 2)])
+    b = _hits(spark, [(1, 2, 0, 0.5, 1), (1, 3, 0, 0.4, 2)])
+    got = rrf([a, b], k0=60, k=2)
+    assert rows(got, "rank", "doc_id", "score") == [
+        (1, 2, round(1 / 62 + 1 / 61, 9)), (2, 1, round(1 / 61, 9))]
+
+
+def test_expand_keeps_to_the_document_and_merges(spark):
+    hits = _hits(spark, [(1, 1, 0, 2.0, 1), (1, 1, 1, 1.0, 2), (2, 2, 3, 1.0, 1)])
+    want = [(1, 1, 0, 1, "d1c0"), (1, 1, 1, 1, "d1c1"), (1, 1, 2, 2, "d1c2"), (2, 2, 2, 1, "d2c2"), (2, 2, 3, 1, "d2c3")]
+    for bound in (None, 100):
+        got = expand(hits, _chunks(spark), 1, bound)
+        assert rows(got, "query_id", "doc_id", "chunk_no", "rank", "chunk") == want
+    assert with_text(hits, _chunks(spark)).count() == 3
+
+
+def test_best_per_doc(spark):
+    hits = _hits(spark, [(1, 1, 3, 2.0, 2), (1, 1, 1, 2.0, 1), (1, 2, 0, 1.0, 3), (1, 3, 0, 2.0, 4)])
+    assert rows(best_per_doc(hits), "rank", "doc_id", "chunk_no") == [(1, 1, 1), (2, 3, 0), (3, 2, 0)]
+
+
+def test_context_fills_the_budget_in_rank_order(spark):
+    hits = with_text(_hits(spark, [(1, 1, 0, 3.0, 2), (1, 2, 1, 2.0, 1), (1, 1, 2, 1.0, 3), (2, 1, 3, 1.0, 1)]), _chunks(spark))
+    got = rows(context(hits, budget=10), "query_id", "n_passages", "n_chars", "context")
+    assert got == [(1, 2, 10, "d2c1\n\nd1c0"), (2, 1, 4, "d1c3")]
+    assert context(hits, budget=3).count() == 0
+
+
+def test_rank_diff(spark):
+    a = _hits(spark, [(1, 1, 0, 3.0, 1), (1, 2, 0, 2.0, 2), (1, 4, 0, 1.0, 3)])
+    b = _hits(spark, [(1, 2, 0, 3.0, 1), (1, 3, 0, 2.0, 2)])
+    assert rows(rank_diff(a, b, 2), "doc_id", "rank_a", "rank_b", "found") == [
+        (1, 1, None, "only_a"), (2, 2, 1, "both"), (3, None, 2, "only_b")]
+
+
+def test_retrieve_japanese(spark):
+    docs = spark.createDataFrame([(1, "日本の首都は東京です。", "ja", "s"), (2, "富士山は高い山です。", "ja", "s")],
+                                 "doc_id long, text string, lang string, source string")
+    asked = spark.createDataFrame([(1, "首都はどこですか"), (2, "高い山")], "query_id long, question string")
+    got = {r.query_id: r.context.split("\n\n")[0] for r in retrieve(docs, asked, k=1, unit="pair").collect()}
+    assert got == {1: "日本の首都は東京です。", 2: "富士山は高い山です。"}
