@@ -52,24 +52,21 @@ def unit(rows: np.ndarray) -> np.ndarray:
 class Best:
     """The k best rows per query seen so far; memory is k rows per query."""
 
-    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, metric: str, n_keys: int):
-        self.ids, self.queries, self.k, self.metric = query_ids, queries, k, metric
+    def __init__(self, n_queries: int, k: int, n_keys: int):
+        self.k = k
         self.q = np.zeros(0, np.int64)
         self.score = np.zeros(0)
         self.keys = [np.zeros(0, np.int64) for _ in range(n_keys)]
-        self.floor = np.full(len(query_ids), -np.inf)
-
-    def add(self, rows: np.ndarray, keys: list[np.ndarray]) -> None:
-        if not len(rows) or not len(self.ids):
-            return
-        step = max(1, TILE_CELLS // len(rows))
-        for low in range(0, len(self.ids), step):
-            scores = similarity(rows, self.queries[low : low + step], self.metric)
-            floor = self.floor[low : low + step]
-            if len(rows) > self.k:
-                cut = len(rows) - self.k
-                floor = np.maximum(floor, np.partition(scores, cut, axis=0)[cut])
-            at, query = np.nonzero(scores >= floor)
+        self.floor = np.full(n_queries, -np.inf)
+
+    def add(self, scores: np.ndarray, keys: list[np.ndarray], low: int = 0) -> None:
+        """Scores of some rows for the queries from ``low`` on; minus infinity means no match."""
+        seen = (scores >= self.floor[low : low + scores.shape[1]]) & (scores > -np.inf)
+        cut = len(scores) - self.k
+        if cut > 0 and seen.sum() > 2 * self.k * scores.shape[1]:
+            seen &= scores >= np.partition(scores, cut, axis=0)[cut]
+        at, query = np.nonzero(seen)
+        if len(at):
             self._merge(query + low, scores[at, query], [key[at] for key in keys])
 
     def _merge(self, q, score, keys) -> None:
@@ -83,5 +80,49 @@ class Best:
         last = place[keep] == self.k - 1
         self.floor[self.q[last]] = self.score[last]
 
-    def columns(self) -> list[pa.Array]:
-        return [pa.array(self.ids[self.q]), *[pa.array(key) for key in self.keys], pa.array(self.score)]
+    def columns(self, query_ids: pa.Array) -> list[pa.Array]:
+        return [query_ids.take(pa.array(self.q)), *[pa.array(key) for key in self.keys], pa.array(self.score)]
+
+
+def add_vectors(best: Best, queries: np.ndarray, rows: np.ndarray, keys: list[np.ndarray], metric: str) -> None:
+    if not len(rows) or not len(queries):
+        return
+    step = max(1, TILE_CELLS // len(rows))
+    for low in range(0, len(queries), step):
+        best.add(similarity(rows, queries[low : low + step], metric), keys, low)
+
+
+def of_variant(table: pa.Table, by: list[str], variant: tuple) -> pa.Table:
+    """Rows whose columns ``by`` hold the values of ``variant``."""
+    for name, value in zip(by, variant):
+        table = table.filter(pc.equal(table[name], value))
+    return table
+
+
+class TermWeights:
+    """Weights of query terms, term by term: which queries hold a term and with what weight."""
+
+    def __init__(self, query_id: pa.Array, term: pa.Array, weight: np.ndarray, mean: float):
+        queries, terms = query_id.dictionary_encode(), term.dictionary_encode()
+        self.ids, self.terms, self.mean = queries.dictionary, terms.dictionary, mean
+        code = terms.indices.to_numpy()
+        order = np.argsort(code, kind="stable")
+        self.query, self.weight = queries.indices.to_numpy()[order], weight[order]
+        self.first = np.searchsorted(code[order], np.arange(len(self.terms) + 1))
+        self.rows_at_once = int(np.clip(TILE_CELLS // 4 // max(1, len(self.ids)), 64, 5000))
+
+    def bm25(self, runs: pa.Array, lengths: np.ndarray, k1: float, b: float) -> np.ndarray:
+        """One row per passage, one column per query; minus infinity where no term is shared."""
+        flat = runs.flatten()
+        row = np.repeat(np.arange(len(runs)), pc.list_value_length(runs).to_numpy(zero_copy_only=False))
+        term = pc.index_in(flat.field("item"), value_set=self.terms).fill_null(-1).to_numpy()
+        known = term >= 0
+        row, term, tf = row[known], term[known], flat.field("n").to_numpy()[known].astype(np.float64)
+        part = tf * (k1 + 1) / (tf + k1 * (1 - b + b * lengths[row] / self.mean))
+        held = self.first[term + 1] - self.first[term]
+        each = np.repeat(np.arange(len(term)), held)
+        at = np.arange(len(each)) - np.repeat(np.cumsum(held) - held, held) + self.first[term][each]
+        cell = row[each] * len(self.ids) + self.query[at]
+        size = len(runs) * len(self.ids)
+        scores = np.bincount(cell, part[each] * self.weight[at], size).reshape(len(runs), -1)
+        return np.where(scores > 0, np.round(scores, 6), -np.inf)

@@ -130,11 +130,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def tasks(spark: SparkSession) -> int:
-    """Tasks for a shuffle whose rows expand afterwards; its bytes say too little to coalesce by."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-
-
 def top_k(df: DataFrame, group: list[str], k: int, ties: list[str]) -> DataFrame:
     """Highest ``score`` first within ``group``; ``ties`` decide equal scores.
 

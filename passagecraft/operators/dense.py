@@ -10,7 +10,7 @@ from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
-from passagecraft.functions.kernel import Best, matrix
+from passagecraft.functions.kernel import Best, add_vectors, matrix
 from passagecraft.functions.sizing import fits_broadcast, stage, top_k
 from passagecraft.functions.text import hash28, tokens, unnest, with_runs
 
@@ -102,14 +102,15 @@ def vector_topk(
         return top_k(_blocked(parted, everywhere, k, metric, keys, vector, dim), ["query_id"], k, list(keys))
 
     table = asked.toArrow()
-    ids = table["query_id"].to_numpy()
+    ids = table["query_id"].combine_chunks()
     block = matrix(table[vector], dim)
 
     def score(batches):
-        best = Best(ids, block, k, metric, len(keys))
+        best = Best(len(ids), k, len(keys))
         for batch in batches:
-            best.add(matrix(batch.column(vector), dim), [batch.column(key).to_numpy() for key in keys])
-        yield pa.RecordBatch.from_arrays(best.columns(), names=["query_id", *keys, "score"])
+            found = [batch.column(key).to_numpy() for key in keys]
+            add_vectors(best, block, matrix(batch.column(vector), dim), found, metric)
+        yield pa.RecordBatch.from_arrays(best.columns(ids), names=["query_id", *keys, "score"])
 
     return top_k(rows.mapInArrow(score, _schema(keys)), ["query_id"], k, list(keys))
 
@@ -139,10 +140,11 @@ def _blocked(vectors, queries, k, metric, keys, vector, dim) -> DataFrame:
     right = placed(queries, "_qb", "_qn", "_vb", "_vn", ["query_id"])
 
     def score(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        best = Best(asked["query_id"].to_numpy(), matrix(asked[vector], dim), k, metric, len(keys))
+        best, block = Best(len(asked), k, len(keys)), matrix(asked[vector], dim)
         for batch in rows.to_batches(max_chunksize=10_000):
-            best.add(matrix(batch.column(vector), dim), [batch.column(key).to_numpy() for key in keys])
-        return pa.Table.from_arrays(best.columns(), names=["query_id", *keys, "score"])
+            found = [batch.column(key).to_numpy() for key in keys]
+            add_vectors(best, block, matrix(batch.column(vector), dim), found, metric)
+        return pa.Table.from_arrays(best.columns(asked["query_id"].combine_chunks()), names=["query_id", *keys, "score"])
 
     group = ["cell", "_vb", "_qb"]
     return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(score, _schema(keys))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from passagecraft.functions.sizing import stage, tasks
+from passagecraft.functions.sizing import broadcast_if, stage
 from passagecraft.functions.text import tokens, unnest, with_runs
 
 PASSAGE = ["doc_id", "chunk_no"]
@@ -18,14 +18,13 @@ class Index:
 
     passages: by, doc_id, chunk_no, kept columns, n_words and ``runs``, the
     passage's distinct terms with their counts. terms: by, term, df. totals: by,
-    n_chunks, n_words. ``placed`` says that equal passages already share a task.
+    n_chunks, n_words.
     """
 
     passages: DataFrame
     terms: DataFrame
     totals: DataFrame
     by: tuple[str, ...] = ()
-    placed: bool = False
 
     def postings(self) -> DataFrame:
         """One row per passage and term: by, doc_id, chunk_no, kept columns, n_words, term, tf."""
@@ -33,17 +32,6 @@ class Index:
         rows = unnest(self.passages, held, "runs", "_r")
         return rows.select(*held, F.col("_r.item").alias("term"), F.col("_r.n").alias("tf"))
 
-    def scoring_postings(self) -> DataFrame:
-        """Postings with each passage in one task, so that its scores need no shuffle.
-
-        What is shuffled is one compact row per passage; a saved index is not shuffled at all.
-        """
-        if self.placed:
-            return self.postings()
-        spark = self.passages.sparkSession
-        moved = self.passages.repartition(tasks(spark), *self.by, *PASSAGE)
-        return replace(self, passages=moved, placed=True).postings()
-
 
 def build_index(
     chunks: DataFrame, unit: str = "word", keep: tuple[str, ...] = (), by: tuple[str, ...] = ()
@@ -72,25 +60,13 @@ def document_frequency(postings: DataFrame, by: tuple[str, ...] = ()) -> DataFra
     return postings.groupBy(*by, "term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def save_index(index: Index, path: str, name: str, buckets: int) -> None:
-    """Write an index as tables ``name``_passages, ``name``_terms and ``name``_totals.
-
-    Passages are bucketed by their key: a query batch reads them and scores in
-    place, shuffling only each task's best passages.
-    """
-    key = [*index.by, *PASSAGE]
-    (
-        index.passages.repartition(buckets, *key)
-        .write.bucketBy(buckets, *key)
-        .option("path", f"{path}/passages")
-        .saveAsTable(f"{name}_passages")
-    )
-    index.terms.write.option("path", f"{path}/terms").saveAsTable(f"{name}_terms")
-    index.totals.write.option("path", f"{path}/totals").saveAsTable(f"{name}_totals")
+def save_index(index: Index, path: str) -> None:
+    for part in ("passages", "terms", "totals"):
+        getattr(index, part).write.parquet(f"{path}/{part}")
 
 
-def load_index(spark: SparkSession, name: str, by: tuple[str, ...] = ()) -> Index:
-    return Index(*(spark.table(f"{name}_{part}") for part in ("passages", "terms", "totals")), by, placed=True)
+def load_index(spark: SparkSession, path: str, by: tuple[str, ...] = ()) -> Index:
+    return Index(*(spark.read.parquet(f"{path}/{part}") for part in ("passages", "terms", "totals")), by)
 
 
 def changes(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -112,10 +88,12 @@ def update_index(index: Index, changed: DataFrame, new_chunks: DataFrame, unit:
 
     ``changed`` comes from :func:`changes`; ``new_chunks`` holds passages of the
     new snapshot. Term counts change by what left and what came, so untouched
-    postings are not counted again.
+    postings are not counted again; while few documents change, their ids are
+    broadcast and the index is not shuffled.
     """
-    out_ids = changed.filter("status in ('deleted', 'changed')").select("doc_id")
-    in_ids = changed.filter("status in ('new', 'changed')").select("doc_id")
+    touched = stage(changed.filter("status <> 'same'"), "changes")
+    out_ids = broadcast_if(touched.filter("status <> 'new'").select("doc_id"))
+    in_ids = broadcast_if(touched.filter("status <> 'deleted'").select("doc_id"))
     fresh = build_index(new_chunks.join(in_ids, "doc_id", "left_semi"), unit, keep)
     gone = index.passages.join(out_ids, "doc_id", "left_semi")
     kept = index.passages.join(out_ids, "doc_id", "left_anti")

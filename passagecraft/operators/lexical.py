@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from passagecraft.functions.kernel import Best, TermWeights, of_variant
 from passagecraft.functions.sizing import fits_broadcast, split_join, top_k
 from passagecraft.functions.text import tokens, unnest, with_runs
 from passagecraft.operators.index import PASSAGE, Index
@@ -35,7 +37,12 @@ def bm25(
     by = list(index.by)
     asked = query_terms(queries, unit)
     small = fits_broadcast(asked)
-    known = index.terms.join(F.broadcast(asked) if small else asked, "term")
+    if small:
+        # As a semi-join this is moved below the count per term, so only asked terms are shuffled.
+        wanted = F.broadcast(asked.select("term").distinct())
+        known = index.terms.join(wanted, "term", "left_semi").join(F.broadcast(asked), "term")
+    else:
+        known = index.terms.join(asked, "term")
     if by:
         known = known.join(F.broadcast(index.totals), by)
         n, words = F.col("n_chunks"), F.col("n_words")
@@ -49,10 +56,48 @@ def bm25(
     )
     if where is not None:
         index = replace(index, passages=index.passages.filter(where))
-    narrow = index.scoring_postings().select(*by, *PASSAGE, "term", "tf", "n_words")
-    keys = [*by, "term"]
-    hits = narrow.join(F.broadcast(weights), keys) if small else split_join(narrow, weights, keys, PASSAGE)
-    tf = F.col("tf")
-    part = F.col("_idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("n_words") / F.col("_mean")))
-    scored = hits.groupBy(*by, "query_id", *PASSAGE).agg(F.round(F.sum(part), 6).alias("score"))
+    if small:
+        scored = _scored_in_place(index, weights, queries.schema["query_id"].dataType.simpleString(), k, k1, b)
+    else:
+        narrow = index.postings().select(*by, *PASSAGE, "term", "tf", "n_words")
+        hits = split_join(narrow, weights, [*by, "term"], PASSAGE)
+        tf = F.col("tf")
+        part = F.col("_idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("n_words") / F.col("_mean")))
+        scored = hits.groupBy(*by, "query_id", *PASSAGE).agg(F.round(F.sum(part), 6).alias("score"))
     return top_k(scored, [*by, "query_id"], k, PASSAGE)
+
+
+def _scored_in_place(index: Index, weights: DataFrame, query_type: str, k: int, k1: float, b: float) -> DataFrame:
+    """Best k passages per query and task, for query weights small enough for every task.
+
+    A join would give every query a row for nearly every passage, through common
+    words, and hold them all to sum and sort. Here a task scores a batch of passages at a
+    time and keeps k rows per query, so neither passages nor scores are shuffled.
+    """
+    by, table = list(index.by), weights.toArrow().combine_chunks()
+    variants, kinds = {}, [table.schema.field(name).type for name in by]
+    for variant in sorted(set(zip(*[table[name].to_pylist() for name in by]))) if by else [()]:
+        rows = of_variant(table, by, variant)
+        if rows.num_rows:
+            columns = [rows[name].combine_chunks() for name in ("query_id", "term", "_idf", "_mean")]
+            variants[variant] = TermWeights(*columns[:2], columns[2].to_numpy(), columns[3][0].as_py())
+
+    def score(batches):
+        best = {v: Best(len(t.ids), k, len(PASSAGE)) for v, t in variants.items()}
+        for batch in batches:
+            for variant, asked in variants.items():
+                rows = of_variant(pa.Table.from_batches([batch]), by, variant)
+                for part in rows.combine_chunks().to_batches(max_chunksize=asked.rows_at_once):
+                    scores = asked.bm25(part["runs"], part["n_words"].to_numpy(), k1, b)
+                    best[variant].add(scores, [part[key].to_numpy() for key in PASSAGE])
+        for variant, asked in variants.items():
+            found = best[variant].columns(asked.ids)
+            fixed = [pa.array([v] * len(found[0]), kind) for v, kind in zip(variant, kinds)]
+            yield pa.RecordBatch.from_arrays([*fixed, *found], names=[*by, "query_id", *PASSAGE, "score"])
+
+    rows = index.passages.select(*by, *[F.col(key).cast("long") for key in PASSAGE], "n_words", "runs")
+    types = {f.name: f.dataType for f in index.passages.schema}
+    fields = [*[f"{name} {types[name].simpleString()}" for name in by], f"query_id {query_type}"]
+    schema = ", ".join([*fields, *[f"{key} long" for key in PASSAGE], "score double"])
+    keys = [F.col(key).cast(types[key]) for key in PASSAGE]
+    return rows.mapInArrow(score, schema).select(*by, "query_id", *keys, "score")

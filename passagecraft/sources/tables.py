@@ -38,7 +38,7 @@ def read_turns(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(VECTOR_SCHEMA).parquet(path)
+    return spread(spark.read.schema(VECTOR_SCHEMA).parquet(path), "vec_id")
 
 
 def write_corpus(

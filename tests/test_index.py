@@ -75,15 +75,19 @@ def test_filter_limits_results_not_statistics(spark):
     assert {(r.query_id, r.doc_id): r.score for r in some} == {k: s for k, s in every.items() if k[1] % 2 == 0}
 
 
-def test_saved_index_is_scored_in_place(spark, tmp_path):
-    index = build_index(chunk(_docs(spark)))
-    save_index(index, str(tmp_path), "saved", 4)
-    hits = bm25(load_index(spark, "saved"), _queries(spark), 10)
+def test_saved_index_is_scored_without_moving_passages(spark, tmp_path):
+    save_index(build_index(chunk(_docs(spark))), str(tmp_path))
+    hits = bm25(load_index(spark, str(tmp_path)), _queries(spark), 10)
     _check(spark, hits)
-    plan = hits._jdf.queryExecution().executedPlan().toString()
-    final = plan.split("== Initial Plan ==")[0]
-    before = final.split("WindowGroupLimit")[2]
-    assert "hashpartitioning(query_id" not in before and "saved_passages" in before
+    plan = hits._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange") == 1 and "WindowGroupLimit" in plan
+
+
+def test_string_query_ids_and_no_known_term(spark):
+    index = build_index(chunk(_docs(spark)))
+    asked = spark.createDataFrame([("a-1", "zebra"), ("b", "unknown")], "query_id string, question string")
+    assert [(r.query_id, r.doc_id, r.rank) for r in bm25(index, asked).collect()] == [("a-1", 5, 1)]
+    assert bm25(index, asked.filter("query_id = 'b'")).count() == 0
 
 
 def test_index_in_characters_for_text_without_spaces(spark):
