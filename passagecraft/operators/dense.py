@@ -78,6 +78,12 @@ def _schema(keys) -> str:
     return ", ".join(["query_id long", *[f"{key} long" for key in keys], "score double"])
 
 
+def _ranked(vectors: DataFrame, scored: DataFrame, keys, k: int) -> DataFrame:
+    """The best k of all tasks, with keys of the type they came in."""
+    typed = [F.col(key).cast(vectors.schema[key].dataType) for key in keys]
+    return top_k(scored.select("query_id", *typed, "score"), ["query_id"], k, list(keys))
+
+
 def vector_topk(
     vectors: DataFrame,
     queries: DataFrame,
@@ -99,7 +105,7 @@ def vector_topk(
         spread = min(MOST_CELLS, max(1, -(-vectors.count() // BLOCK_ROWS)))
         parted = rows.withColumn("cell", F.pmod(F.xxhash64(*keys), F.lit(spread)).cast("int"))
         everywhere = asked.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-        return top_k(_blocked(parted, everywhere, k, metric, keys, vector, dim), ["query_id"], k, list(keys))
+        return _ranked(vectors, _blocked(parted, everywhere, k, metric, keys, vector, dim), keys, k)
 
     table = asked.toArrow()
     ids = table["query_id"].combine_chunks()
@@ -112,7 +118,7 @@ def vector_topk(
             add_vectors(best, block, matrix(batch.column(vector), dim), found, metric)
         yield pa.RecordBatch.from_arrays(best.columns(ids), names=["query_id", *keys, "score"])
 
-    return top_k(rows.mapInArrow(score, _schema(keys)), ["query_id"], k, list(keys))
+    return _ranked(vectors, rows.mapInArrow(score, _schema(keys)), keys, k)
 
 
 def _blocked(vectors, queries, k, metric, keys, vector, dim) -> DataFrame:
@@ -186,4 +192,4 @@ def ivf_topk(
 
     placed = model.transform(rows).select(*keys, vector, "cell")
     asked = queries.select("query_id", vector, F.explode(nearest(vector)).alias("cell"))
-    return top_k(_blocked(placed, asked, k, metric, keys, vector, None), ["query_id"], k, list(keys))
+    return _ranked(vectors, _blocked(placed, asked, k, metric, keys, vector, None), keys, k)

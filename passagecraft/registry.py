@@ -68,7 +68,11 @@ def _qrels(spark, d):
 
 
 def _hits(df):
-    return df.select("query_id", "doc_id", "chunk_no", "score", F.col("rank").cast("long").alias("rank"))
+    return _long(df.select("query_id", "doc_id", "chunk_no", "score", "rank"), "rank")
+
+
+def _long(df, *names):
+    return df.withColumns({name: F.col(name).cast("long") for name in names})
 
 
 # --- pages and corpus
@@ -142,7 +146,7 @@ def chunk_sentences(spark, d):
 
 
 def index_postings(spark, d):
-    return index_.build_index(_chunks(spark, d)).postings()
+    return _long(index_.build_index(_chunks(spark, d)).postings(), "tf", "n_words")
 
 
 def index_terms(spark, d):
@@ -201,39 +205,40 @@ def _centroids(spark, d):
 
 def _vector_topk(metric):
     def query(spark, d):
-        return dense.vector_topk(_vectors(spark, d), _centroids(spark, d), K, metric)
+        return _long(dense.vector_topk(_vectors(spark, d), _centroids(spark, d), K, metric), "rank")
 
     return query
 
 
 def vector_filtered(spark, d):
     """Nearest vectors among those whose label is not the query batch's first five."""
-    return ranking.filtered_vector_topk(_vectors(spark, d), _centroids(spark, d), F.col("label") >= 5, K)
+    near = ranking.filtered_vector_topk(_vectors(spark, d), _centroids(spark, d), F.col("label") >= 5, K)
+    return _long(near, "rank")
 
 
 def ivf_topk(spark, d):
-    return dense.ivf_topk(_vectors(spark, d), _centroids(spark, d), K, 16, 4)
+    return _long(dense.ivf_topk(_vectors(spark, d), _centroids(spark, d), K, 16, 4), "rank")
 
 
 def ivf_topk_all_cells(spark, d):
-    return dense.ivf_topk(_vectors(spark, d), _centroids(spark, d), K, 8, 8)
+    return _long(dense.ivf_topk(_vectors(spark, d), _centroids(spark, d), K, 8, 8), "rank")
 
 
 def vector_passages(spark, d):
-    return _near(spark, d)
+    return _hits(_near(spark, d))
 
 
 def rrf(spark, d):
-    return ranking.rrf([_bm25(spark, d, DEPTH), _near(spark, d, DEPTH)], k=K)
+    return _hits(ranking.rrf([_bm25(spark, d, DEPTH), _near(spark, d, DEPTH)], k=K))
 
 
 def expand(spark, d):
     most = _asked(spark, d).count() * K
-    return ranking.expand(_bm25(spark, d), _chunks(spark, d), 1, most)
+    return _long(ranking.expand(_bm25(spark, d), _chunks(spark, d), 1, most), "chunk_no", "rank")
 
 
 def best_per_doc(spark, d):
-    return _run_a(spark, d)
+    return _hits(_run_a(spark, d))
 
 
 def context(spark, d):
@@ -277,7 +282,7 @@ def sweep(spark, d):
 
 
 def rank_diff(spark, d):
-    return ranking.rank_diff(_run_a(spark, d), _run_b(spark, d), K)
+    return _long(ranking.rank_diff(_run_a(spark, d), _run_b(spark, d), K), "rank_a", "rank_b")
 
 
 def _qa(spark, d):
