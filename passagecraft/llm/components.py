@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from passagecraft.functions.sizing import stage
+from passagecraft.llm.tables import stage
 
 
 def components(links: DataFrame) -> DataFrame:

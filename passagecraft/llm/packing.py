@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
-from passagecraft.functions.sizing import stage
+from passagecraft.llm.tables import stage
 from passagecraft.llm.words import coded_words, slices
 
 CAPACITY = 2048

@@ -16,7 +16,8 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from passagecraft.functions.sizing import stage
+from passagecraft.functions.sizing import broadcast_if
+from passagecraft.llm.tables import stage
 from passagecraft.llm.words import coded_words, mixed, slices, window_hashes, window_starts, word_hashes
 
 REPEAT_WORDS = 8
@@ -249,3 +250,10 @@ def judge(docs: DataFrame, labels: DataFrame, keep_good: float = KEEP_GOOD) -> D
     scored = stats.mapInArrow(lambda b: _scored(b, forest), stats.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ") + ", anomaly double")
     threshold = calibrate(scored, labels, keep_good)
     return scored.withColumn("base_failed", _failed()).withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < threshold))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, keep_good: float = KEEP_GOOD) -> DataFrame:
+    """``docs`` without those that the rules reject, all columns kept."""
+    rejected = judge(docs, labels, keep_good).filter("not kept").select("doc_id", "text_key").distinct()
+    on = F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id")) & (F.xxhash64("row.text") == F.col("text_key"))
+    return docs.select(F.struct("*").alias("row")).join(broadcast_if(rejected), on, "left_anti").select("row.*")

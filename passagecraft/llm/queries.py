@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from passagecraft.llm import byte_cnn, licence_scan, line_dedup, packing, quality_rules, substring_dedup, url_graph
+from passagecraft.llm import (
+    byte_cnn, html_crf, latent_search, licence_scan, line_dedup, order_minhash, packing, quality_rules, substring_dedup, url_graph,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -24,6 +26,10 @@ def op1_line_dedup(spark, folder):
     return cut.select("doc_id", "n_lines", "n_removed", "n_near", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op2_html_text(spark, folder):
+    return html_crf.extract(_table(spark, folder, "pages"))
+
+
 def op3_packing(spark, folder):
     return packing.pack(_table(spark, folder, "documents"), tokenizer_path())
 
@@ -42,6 +48,10 @@ def op6_url_filter(spark, folder):
     return url_graph.filter_urls(_table(spark, folder, "pages"))
 
 
+def op7_near_dedup(spark, folder):
+    return order_minhash.classes(_table(spark, folder, "documents")).select("doc_id", "class_id")
+
+
 def op8_quality_classifier(spark, folder):
     docs = _table(spark, folder, "documents")
     scored = byte_cnn.score(docs, byte_cnn.train(docs, _table(spark, folder, "labels")))
@@ -54,6 +64,12 @@ def op9_licence_scan(spark, folder):
     return found.select("doc_id", "digest", "text_licence", F.array_join("licences", ",").alias("licences"))
 
 
+def op10_decontamination(spark, folder):
+    found = latent_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.filter("leaked").select("doc_id", "item_id", "at", "overlap", "answered", "cosine")
+
+
 QUERIES = {f.__name__: f for f in [
-    op1_line_dedup, op3_packing, op4_substring_dedup, op5_quality_rules, op6_url_filter, op8_quality_classifier, op9_licence_scan,
+    op1_line_dedup, op2_html_text, op3_packing, op4_substring_dedup, op5_quality_rules, op6_url_filter, op7_near_dedup,
+    op8_quality_classifier, op9_licence_scan, op10_decontamination,
 ]}
