@@ -28,7 +28,7 @@ WORDS, SIMILARITY = 5, 0.8
 # probability s ** 5, and at 0.8 none of 24 with probability 7e-5.
 SKETCHES, LEAST = 24, 5
 # Texts and words in a block of a family; larger families are compared block by block.
-BLOCK_TEXTS, BLOCK_WORDS = 500, 2_000_000
+BLOCK_TEXTS, BLOCK_WORDS = 500, 1_000_000
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 

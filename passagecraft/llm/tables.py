@@ -8,18 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from passagecraft.functions import sizing
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While a table is staged: shuffle files go as soon as it is written, and the batches that
+# tasks exchange with Python are small.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 @contextmanager
 def tidy(spark: SparkSession):
-    """Shuffle files of what runs inside go as soon as it has ended, not when the driver collects its garbage."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    """``SETTINGS`` hold inside and are as before afterwards."""
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 # Text bytes handled at once inside a task; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 # Tasks receive this module with the function that uses it, so that executors need not have it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,6 +30,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
             high = max(low + 1, int(np.searchsorted(ends, start + most, side="right")))
             yield batch.slice(low, high - low)
             low = high
+            # What Arrow has freed goes back to the system, as the JVM beside needs room too.
+            pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
