@@ -33,10 +33,13 @@ def matrix(column, dim: int | None) -> np.ndarray:
     return values.reshape(n, -1) if n else np.zeros((0, dim or 0))
 
 
+def unit(rows: np.ndarray) -> np.ndarray:
+    norms = np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.where(norms == 0, 1, norms)
+
+
 def similarity(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
-    """One row per vector, one column per query; larger is nearer."""
-    if metric == "cosine":
-        rows, queries = unit(rows), unit(queries)
+    """One row per vector, one column per query; larger is nearer. For cosine both are unit vectors."""
     product = rows @ queries.T
     if metric == "l2":
         squares = (rows**2).sum(1)[:, None] + (queries**2).sum(1)[None, :] - 2 * product
@@ -44,52 +47,72 @@ def similarity(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray
     return np.round(product, 6) + 0.0
 
 
-def unit(rows: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(rows, axis=1, keepdims=True)
-    return rows / np.where(norms == 0, 1, norms)
+def ranks(values: np.ndarray) -> np.ndarray:
+    """Numbers that sort as ``values`` do, which may be strings."""
+    return np.unique(values.astype(str), return_inverse=True)[1] if values.dtype == object else values
 
 
 class Best:
-    """The k best rows per query seen so far; memory is k rows per query."""
+    """The k best rows per query seen so far; memory is k rows per query.
+
+    Queries are kept in tiles, so that a batch of scores is merged only with the rows of
+    the queries it is for.
+    """
+
+    TILE = 256
 
     def __init__(self, n_queries: int, k: int, n_keys: int):
-        self.k = k
-        self.q = np.zeros(0, np.int64)
-        self.score = np.zeros(0)
-        self.keys = [np.zeros(0, np.int64) for _ in range(n_keys)]
+        self.k, self.n_keys = k, n_keys
+        self.tiles: dict[int, tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = {}
         self.floor = np.full(n_queries, -np.inf)
 
-    def add(self, scores: np.ndarray, keys: list[np.ndarray], low: int = 0) -> None:
-        """Scores of some rows for the queries from ``low`` on; minus infinity means no match."""
-        seen = (scores >= self.floor[low : low + scores.shape[1]]) & (scores > -np.inf)
+    def add(self, scores: np.ndarray, keys: list[np.ndarray], queries: np.ndarray) -> None:
+        """Scores of some rows for ``queries``, ascending numbers; minus infinity means no match."""
+        edges = np.flatnonzero(np.diff(queries // self.TILE)) + 1
+        for columns in np.split(np.arange(len(queries)), edges):
+            if len(columns):
+                self._add(scores[:, columns[0] : columns[-1] + 1], keys, queries[columns])
+
+    def _add(self, scores, keys, queries) -> None:
+        seen = (scores >= self.floor[queries]) & (scores > -np.inf)
         cut = len(scores) - self.k
         if cut > 0 and seen.sum() > 2 * self.k * scores.shape[1]:
             seen &= scores >= np.partition(scores, cut, axis=0)[cut]
-        at, query = np.nonzero(seen)
+        at, column = np.nonzero(seen)
         if len(at):
-            self._merge(query + low, scores[at, query], [key[at] for key in keys])
-
-    def _merge(self, q, score, keys) -> None:
-        q, score = np.concatenate([self.q, q]), np.concatenate([self.score, score])
-        keys = [np.concatenate(pair) for pair in zip(self.keys, keys)]
-        order = np.lexsort((*keys[::-1], -score, q))
+            self._merge(queries[0] // self.TILE, queries[column], scores[at, column], [key[at] for key in keys])
+
+    def _merge(self, tile, q, score, keys) -> None:
+        if tile in self.tiles:
+            old_q, old_score, old_keys = self.tiles[tile]
+            q, score = np.concatenate([old_q, q]), np.concatenate([old_score, score])
+            keys = [np.concatenate(pair) for pair in zip(old_keys, keys)]
+        order = np.lexsort((*[ranks(key) for key in keys[::-1]], -score, q))
         q, score = q[order], score[order]
         place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
         keep = place < self.k
-        self.q, self.score, self.keys = q[keep], score[keep], [key[order][keep] for key in keys]
+        self.tiles[tile] = q[keep], score[keep], [key[order][keep] for key in keys]
         last = place[keep] == self.k - 1
-        self.floor[self.q[last]] = self.score[last]
+        self.floor[q[keep][last]] = score[keep][last]
 
-    def columns(self, query_ids: pa.Array) -> list[pa.Array]:
-        return [query_ids.take(pa.array(self.q)), *[pa.array(key) for key in self.keys], pa.array(self.score)]
+    def columns(self, query_ids: pa.Array, types: list[pa.DataType]) -> list[pa.Array]:
+        """Query ids, keys of the given types, and scores."""
+        found = list(self.tiles.values()) or [(np.zeros(0, np.int64), np.zeros(0), [np.zeros(0, object)] * self.n_keys)]
+        q, score = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+        keys = [pa.array(np.concatenate([f[2][i] for f in found]), kind) for i, kind in enumerate(types)]
+        return [query_ids.take(pa.array(q)), *keys, pa.array(score)]
 
 
-def add_vectors(best: Best, queries: np.ndarray, rows: np.ndarray, keys: list[np.ndarray], metric: str) -> None:
+def add_vectors(best: Best, queries: np.ndarray, numbers: np.ndarray, rows: np.ndarray, keys: list[np.ndarray], metric: str) -> None:
+    """Score ``rows`` for the queries of the given numbers, a tile of both at a time."""
     if not len(rows) or not len(queries):
         return
-    step = max(1, TILE_CELLS // len(rows))
-    for low in range(0, len(queries), step):
-        best.add(similarity(rows, queries[low : low + step], metric), keys, low)
+    height = max(1, TILE_CELLS // Best.TILE)
+    for top in range(0, len(rows), height):
+        part = [key[top : top + height] for key in keys]
+        for low in range(0, len(queries), Best.TILE):
+            scores = similarity(rows[top : top + height], queries[low : low + Best.TILE], metric)
+            best.add(scores, part, numbers[low : low + Best.TILE])
 
 
 def of_variant(table: pa.Table, by: list[str], variant: tuple) -> pa.Table:

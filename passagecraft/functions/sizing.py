@@ -11,9 +11,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SMALL_INPUT_BYTES = 1024 * 1024 * 1024
+QUERY_BLOCK_BYTES = 32 * 1024 * 1024
 HOT_KEY_ROWS = 1_000_000
 HOT_KEY_LIMIT = 10_000
+MERGE_PARTS = 32
 
 
 def broadcast_bytes(spark: SparkSession) -> int:
@@ -21,6 +22,11 @@ def broadcast_bytes(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.passagecraft.broadcastBytes", str(BROADCAST_BYTES)))
 
 
+def query_block_bytes(spark: SparkSession) -> int:
+    """Bytes of query weights or vectors handed to every task at a time."""
+    return int(spark.conf.get("spark.passagecraft.queryBlockBytes", str(QUERY_BLOCK_BYTES)))
+
+
 def _width(field: T.StructField) -> Column:
     c = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.StringType):
@@ -89,20 +95,6 @@ def split_join(big: DataFrame, small: DataFrame, keys: list[str], spread_by: lis
     return left.join(right, [*keys, "_part"]).drop("_part")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core work when a small input lies in fewer files than there are cores.
-
-    The size check lists files and opens none. Inputs above ``SMALL_INPUT_BYTES``
-    come back unchanged and are never shuffled here.
-    """
-    spark = df.sparkSession
-    cores, files = spark.sparkContext.defaultParallelism, df.inputFiles()
-    if not files or len(files) >= cores:
-        return df
-    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0
-    return df.repartition(cores, *keys) if size <= SMALL_INPUT_BYTES else df
-
-
 @functools.cache
 def _local_folder() -> tempfile.TemporaryDirectory:
     """Stands in for the shared folder on one machine; removed when Python exits."""
@@ -133,8 +125,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def top_k(df: DataFrame, group: list[str], k: int, ties: list[str]) -> DataFrame:
     """Highest ``score`` first within ``group``; ``ties`` decide equal scores.
 
-    The filter on the rank lets Spark cut each task's rows to k per group
-    before the shuffle.
+    Every task of a scan may send k rows per group. They are merged in two steps, first in
+    ``MERGE_PARTS`` parts of each group, so that no group meets whole in one task. The
+    filters on the rank let Spark cut each task's rows to k per group before each shuffle.
+    """
+    order = [F.desc("score"), *ties]
+    part = F.pmod(F.xxhash64(*ties), F.lit(MERGE_PARTS))
+    near = Window.partitionBy(*group, "_part").orderBy(*order)
+    parts = df.withColumn("_part", part).withColumn("_rank", F.row_number().over(near)).filter(F.col("_rank") <= k)
+    whole = Window.partitionBy(*group).orderBy(*order)
+    return parts.drop("_part", "_rank").withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= k)
+
+
+def blocks(df: DataFrame, key: str, most_bytes: int) -> list[DataFrame]:
+    """``df`` in parts of about ``most_bytes``, all rows of one ``key`` in one part.
+
+    Each part is for the driver to read and hand to every task, one after the other, so
+    what it holds at a time does not depend on how many rows there are.
     """
-    w = Window.partitionBy(*group).orderBy(F.desc("score"), *ties)
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    n = max(1, -(-measured_bytes(df) // most_bytes))
+    place = F.pmod(F.xxhash64(key), F.lit(n))
+    return [df] if n == 1 else [df.filter(place == i) for i in range(n)]

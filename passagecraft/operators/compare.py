@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import exp
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,8 +14,18 @@ from passagecraft.operators.lexical import bm25
 from passagecraft.operators.metrics import recall_at
 from passagecraft.operators.ranking import best_per_doc
 
-# Cumulative Poisson(1) probabilities, for bootstrap weights 0, 1, 2, ...
-POISSON = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676]
+# Draws of the bootstrap come from 28-bit hashes.
+HASH_BITS = 28
+
+
+def poisson_steps(bits: int = HASH_BITS) -> list[float]:
+    """Cumulative Poisson(1) probabilities, for weights 0, 1, 2, ..., until what is left is below one hash value."""
+    steps, term, k = [exp(-1)], exp(-1), 0
+    while 1 - steps[-1] >= 2.0**-bits:
+        k += 1
+        term /= k
+        steps.append(steps[-1] + term)
+    return steps
 
 
 def report(per_query: DataFrame, dims: list[str], metrics: list[str]) -> DataFrame:
@@ -42,8 +53,8 @@ def compare(a: DataFrame, b: DataFrame, replicates: int = 200, level: float = 0.
         "query_id", F.round(F.coalesce("_b", F.lit(0.0)) - F.coalesce("_a", F.lit(0.0)), 6).alias("d")
     )
     drawn = delta.select("query_id", "d", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("r"))
-    u = hash28(F.concat_ws("-", "query_id", "r")) / F.lit(float(2**28))
-    weight = reduce(lambda w, p: w + F.when(u >= p, 1).otherwise(0), POISSON, F.lit(0))
+    u = hash28(F.concat_ws("-", "query_id", "r")) / F.lit(float(2**HASH_BITS))
+    weight = reduce(lambda w, p: w + F.when(u >= p, 1).otherwise(0), poisson_steps(), F.lit(0))
     means = (
         drawn.select("r", "d", weight.alias("w")).groupBy("r")
         .agg(F.round(F.try_divide(F.sum(F.col("w") * F.col("d")), F.sum("w")), 9).alias("m"))
@@ -63,7 +74,10 @@ def compare(a: DataFrame, b: DataFrame, replicates: int = 200, level: float = 0.
 def sweep(
     docs: DataFrame, queries: DataFrame, qrels: DataFrame, grid: list[tuple[int, int]], ks: list[int], depth: int = 50
 ) -> DataFrame:
-    """Recall, precision and hit rate for each passage size and overlap of ``grid``, in one job."""
+    """Recall, precision and hit rate for each passage size and overlap of ``grid``, in one job.
+
+    A point at which no judged query has a result is there too, with zeros.
+    """
     points = F.array(*[F.struct(F.lit(s).alias("size"), F.lit(o).alias("overlap")) for s, o in grid])
     cut = chunk(
         docs.withColumn("_p", F.explode(points)).select("doc_id", "text", "_p.size", "_p.overlap"),
@@ -71,4 +85,5 @@ def sweep(
     )
     by = ("size", "overlap")
     ranked = best_per_doc(bm25(build_index(cut, by=by), queries, depth), by)
-    return recall_at(ranked, qrels, ks, by)
+    every = docs.sparkSession.createDataFrame(grid, "size int, overlap int")
+    return recall_at(ranked, qrels, ks, by, every)

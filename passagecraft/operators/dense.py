@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import Normalizer
-from pyspark.ml.functions import array_to_vector
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from passagecraft.functions.kernel import Best, add_vectors, matrix
-from passagecraft.functions.sizing import fits_broadcast, stage, top_k
+from passagecraft.functions.kernel import Best, add_vectors, matrix, unit
+from passagecraft.functions.sizing import blocks, measured_bytes, query_block_bytes, stage, top_k
 from passagecraft.functions.text import hash28, tokens, unnest, with_runs
 
-BLOCK_ROWS = 100_000
-MOST_CELLS = 10_000
-
 
 def bucket_counts(texts: DataFrame, keys: list[str], text: str, dim: int, unit: str = "word") -> DataFrame:
     """Feature hashing: how many tokens of each text fall in each of ``dim`` buckets."""
@@ -74,16 +72,6 @@ def hash_embed(
     return weigh(counts, idf, list(keys)), asked
 
 
-def _schema(keys) -> str:
-    return ", ".join(["query_id long", *[f"{key} long" for key in keys], "score double"])
-
-
-def _ranked(vectors: DataFrame, scored: DataFrame, keys, k: int) -> DataFrame:
-    """The best k of all tasks, with keys of the type they came in."""
-    typed = [F.col(key).cast(vectors.schema[key].dataType) for key in keys]
-    return top_k(scored.select("query_id", *typed, "score"), ["query_id"], k, list(keys))
-
-
 def vector_topk(
     vectors: DataFrame,
     queries: DataFrame,
@@ -95,65 +83,88 @@ def vector_topk(
 ) -> DataFrame:
     """Exact nearest vectors per query; cosine, dot or l2 (as negative distance).
 
-    Query vectors whose measured size allows go to every task, which scores batches
-    of vectors and keeps k rows per query. A larger query table is met block by
-    block instead, see :func:`_blocked`.
+    Query vectors are cut into blocks of bounded size. For each block every task scores
+    batches of vectors in place and keeps k rows per query. Rows and queries with a null
+    vector are left out; keys and query ids keep their type.
     """
-    asked = queries.select("query_id", vector)
-    rows = vectors.select(*[F.col(key).cast("long") for key in keys], vector)
-    if not fits_broadcast(asked):
-        spread = min(MOST_CELLS, max(1, -(-vectors.count() // BLOCK_ROWS)))
-        parted = rows.withColumn("cell", F.pmod(F.xxhash64(*keys), F.lit(spread)).cast("int"))
-        everywhere = asked.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-        return _ranked(vectors, _blocked(parted, everywhere, k, metric, keys, vector, dim), keys, k)
-
-    table = asked.toArrow()
-    ids = table["query_id"].combine_chunks()
-    block = matrix(table[vector], dim)
+    return _searched(vectors.select(*keys, vector), queries.select("query_id", vector), k, metric, keys, vector, dim)
 
-    def score(batches):
-        best = Best(len(ids), k, len(keys))
-        for batch in batches:
-            found = [batch.column(key).to_numpy() for key in keys]
-            add_vectors(best, block, matrix(batch.column(vector), dim), found, metric)
-        yield pa.RecordBatch.from_arrays(best.columns(ids), names=["query_id", *keys, "score"])
 
-    return _ranked(vectors, rows.mapInArrow(score, _schema(keys)), keys, k)
+def _searched(rows, asked, k, metric, keys, vector, dim) -> DataFrame:
+    """``rows`` and ``asked`` hold keys and vectors; with ``cell`` and ``cells`` a query meets only vectors in its cells."""
+    asked = stage(asked.filter(F.col(vector).isNotNull()), "query-vectors")
+    wide = asked.withColumn(vector, F.array_repeat(F.lit(0.0), dim)) if dim else asked
+    share = measured_bytes(wide) / max(1, measured_bytes(asked))
+    size = int(query_block_bytes(asked.sparkSession) / max(1.0, share))
+    parts = [_scored_in_place(rows, part, k, metric, keys, vector, dim) for part in blocks(asked, "query_id", max(1, size))]
+    return top_k(reduce(DataFrame.union, parts), ["query_id"], k, list(keys))
 
 
-def _blocked(vectors, queries, k, metric, keys, vector, dim) -> DataFrame:
-    """Best k per query and block, for vectors and queries that share a cell.
+def _scored_in_place(rows, asked, k, metric, keys, vector, dim) -> DataFrame:
+    """Best k rows per query and task, for one block of query vectors."""
+    table = asked.toArrow().combine_chunks()
+    ids = table["query_id"].combine_chunks() if len(table) else pa.array([], table.schema.field("query_id").type)
+    block = matrix(table[vector], dim)
+    block = unit(block) if metric == "cosine" else block
+    everyone, probing = np.arange(len(ids)), None
+    if "cells" in table.column_names:
+        flat = table["cells"].combine_chunks()
+        owner = np.repeat(everyone, pc.list_value_length(flat).to_numpy(zero_copy_only=False)) if len(ids) else everyone
+        cell = flat.flatten().to_numpy(zero_copy_only=False) if len(ids) else everyone
+        probing = {c: owner[cell == c] for c in np.unique(cell).tolist()}
+    types = [to_arrow_type(rows.schema[key].dataType) for key in keys]
 
-    A cell with many vectors, or asked for by many queries, is split into blocks
-    of at most about ``BLOCK_ROWS`` rows on either side, so no group grows with the data.
-    The two tables broadcast here hold one row per cell.
+    def score(batches):
+        best = Best(len(ids), k, len(keys))
+        for batch in batches:
+            batch = batch.filter(pc.is_valid(batch[vector]))
+            held = matrix(batch[vector], dim)
+            held = unit(held) if metric == "cosine" else held
+            found = [batch[key].to_numpy(zero_copy_only=False) for key in keys]
+            if probing is None:
+                add_vectors(best, block, everyone, held, found, metric)
+                continue
+            cells = batch["cell"].to_numpy(zero_copy_only=False)
+            for c in np.unique(cells).tolist():
+                at, who = np.flatnonzero(cells == c), probing.get(c, everyone[:0])
+                add_vectors(best, block[who], who, held[at], [key[at] for key in found], metric)
+        yield pa.RecordBatch.from_arrays(best.columns(ids, types), names=["query_id", *keys, "score"])
+
+    named = [("query_id", asked.schema["query_id"].dataType), *[(key, rows.schema[key].dataType) for key in keys]]
+    return rows.mapInArrow(score, ", ".join([*[f"{n} {t.simpleString()}" for n, t in named], "score double"]))
+
+
+def cell_centers(vectors: DataFrame, cells: int = 16, rounds: int = 3, keys: tuple[str, ...] = ("vec_id",), vector: str = "embedding") -> np.ndarray:
+    """Centres of ``cells`` groups of directions, the same on any partitioning.
+
+    Starts from the vectors whose keys have the smallest hashes. In each round every
+    vector goes to the centre of largest cosine and each centre becomes the mean of its
+    vectors, both rounded to six digits. ``cells`` rows are collected per round.
     """
-    def parts(df, name):
-        counted = df.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"))
-        return F.broadcast(counted.select("cell", F.ceil(F.col("_n") / BLOCK_ROWS).cast("int").alias(name)))
-
-    sizes = parts(vectors, "_vn").join(parts(queries, "_qn"), "cell")
+    rows = vectors.select(*keys, vector).filter(F.col(vector).isNotNull())
+    first = rows.orderBy(hash28(F.concat_ws("-", *keys)), *keys).limit(cells).select(vector).toArrow()
+    centers = np.round(unit(matrix(first[vector], None)), 6)
+    for _ in range(rounds):
+        placed = nearest_cells(rows, centers, 1, vector).select(F.element_at("cells", 1).alias("cell"), vector)
+        length = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+        parts = placed.select("cell", length.alias("_l"), F.posexplode(vector).alias("at", "x"))
+        means = parts.groupBy("cell", "at").agg(F.round(F.avg(F.try_divide(F.col("x").cast("double"), F.col("_l"))), 6).alias("x"))
+        for r in means.collect():
+            centers[r["cell"], r["at"]] = r["x"]
+    return centers
+
+
+def nearest_cells(df: DataFrame, centers: np.ndarray, probes: int, vector: str = "embedding") -> DataFrame:
+    """``df`` with ``cells``: the ``probes`` nearest centres of each vector by cosine, ties by number."""
+    held = unit(centers)
 
-    def placed(df, own, own_n, other, other_n, ids):
-        return (
-            df.join(F.broadcast(sizes), "cell")
-            .withColumn(own, F.pmod(F.xxhash64(*ids), F.col(own_n)).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
-            .drop("_vn", "_qn")
-        )
-
-    left = placed(vectors, "_vb", "_vn", "_qb", "_qn", keys)
-    right = placed(queries, "_qb", "_qn", "_vb", "_vn", ["query_id"])
-
-    def score(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        best, block = Best(len(asked), k, len(keys)), matrix(asked[vector], dim)
-        for batch in rows.to_batches(max_chunksize=10_000):
-            found = [batch.column(key).to_numpy() for key in keys]
-            add_vectors(best, block, matrix(batch.column(vector), dim), found, metric)
-        return pa.Table.from_arrays(best.columns(asked["query_id"].combine_chunks()), names=["query_id", *keys, "score"])
+    @F.pandas_udf("array<int>")
+    def nearest(column: pd.Series) -> pd.Series:
+        rows = unit(np.vstack(column.to_numpy()).astype(np.float64))
+        near = np.round(rows @ held.T, 6)
+        return pd.Series(list(np.argsort(-near, axis=1, kind="stable")[:, :probes].astype(np.int32)))
 
-    group = ["cell", "_vb", "_qb"]
-    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(score, _schema(keys))
+    return df.withColumn("cells", nearest(vector))
 
 
 def ivf_topk(
@@ -165,31 +176,17 @@ def ivf_topk(
     metric: str = "cosine",
     keys: tuple[str, ...] = ("vec_id",),
     vector: str = "embedding",
-    seed: int = 7,
+    centers: np.ndarray | None = None,
 ) -> DataFrame:
-    """Approximate nearest vectors: k-means cells, of which each query searches the nearest few.
+    """Approximate nearest vectors: each query searches only the ``probes`` cells nearest to it.
 
-    Cells are formed over directions, whatever the metric; only which vectors
-    are looked at is approximate, their scores are exact.
+    Cells are formed over directions, whatever the metric, by :func:`cell_centers` or
+    around given ``centers``; only which vectors are looked at is approximate, their scores
+    are exact. Null vectors are left out.
     """
-    if cells > MOST_CELLS:
-        raise ValueError(f"at most {MOST_CELLS} cells")
-
-    def features(df):
-        out = df.withColumn("_raw", array_to_vector(F.col(vector).cast("array<double>")))
-        return Normalizer(inputCol="_raw", outputCol="_features").transform(out)
-
-    rows = features(vectors.select(*[F.col(key).cast("long") for key in keys], vector))
-    model = KMeans(k=cells, seed=seed, featuresCol="_features", predictionCol="cell").fit(rows)
-    centers = np.array(model.clusterCenters())
-
-    @F.pandas_udf("array<int>")
-    def nearest(column: pd.Series) -> pd.Series:
-        asked = np.vstack(column.to_numpy()).astype(np.float64)
-        asked /= np.maximum(np.linalg.norm(asked, axis=1, keepdims=True), 1e-12)
-        distance = (centers**2).sum(1)[None, :] - 2 * asked @ centers.T
-        return pd.Series(list(np.argsort(distance, axis=1, kind="stable")[:, :probes].astype(np.int32)))
-
-    placed = model.transform(rows).select(*keys, vector, "cell")
-    asked = queries.select("query_id", vector, F.explode(nearest(vector)).alias("cell"))
-    return _ranked(vectors, _blocked(placed, asked, k, metric, keys, vector, None), keys, k)
+    if centers is None:
+        centers = cell_centers(vectors, cells, keys=keys, vector=vector)
+    rows = nearest_cells(vectors.select(*keys, vector).filter(F.col(vector).isNotNull()), centers, 1, vector)
+    asked = nearest_cells(queries.select("query_id", vector).filter(F.col(vector).isNotNull()), centers, probes, vector)
+    rows = rows.select(*keys, vector, F.element_at("cells", 1).alias("cell"))
+    return _searched(rows, asked, k, metric, keys, vector, None)

@@ -3,45 +3,61 @@
 from __future__ import annotations
 
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Patterns over page markup, and the entities decoded (the ampersand last).
 ARTICLE = r"(?is)<article[^>]*>(.*?)(?:</article>|\z)"
 BODY = r"(?is)<body[^>]*>(.*?)(?:</body>|\z)"
+HEAD = r"(?is)<head(?:\s[^>]*)?>.*?(?:</head>|(?=<body))"
 HIDDEN = [
-    r"(?is)<!--.*?-->",
-    r"(?is)<script[^>]*>.*?</script>",
-    r"(?is)<style[^>]*>.*?</style>",
+    r"(?is)<!--.*?(?:-->|\z)",
+    r"(?is)<script[^>]*>.*?(?:</script>|\z)",
+    r"(?is)<style[^>]*>.*?(?:</style>|\z)",
     r"(?is)<nav[^>]*>.*?</nav>",
+    r"(?is)<header[^>]*>.*?</header>",
+    r"(?is)<aside[^>]*>.*?</aside>",
     r"(?is)<footer[^>]*>.*?</footer>",
     r"(?is)<h1[^>]*>.*?</h1>",
 ]
 BLOCK = r"(?i)</?(?:p|br|div|li|ul|ol|tr|table|h[1-6]|section|blockquote|pre)(?:\s[^>]*)?/?>"
 TAG = r"(?s)<[^>]*>"
-ENTITIES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&apos;": "'",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&amp;": "&",
-}
+# Named references: those of HTML 4, the ampersand last.
+ENTITIES = {f"&{name};": chr(code) for name, code in sorted(name2codepoint.items()) if name not in ("amp", "nbsp")}
+ENTITIES |= {"&nbsp;": " ", "&apos;": "'", "&amp;": "&"}
+REFERENCE = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 LANG = r"(?i)<html[^>]*\slang=[\"']?([a-z]+)"
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)"
 
 
+def _character(code: Column) -> Column:
+    """The character of a decimal or ``x`` hexadecimal number, empty if there is none."""
+    number = F.when(F.lower(F.substring(code, 1, 1)) == "x", F.conv(F.substring(code, 2, 6), 16, 10)).otherwise(code).cast("int")
+    valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise("")
+
+
 def _decoded(text: Column) -> Column:
-    return reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), text)
+    """Character references decoded: numeric ones by their number, named ones by table, the ampersand last.
+
+    Each kind that occurs in the text is replaced once; a text without an ampersand is left as it is.
+    """
+    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)))
+    plain = F.aggregate(numbers, text, lambda t, n: F.replace(t, F.concat(F.lit("&#"), n, F.lit(";")), _character(n)))
+    names = F.array_distinct(F.regexp_extract_all(plain, F.lit("&[a-zA-Z][a-zA-Z0-9]*;"), F.lit(0)))
+    table = F.map_from_arrays(F.lit(list(ENTITIES)), F.lit(list(ENTITIES.values())))
+    known = F.filter(names, lambda n: F.map_contains_key(table, n) & (n != "&amp;"))
+    named = F.aggregate(known, plain, lambda t, n: F.replace(t, n, F.element_at(table, n)))
+    return F.when(F.contains(text, F.lit("&")), F.replace(named, F.lit("&amp;"), F.lit("&"))).otherwise(text)
 
 
 def _main_text(html: str) -> Column:
-    article = F.regexp_extract(html, ARTICLE, 1)
-    main = F.when(article != "", article).otherwise(F.regexp_extract(html, BODY, 1))
+    """All articles, else the body, else all markup but the head."""
+    article = F.array_join(F.regexp_extract_all(html, F.lit(ARTICLE), F.lit(1)), "\n")
+    body = F.regexp_extract(html, BODY, 1)
+    main = F.when(article != "", article).when(body != "", body).otherwise(F.regexp_replace(html, HEAD, " "))
     shown = reduce(lambda c, p: F.regexp_replace(c, p, " "), HIDDEN, main)
     plain = F.regexp_replace(F.regexp_replace(shown, BLOCK, "\n"), TAG, "")
     spaced = F.regexp_replace(_decoded(plain), r"[ \t\r]+", " ")

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from passagecraft.functions.kernel import Best, TermWeights, of_variant
-from passagecraft.functions.sizing import fits_broadcast, split_join, top_k
+from passagecraft.functions.sizing import blocks, broadcast_if, query_block_bytes, stage, top_k
 from passagecraft.functions.text import tokens, unnest, with_runs
 from passagecraft.operators.index import PASSAGE, Index
 
@@ -32,19 +35,16 @@ def bm25(
 ) -> DataFrame:
     """Best k passages per query. ``where`` limits the passages ranked, not the statistics.
 
-    The filter stands on columns kept in the index, so it reaches the scan.
+    The filter stands on columns kept in the index, so it reaches the scan. Query weights
+    are cut into blocks of bounded size; for each block every task scores its passages in
+    place and keeps k rows per query, so neither passages nor scores are shuffled.
     """
     by = list(index.by)
     asked = query_terms(queries, unit)
-    small = fits_broadcast(asked)
-    if small:
-        # As a semi-join this is moved below the count per term, so only asked terms are shuffled.
-        wanted = F.broadcast(asked.select("term").distinct())
-        known = index.terms.join(wanted, "term", "left_semi").join(F.broadcast(asked), "term")
-    else:
-        known = index.terms.join(asked, "term")
+    # The semi-join is moved below the count per term, so only asked terms are shuffled.
+    known = index.terms.join(broadcast_if(asked.select("term").distinct()), "term", "left_semi").join(broadcast_if(asked), "term")
     if by:
-        known = known.join(F.broadcast(index.totals), by)
+        known = known.join(broadcast_if(index.totals), by)
         n, words = F.col("n_chunks"), F.col("n_words")
     else:
         both = index.totals.select(F.struct("n_chunks", "n_words")).scalar()
@@ -54,25 +54,19 @@ def bm25(
         (F.col("qtf") * F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("_idf"),
         (words / n).alias("_mean"),
     )
+    weights = stage(weights, "query-weights")
     if where is not None:
         index = replace(index, passages=index.passages.filter(where))
-    if small:
-        scored = _scored_in_place(index, weights, queries.schema["query_id"].dataType.simpleString(), k, k1, b)
-    else:
-        narrow = index.postings().select(*by, *PASSAGE, "term", "tf", "n_words")
-        hits = split_join(narrow, weights, [*by, "term"], PASSAGE)
-        tf = F.col("tf")
-        part = F.col("_idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("n_words") / F.col("_mean")))
-        scored = hits.groupBy(*by, "query_id", *PASSAGE).agg(F.round(F.sum(part), 6).alias("score"))
-    return top_k(scored, [*by, "query_id"], k, PASSAGE)
+    parts = [_scored_in_place(index, part, k, k1, b) for part in blocks(weights, "query_id", query_block_bytes(weights.sparkSession))]
+    return top_k(reduce(DataFrame.union, parts), [*by, "query_id"], k, PASSAGE)
 
 
-def _scored_in_place(index: Index, weights: DataFrame, query_type: str, k: int, k1: float, b: float) -> DataFrame:
-    """Best k passages per query and task, for query weights small enough for every task.
+def _scored_in_place(index: Index, weights: DataFrame, k: int, k1: float, b: float) -> DataFrame:
+    """Best k passages per query and task, for one block of query weights.
 
     A join would give every query a row for nearly every passage, through common
     words, and hold them all to sum and sort. Here a task scores a batch of passages at a
-    time and keeps k rows per query, so neither passages nor scores are shuffled.
+    time and keeps k rows per query.
     """
     by, table = list(index.by), weights.toArrow().combine_chunks()
     variants, kinds = {}, [table.schema.field(name).type for name in by]
@@ -82,6 +76,9 @@ def _scored_in_place(index: Index, weights: DataFrame, query_type: str, k: int,
             columns = [rows[name].combine_chunks() for name in ("query_id", "term", "_idf", "_mean")]
             variants[variant] = TermWeights(*columns[:2], columns[2].to_numpy(), columns[3][0].as_py())
 
+    types = {f.name: f.dataType for f in index.passages.schema}
+    key_types = [to_arrow_type(types[key]) for key in PASSAGE]
+
     def score(batches):
         best = {v: Best(len(t.ids), k, len(PASSAGE)) for v, t in variants.items()}
         for batch in batches:
@@ -89,15 +86,13 @@ def _scored_in_place(index: Index, weights: DataFrame, query_type: str, k: int,
                 rows = of_variant(pa.Table.from_batches([batch]), by, variant)
                 for part in rows.combine_chunks().to_batches(max_chunksize=asked.rows_at_once):
                     scores = asked.bm25(part["runs"], part["n_words"].to_numpy(), k1, b)
-                    best[variant].add(scores, [part[key].to_numpy() for key in PASSAGE])
+                    keys = [part[key].to_numpy(zero_copy_only=False) for key in PASSAGE]
+                    best[variant].add(scores, keys, np.arange(len(asked.ids)))
         for variant, asked in variants.items():
-            found = best[variant].columns(asked.ids)
+            found = best[variant].columns(asked.ids, key_types)
             fixed = [pa.array([v] * len(found[0]), kind) for v, kind in zip(variant, kinds)]
             yield pa.RecordBatch.from_arrays([*fixed, *found], names=[*by, "query_id", *PASSAGE, "score"])
 
-    rows = index.passages.select(*by, *[F.col(key).cast("long") for key in PASSAGE], "n_words", "runs")
-    types = {f.name: f.dataType for f in index.passages.schema}
-    fields = [*[f"{name} {types[name].simpleString()}" for name in by], f"query_id {query_type}"]
-    schema = ", ".join([*fields, *[f"{key} long" for key in PASSAGE], "score double"])
-    keys = [F.col(key).cast(types[key]) for key in PASSAGE]
-    return rows.mapInArrow(score, schema).select(*by, "query_id", *keys, "score")
+    fields = [*[f"{name} {types[name].simpleString()}" for name in by], f"query_id {weights.schema['query_id'].dataType.simpleString()}"]
+    schema = ", ".join([*fields, *[f"{key} {types[key].simpleString()}" for key in PASSAGE], "score double"])
+    return index.passages.select(*by, *PASSAGE, "n_words", "runs").mapInArrow(score, schema)

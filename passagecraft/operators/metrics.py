@@ -26,9 +26,13 @@ def _matched(run: DataFrame, qrels: DataFrame, by: tuple[str, ...] = ()) -> Data
 
 
 def recall_at(
-    run: DataFrame, qrels: DataFrame, ks: list[int], by: tuple[str, ...] = ()
+    run: DataFrame, qrels: DataFrame, ks: list[int], by: tuple[str, ...] = (), variants: DataFrame | None = None
 ) -> DataFrame:
-    """Mean recall, precision and hit rate at each k, per variant named by ``by``."""
+    """Mean recall, precision and hit rate at each k, per variant named by ``by``.
+
+    Variants are those of the run, and those listed in ``variants``; one that answers no
+    judged query has zeros.
+    """
     judged = _judged(qrels)
     n = judged.agg(F.count(F.lit(1))).scalar()
     hits = _matched(run, qrels, by).groupBy(*by, "query_id").agg(
@@ -45,6 +49,12 @@ def recall_at(
         )
 
     sums = hits.join(judged, "query_id").groupBy(*by).agg(F.array(*[at(k) for k in ks]).alias("all"))
+    if by:
+        held = run.select(*by).distinct()
+        held = held if variants is None else held.union(variants.select(*by)).distinct()
+        sums = held.join(sums, list(by), "left")
+    zero = F.array(*[F.struct(F.lit(k).alias("k"), *[F.lit(0.0).alias(m) for m in ("recall", "precision", "hit_rate")]) for k in ks])
+    sums = sums.withColumn("all", F.coalesce("all", zero))
     mean = lambda name: F.round(F.try_divide(F.coalesce(F.col(f"m.{name}"), F.lit(0.0)), n), 6).alias(name)
     return sums.select(*by, F.explode("all").alias("m")).select(
         *by, "m.k", mean("recall"), mean("precision"), mean("hit_rate"), n.alias("n_queries")

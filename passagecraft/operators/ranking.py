@@ -6,13 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from passagecraft.functions.sizing import broadcast_bytes, top_k
+from passagecraft.functions.sizing import broadcast_if, stage, top_k
 from passagecraft.operators.dense import vector_topk
 from passagecraft.operators.index import PASSAGE, Index
 from passagecraft.operators.lexical import bm25
 
-HIT_BYTES = 64
-
 
 def filtered_topk(index: Index, queries: DataFrame, predicate: Column, k: int = 10) -> DataFrame:
     """Keyword ranking among passages whose kept columns meet the predicate."""
@@ -35,13 +33,12 @@ def rrf(rankings: list[DataFrame], k0: int = 60, k: int = 10, keys: list[str] =
     return top_k(scored, ["query_id"], k, keys)
 
 
-def expand(hits: DataFrame, chunks: DataFrame, width: int = 1, most_hits: int | None = None) -> DataFrame:
+def expand(hits: DataFrame, chunks: DataFrame, width: int = 1) -> DataFrame:
     """Each hit with its neighbours up to ``width`` passages away, each passage once per query.
 
     Neighbour numbers are spelled out first, so the join is a plain equality on
-    the passage and one long document spreads over many tasks. ``most_hits``, such
-    as queries times k, is a bound the caller can prove; if small enough, the hits
-    are broadcast and the passages are not shuffled.
+    the passage and one long document spreads over many tasks. The hits are staged and
+    measured; if small enough they are broadcast and the passages are not shuffled.
     """
     wanted = (
         hits.select(
@@ -51,14 +48,13 @@ def expand(hits: DataFrame, chunks: DataFrame, width: int = 1, most_hits: int |
         .groupBy("query_id", *PASSAGE)
         .agg(F.min("rank").alias("rank"))
     )
-    if most_hits is not None and most_hits * (2 * width + 1) * HIT_BYTES <= broadcast_bytes(hits.sparkSession):
-        wanted = F.broadcast(wanted)
+    wanted = broadcast_if(stage(wanted, "wanted"))
     return chunks.select(*PASSAGE, "chunk").join(wanted, PASSAGE).select("query_id", *PASSAGE, "rank", "chunk")
 
 
-def with_text(hits: DataFrame, chunks: DataFrame, most_hits: int | None = None) -> DataFrame:
+def with_text(hits: DataFrame, chunks: DataFrame) -> DataFrame:
     """Hits with the text of their passages."""
-    return expand(hits, chunks, 0, most_hits)
+    return expand(hits, chunks, 0)
 
 
 def best_per_doc(hits: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -72,20 +68,34 @@ def best_per_doc(hits: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return flat.withColumn("rank", F.row_number().over(w))
 
 
-def context(hits: DataFrame, budget: int = 2000, gap: str = "\n\n") -> DataFrame:
+def context(hits: DataFrame, budget: int = 2000, gap: str = "\n\n", queries: DataFrame | None = None) -> DataFrame:
     """Passages in rank order up to ``budget`` characters, joined into one text per query.
 
-    A query's hits number k times the passages each hit was expanded to.
+    A passage that no longer fits is skipped and the next ones are tried; ``n_skipped``
+    counts such passages. A query of which nothing fits has an empty context, and so has
+    each one of ``queries`` without a hit. A query's hits number k times the passages each
+    hit was expanded to, so its list is short.
     """
     order = ["rank", "doc_id", "chunk_no"]
-    w = Window.partitionBy("query_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    used = F.sum(F.length("chunk") + len(gap)).over(w) - len(gap)
-    fitting = hits.withColumn("_used", used).filter(F.col("_used") <= budget)
-    listed = F.sort_array(F.collect_list(F.struct(*order, "chunk")))
-    return fitting.groupBy("query_id").agg(
-        F.count(F.lit(1)).alias("n_passages"),
-        F.max("_used").cast("long").alias("n_chars"),
-        F.array_join(F.transform(listed, lambda h: h["chunk"]), gap).alias("context"),
+    listed = hits.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct(*order, "chunk"))).alias("_h"))
+    if queries is not None:
+        listed = queries.select("query_id").distinct().join(listed, "query_id", "left")
+    none = F.array().cast("array<string>")
+
+    def take(state, hit):
+        size = state["used"] + F.length(hit["chunk"]) + F.when(F.size(state["kept"]) > 0, len(gap)).otherwise(0)
+        fits = size <= budget
+        return F.struct(
+            F.when(fits, size).otherwise(state["used"]).alias("used"),
+            F.when(fits, F.array_append(state["kept"], hit["chunk"])).otherwise(state["kept"]).alias("kept"),
+        )
+
+    filled = F.aggregate(F.col("_h"), F.struct(F.lit(0).alias("used"), none.alias("kept")), take)
+    held = listed.withColumn("_f", F.coalesce(filled, F.struct(F.lit(0).alias("used"), none.alias("kept"))))
+    n = F.size("_f.kept").cast("long")
+    return held.select(
+        "query_id", n.alias("n_passages"), (F.greatest(F.coalesce(F.size("_h"), F.lit(0)), F.lit(0)) - n).alias("n_skipped"),
+        F.col("_f.used").cast("long").alias("n_chars"), F.array_join("_f.kept", gap).alias("context"),
     )
 
 

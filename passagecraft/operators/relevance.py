@@ -2,43 +2,44 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from passagecraft.functions.sizing import match, stage
 from passagecraft.functions.text import tokens, unnest
 
 
-def _grams(df: DataFrame, key: str, n: int) -> DataFrame:
-    """key, position and text of each run of n tokens of column ``_t``."""
+def _grams(df: DataFrame, keep: list[str], n: int) -> DataFrame:
+    """``keep``, position and two hashes of each run of n tokens of column ``_t``."""
     runs = F.transform(
-        F.sequence(F.lit(0), F.size("_t") - n), lambda i: F.array_join(F.slice(F.col("_t"), i + 1, n), " ")
+        F.sequence(F.lit(0), F.size("_t") - n),
+        lambda i: F.struct(F.xxhash64(F.slice(F.col("_t"), i + 1, n)).alias("a"), F.xxhash64(F.lit(n), F.slice(F.col("_t"), i + 1, n)).alias("b")),
     )
-    return unnest(df, [key], F.when(F.size("_t") >= n, runs), "gram", "at")
+    out = unnest(df, keep, F.when(F.size("_t") >= n, runs), "_g", "at")
+    return out.select(*keep, "at", F.lit(n).alias("_size"), F.col("_g.a").alias("_a"), F.col("_g.b").alias("_b"))
 
 
 def qrels(items: DataFrame, docs: DataFrame, n: int = 8, unit: str = "word") -> DataFrame:
     """query_id, doc_id, rel = 1 where a document holds all of an item's tokens in a row.
 
-    Runs of n tokens are joined by equality. Each match says where in the document
-    the item would have to start; it is there if every one of its runs agrees on
-    that start. No text is joined back and no pair is tested by scanning. Items shorter
-    than n are matched token by token in the same way.
+    Runs of n tokens, or of an item's own length if it is shorter, are joined by two 64-bit
+    hashes. Each match says where in the document the item would have to start; it is there
+    if every one of its runs agrees on that start. No text is joined back and no pair is
+    tested by scanning.
     """
-    cut_items = items.select(F.col("item_id").alias("query_id"), tokens("text", unit).alias("_t"))
+    cut_items = stage(items.select(F.col("item_id").alias("query_id"), tokens("text", unit).alias("_t")).filter(F.size("_t") > 0), "items")
     cut_docs = docs.select("doc_id", tokens("text", unit).alias("_t"))
-
-    def found(part: DataFrame, length: int) -> DataFrame:
-        wanted = _grams(part, "query_id", length).withColumnRenamed("at", "_j")
-        wanted = wanted.join(
-            part.select("query_id", (F.size("_t") - length + 1).alias("_need")), "query_id"
-        )
-        hits = match(_grams(cut_docs, "doc_id", length), wanted, ["gram"], ["doc_id", "at"])
-        starts = hits.groupBy("query_id", "doc_id", (F.col("at") - F.col("_j")).alias("start")).agg(
-            F.count(F.lit(1)).alias("_n"), F.first("_need").alias("_need")
-        )
-        return starts.filter("_n = _need").select("query_id", "doc_id")
-
-    long = found(cut_items.filter(F.size("_t") >= n), n)
-    short = cut_items.filter((F.size("_t") < n) & (F.size("_t") > 0))
-    pairs = long if short.isEmpty() else long.unionByName(found(short, 1))
-    return stage(pairs.distinct().withColumn("rel", F.lit(1)), "qrels")
+    # At most n lengths, whatever the number of items.
+    lengths = [r["n"] for r in cut_items.select(F.least(F.size("_t"), F.lit(n)).alias("n")).distinct().collect()]
+    if not lengths:
+        return cut_items.join(docs.select("doc_id").limit(0), F.lit(True)).select("query_id", "doc_id", F.lit(1).alias("rel"))
+    own = cut_items.withColumn("_l", F.least(F.size("_t"), F.lit(n))).withColumn("_need", F.size("_t") - F.col("_l") + 1)
+    wanted = reduce(DataFrame.union, [_grams(own.filter(F.col("_l") == k), ["query_id", "_need"], k) for k in lengths])
+    held = reduce(DataFrame.union, [_grams(cut_docs, ["doc_id"], k) for k in lengths])
+    hits = match(held, wanted.withColumnRenamed("at", "_j"), ["_size", "_a", "_b"], ["doc_id", "at"])
+    starts = hits.groupBy("query_id", "doc_id", (F.col("at") - F.col("_j")).alias("start")).agg(
+        F.count(F.lit(1)).alias("_found"), F.first("_need").alias("_need")
+    )
+    pairs = starts.filter("_found = _need").select("query_id", "doc_id").distinct()
+    return stage(pairs.withColumn("rel", F.lit(1)), "qrels")

@@ -33,11 +33,14 @@ def retrieve(
     cut = "word" if unit == "word" else "char"
     hits = stage(bm25(build_index(chunk(docs, unit=cut), unit), queries, k, unit), "hits")
     found = docs.join(broadcast_if(hits.select("doc_id").distinct()), "doc_id", "left_semi")
-    return context(expand(hits, chunk(found, unit=cut), width, most_hits=queries.count() * k), budget)
+    return context(expand(hits, chunk(found, unit=cut), width), budget, queries=queries)
 
 
 def evaluate(hits: DataFrame, qrels: DataFrame, docs: DataFrame, k: int = 10) -> DataFrame:
-    """Metrics of passage hits by language and source of the wanted document, with totals."""
+    """Metrics of passage hits by language and source, with totals.
+
+    A query counts for the language and source of its relevant document of smallest id.
+    """
     scores = per_query(stage(best_per_doc(hits), "run"), qrels, k)
     wanted = qrels.groupBy("query_id").agg(F.min("doc_id").alias("doc_id"))
     sliced = scores.join(wanted, "query_id").join(docs.select("doc_id", "lang", "source"), "doc_id")

@@ -12,7 +12,7 @@ from passagecraft.sources import tables
 from passagecraft.streaming.ingest import stream_corpus
 
 SIZE, OVERLAP, SENTENCE_SIZE, DIM = 120, 20, 400, 256
-K, DEPTH = 10, 50
+K, DEPTH, CELLS = 10, 50, 16
 GRID = [(60, 0), (120, 20), (240, 40)]
 KS = [1, 3, 5, 10]
 PASSAGE = index_.PASSAGE
@@ -170,7 +170,7 @@ def index_changes(spark, d):
 def update_index(spark, d):
     old, new = _docs(spark, d), _refreshed(spark, d)
     before = index_.build_index(chunks_.chunk(old, SIZE, OVERLAP))
-    after = index_.update_index(before, index_.changes(old, new), chunks_.chunk(new, SIZE, OVERLAP))
+    after = index_.update_index(before, index_.changes(old, new), new, lambda docs: chunks_.chunk(docs, SIZE, OVERLAP))
     held = after.postings().groupBy("term").agg(F.count(F.lit(1)).alias("n_postings"), F.sum("tf").alias("n_tokens"))
     return after.terms.join(held, "term", "full_outer")
 
@@ -217,7 +217,7 @@ def vector_filtered(spark, d):
 
 
 def ivf_topk(spark, d):
-    return _long(dense.ivf_topk(_vectors(spark, d), _centroids(spark, d), K, 16, 4), "rank")
+    return _long(dense.ivf_topk(_vectors(spark, d), _centroids(spark, d), K, CELLS, 4), "rank")
 
 
 def ivf_topk_all_cells(spark, d):
@@ -229,12 +229,11 @@ def vector_passages(spark, d):
 
 
 def rrf(spark, d):
-    return _hits(ranking.rrf([_bm25(spark, d, DEPTH), _near(spark, d, DEPTH)], k=K))
+    return _hits(rag.hybrid(_chunks(spark, d), _asked(spark, d), K, DEPTH, DIM))
 
 
 def expand(spark, d):
-    most = _asked(spark, d).count() * K
-    return _long(ranking.expand(_bm25(spark, d), _chunks(spark, d), 1, most), "chunk_no", "rank")
+    return _long(ranking.expand(_bm25(spark, d), _chunks(spark, d), 1), "chunk_no", "rank")
 
 
 def best_per_doc(spark, d):

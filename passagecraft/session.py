@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "12
         builder.master(f"local[{cores}]")
         .appName("passagecraft")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.passagecraft.readPartitions", str(partitions))
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")

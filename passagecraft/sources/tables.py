@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from passagecraft.functions.sizing import spread
-
 PAGE_SCHEMA = "page_id long, url string, html string"
 DOCUMENT_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 ITEM_SCHEMA = "item_id long, text string"
@@ -20,25 +18,36 @@ ARTICLE_SCHEMA = (
 )
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Stored responses of a crawl, one row per fetched page."""
-    return spread(spark.read.schema(PAGE_SCHEMA).parquet(path), "page_id")
+def _read(spark: SparkSession, path: str, schema: str, partitions: int | None) -> DataFrame:
+    df = spark.read.schema(schema).parquet(path)
+    partitions = partitions or int(spark.conf.get("spark.passagecraft.readPartitions", "0"))
+    return df.repartition(partitions) if partitions else df
+
+
+def read_pages(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Stored responses of a crawl, one row per fetched page.
+
+    Rows are read where they lie. ``partitions``, or ``spark.passagecraft.readPartitions``
+    where it is not given, deals them to so many tasks first, for one machine whose cores
+    outnumber the files; both are unset by default.
+    """
+    return _read(spark, path, PAGE_SCHEMA, partitions)
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spread(spark.read.schema(DOCUMENT_SCHEMA).parquet(path), "doc_id")
+def read_documents(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    return _read(spark, path, DOCUMENT_SCHEMA, partitions)
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ITEM_SCHEMA).parquet(path)
 
 
-def read_turns(spark: SparkSession, path: str) -> DataFrame:
-    return spread(spark.read.schema(TURN_SCHEMA).parquet(path), "conv_id", "turn")
+def read_turns(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    return _read(spark, path, TURN_SCHEMA, partitions)
 
 
-def read_vectors(spark: SparkSession, path: str) -> DataFrame:
-    return spread(spark.read.schema(VECTOR_SCHEMA).parquet(path), "vec_id")
+def read_vectors(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    return _read(spark, path, VECTOR_SCHEMA, partitions)
 
 
 def write_corpus(

@@ -15,6 +15,14 @@ def spark(tmp_path_factory):
     return local_session(8, memory="8g", shared=str(tmp_path_factory.mktemp("shared")))
 
 
+@pytest.fixture
+def one_query_a_block(spark):
+    """Query batches are cut into as many blocks as can be."""
+    spark.conf.set("spark.passagecraft.queryBlockBytes", "1")
+    yield
+    spark.conf.unset("spark.passagecraft.queryBlockBytes")
+
+
 @pytest.fixture
 def no_broadcast(spark):
     """Every measured table is too large to broadcast."""

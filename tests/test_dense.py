@@ -1,9 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
-from passagecraft.operators import dense
 from passagecraft.operators.dense import hash_embed, ivf_topk, vector_topk
 from passagecraft.operators.ranking import filtered_vector_topk
 from passagecraft.sources.tables import read_vectors
@@ -49,15 +49,36 @@ def test_exact_with_copies(spark, vectors, metric):
     assert rows(got, *COLUMNS) == brute(base, asked, 20, metric)
 
 
-def test_exact_in_blocks(spark, vectors, no_broadcast, monkeypatch):
-    monkeypatch.setattr(dense, "BLOCK_ROWS", 3)
+def test_exact_in_blocks(spark, vectors, one_query_a_block):
     base, asked = vectors
     got = vector_topk(_table(spark, "vec_id", base[:120]), _table(spark, "query_id", asked), 9)
     assert rows(got, *COLUMNS) == brute(base[:120], asked, 9, "cosine")
 
 
-def test_all_cells_are_exact_with_a_hot_cell(spark, vectors, monkeypatch):
-    monkeypatch.setattr(dense, "BLOCK_ROWS", 20)
+def test_string_keys_and_null_vectors(spark):
+    v = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("z", None), ("c", [0.0, 1.0])], "vec_id string, embedding array<float>")
+    q = spark.createDataFrame([("x", [1.0, 0.0]), ("none", None)], "query_id string, embedding array<float>")
+    want = [("x", 1, "a", 1.0), ("x", 2, "b", 1.0), ("x", 3, "c", 0.0)]
+    assert rows(vector_topk(v, q, 5), *COLUMNS) == want
+    assert rows(ivf_topk(v, q, 5, cells=2, probes=2), *COLUMNS) == want
+
+
+def test_kernel_keeps_the_best_of_many_queries():
+    from passagecraft.functions.kernel import Best, add_vectors
+
+    rng = np.random.default_rng(2)
+    rows_, queries = rng.normal(size=(900, 4)).round(2), rng.normal(size=(700, 4)).round(2)
+    best = Best(700, 3, 1)
+    for low in (0, 400):
+        add_vectors(best, queries, np.arange(700), rows_[low : low + 500 if low else 400], [np.arange(900)[low : low + 500 if low else 400]], "dot")
+    q, key, score = (c.to_pylist() for c in best.columns(pa.array(np.arange(700)), [pa.int64()]))
+    exact = np.round(rows_ @ queries.T, 6)
+    for i in (0, 255, 256, 699):
+        want = sorted(range(900), key=lambda r: (-exact[r, i], r))[:3]
+        assert [k for a, k in zip(q, key) if a == i] == want
+
+
+def test_all_cells_are_exact_with_a_hot_cell(spark, vectors):
     base, asked = vectors
     got = ivf_topk(_table(spark, "vec_id", base), _table(spark, "query_id", asked), 12, cells=4, probes=4)
     assert rows(got, *COLUMNS) == brute(base, asked, 12, "cosine")

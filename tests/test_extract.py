@@ -30,8 +30,19 @@ def test_article_only_with_entities_and_blocks(spark):
 
 
 def test_unclosed_and_missing_article(spark):
-    pages = _pages(spark, "<article><p>open end", "<body><nav>no</nav><p>plain</p><style>x</style>", "no markup", "")
-    assert [r.text for r in extract_text(pages).orderBy("page_id").collect()] == ["open end", "plain", "", ""]
+    pages = _pages(spark, "<article><p>open end", "<body><nav>no</nav><p>plain</p><style>x</style>", "no markup", "", "<html><head><title>t</title></head><p>no body tag</p>")
+    assert [r.text for r in extract_text(pages).orderBy("page_id").collect()] == ["open end", "plain", "no markup", "", "no body tag"]
+
+
+def test_all_articles_and_no_furniture(spark):
+    html = ("<body><header>top</header><article><p>one</p><aside>side</aside></article><article><p>two</p></article>"
+            "<script>never closed")
+    assert rows(extract_text(_pages(spark, html)), "text") == [("one\ntwo",)]
+
+
+def test_character_references(spark):
+    html = "<body><p>caf&eacute; &#8217;&#x1F600; &euro;5 &unknown; &#0; &amp;eacute; &nbsp;x &lt;b&gt;</p>"
+    assert rows(extract_text(_pages(spark, html)), "text") == [("café ’😀 €5 &unknown; &eacute; x <b>",)]
 
 
 def test_meta(spark):

@@ -49,8 +49,7 @@ def test_bm25_equals_brute_force(spark):
     _check(spark, bm25(build_index(chunk(_docs(spark))), _queries(spark), 10))
 
 
-def test_bm25_without_broadcast_and_with_hot_terms_split(spark, no_broadcast, monkeypatch):
-    monkeypatch.setattr(sizing, "HOT_KEY_ROWS", 1)
+def test_bm25_without_broadcast_and_in_blocks(spark, no_broadcast, one_query_a_block):
     _check(spark, bm25(build_index(chunk(_docs(spark))), _queries(spark), 10))
 
 
@@ -80,7 +79,30 @@ def test_saved_index_is_scored_without_moving_passages(spark, tmp_path):
     hits = bm25(load_index(spark, str(tmp_path)), _queries(spark), 10)
     _check(spark, hits)
     plan = hits._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("Exchange") == 1 and "WindowGroupLimit" in plan
+    assert plan.count("Exchange") == 2 and "WindowGroupLimit" in plan
+
+
+def test_string_document_ids(spark, one_query_a_block):
+    docs = _docs(spark).withColumn("doc_id", F.concat(F.lit("d-"), "doc_id"))
+    hits = bm25(build_index(chunk(docs)), _queries(spark), 10)
+    assert hits.schema["doc_id"].dataType.simpleString() == "string"
+    _check(spark, hits.withColumn("doc_id", F.substring("doc_id", 3, 9).cast("long")))
+
+
+def test_update_with_changed_columns_nulls_and_variants(spark):
+    schema = "doc_id long, text string, lang string, v string"
+    old = spark.createDataFrame([(1, "a b", "en", "x"), (2, None, "en", "x"), (3, "c d", "en", "y"), (4, "e", "en", "y")], schema)
+    new = spark.createDataFrame([(1, "a b", "de", "x"), (2, None, "en", "x"), (3, None, "en", "y"), (4, "e", "en", "y"), (5, None, "de", "x")], schema)
+    status = changes(old, new, ("lang", "v"))
+    assert rows(status, "doc_id", "status") == [(1, "changed"), (2, "same"), (3, "changed"), (4, "same"), (5, "new")]
+    cut = lambda docs: chunk(docs, keep=("lang", "v"))
+    build = lambda docs: build_index(cut(docs), keep=("lang",), by=("v",))
+    got, want = update_index(build(old), status, new, cut), build(new)
+    assert rows(got.terms, "v", "term", "df") == rows(want.terms, "v", "term", "df")
+    assert rows(got.totals, "v", "n_chunks", "n_words") == rows(want.totals, "v", "n_chunks", "n_words")
+    columns = ["v", "doc_id", "lang", "term", "tf"]
+    assert rows(got.postings(), *columns) == rows(want.postings(), *columns)
+    assert got.by == ("v",) and got.keep == ("lang",)
 
 
 def test_string_query_ids_and_no_known_term(spark):
@@ -104,7 +126,7 @@ def test_update_equals_rebuild(spark):
     status = changes(old, new)
     assert rows(status, "doc_id", "status") == [
         (0, "same"), (1, "changed"), (2, "changed"), (3, "deleted"), (4, "changed"), (5, "same"), (6, "new")]
-    got = update_index(build_index(chunk(old)), status, chunk(new))
+    got = update_index(build_index(chunk(old)), status, new, chunk)
     want = build_index(chunk(new))
     assert rows(got.terms, "term", "df") == rows(want.terms, "term", "df")
     assert rows(got.totals, "n_chunks", "n_words") == rows(want.totals, "n_chunks", "n_words")

@@ -3,7 +3,7 @@ import math
 import pytest
 from conftest import rows
 
-from passagecraft.operators.compare import compare, report, sweep
+from passagecraft.operators.compare import compare, poisson_steps, report, sweep
 from passagecraft.operators.metrics import mrr, ndcg, ndcg_per_query, per_query, recall_at
 
 
@@ -74,6 +74,18 @@ def test_compare(spark):
     assert (same.low, same.high, same.ties) == (0.0, 0.0, 40)
 
 
+def test_poisson_steps_reach_the_last_hash():
+    steps = poisson_steps()
+    assert 1 - steps[-1] < 2**-28 <= 1 - steps[-2] and len(steps) == 12
+
+
+def test_sweep_names_every_point(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "zzz")], "query_id long, question string")
+    got = sweep(docs, asked, _qrels(spark, [(1, 1, 1)]), [(2, 0), (3, 1)], [1])
+    assert rows(got, "size", "k", "recall", "n_queries") == [(2, 1, 0.0, 1), (3, 1, 0.0, 1)]
+
+
 def test_sweep_equals_single_settings(spark):
     docs = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 17}" for j in range(30))) for i in range(12)], "doc_id long, text string")
     asked = spark.createDataFrame([(1, "w3 w6 w9"), (2, "w5 w10")], "query_id long, question string")

@@ -24,9 +24,8 @@ def test_rrf_by_hand(spark):
 def test_expand_keeps_to_the_document_and_merges(spark):
     hits = _hits(spark, [(1, 1, 0, 2.0, 1), (1, 1, 1, 1.0, 2), (2, 2, 3, 1.0, 1)])
     want = [(1, 1, 0, 1, "d1c0"), (1, 1, 1, 1, "d1c1"), (1, 1, 2, 2, "d1c2"), (2, 2, 2, 1, "d2c2"), (2, 2, 3, 1, "d2c3")]
-    for bound in (None, 100):
-        got = expand(hits, _chunks(spark), 1, bound)
-        assert rows(got, "query_id", "doc_id", "chunk_no", "rank", "chunk") == want
+    got = expand(hits, _chunks(spark), 1)
+    assert rows(got, "query_id", "doc_id", "chunk_no", "rank", "chunk") == want
     assert with_text(hits, _chunks(spark)).count() == 3
 
 
@@ -37,9 +36,17 @@ def test_best_per_doc(spark):
 
 def test_context_fills_the_budget_in_rank_order(spark):
     hits = with_text(_hits(spark, [(1, 1, 0, 3.0, 2), (1, 2, 1, 2.0, 1), (1, 1, 2, 1.0, 3), (2, 1, 3, 1.0, 1)]), _chunks(spark))
-    got = rows(context(hits, budget=10), "query_id", "n_passages", "n_chars", "context")
-    assert got == [(1, 2, 10, "d2c1\n\nd1c0"), (2, 1, 4, "d1c3")]
-    assert context(hits, budget=3).count() == 0
+    columns = ["query_id", "n_passages", "n_skipped", "n_chars", "context"]
+    asked = spark.createDataFrame([(1,), (2,), (3,)], "query_id long")
+    assert rows(context(hits, budget=10, queries=asked), *columns) == [
+        (1, 2, 1, 10, "d2c1\n\nd1c0"), (2, 1, 0, 4, "d1c3"), (3, 0, 0, 0, "")]
+    assert rows(context(hits, budget=3), *columns) == [(1, 0, 3, 0, ""), (2, 0, 1, 0, "")]
+
+
+def test_context_skips_what_does_not_fit(spark):
+    hits = spark.createDataFrame([(1, r, 1, r, "x" * n) for r, n in enumerate([4, 9, 3], 1)],
+                                 "query_id long, doc_id long, chunk_no int, rank int, chunk string")
+    assert rows(context(hits, budget=10), "n_passages", "n_skipped", "context") == [(2, 1, "xxxx\n\nxxx")]
 
 
 def test_rank_diff(spark):

@@ -3,7 +3,7 @@ import shutil
 
 from conftest import SMALL, rows
 
-from passagecraft.functions.sizing import scratch_path, spread, stage
+from passagecraft.functions.sizing import scratch_path, stage
 from passagecraft.sources.tables import gold_answers, read_corpus, read_documents, read_qa, write_corpus
 from passagecraft.streaming.ingest import stream_corpus
 
@@ -62,10 +62,11 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert stage(df, "r").inputFiles()[0].removeprefix("file://").startswith(shared)
 
 
-def test_large_inputs_are_not_shuffled(spark, monkeypatch):
-    from passagecraft.functions import sizing
-
-    df = spark.read.parquet(f"{SMALL}/documents.parquet")
-    assert spread(df, "doc_id").rdd.getNumPartitions() == 8
-    monkeypatch.setattr(sizing, "SMALL_INPUT_BYTES", 10)
-    assert spread(df, "doc_id") is df
+def test_inputs_are_not_shuffled_unless_asked(spark):
+    path, name = f"{SMALL}/documents.parquet", "spark.passagecraft.readPartitions"
+    held = spark.conf.get(name)
+    spark.conf.unset(name)
+    plan = read_documents(spark, path)._jdf.queryExecution().executedPlan().toString()
+    dealt = read_documents(spark, path, 5).rdd.getNumPartitions()
+    spark.conf.set(name, held)
+    assert "Exchange" not in plan and dealt == 5
