@@ -291,7 +291,7 @@ FROM pt LEFT JOIN shared USING (pair) GROUP BY id""",
     )
 
 
-# A draw of k or more has a probability below 2^-28 from k = 13 on.
+# Draws of 13 and more have a probability below that of one 28-bit hash.
 _POISSON = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(13)]
 _WEIGHT = " + ".join(f"(u >= {p}::DOUBLE)::INT" for p in _POISSON)
 
@@ -327,7 +327,72 @@ def _sweep() -> str:
     )
 
 
+# --- preparation
+
+_PATH = r"regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+_CANON = rf"""canon AS (SELECT page_id, regexp_replace({_HOST}, '^(?:www|m|blog)\.', '') AS host,
+  regexp_replace({_PATH}, '(?:/index)?(?:\.html?)?/*$', '') AS path FROM pages)"""
+_LINKS = rf"""hrefs AS (SELECT page_id, {_HOST} AS source, regexp_replace(unnest(regexp_extract_all(html,
+  '(?i)<a\s[^>]*?href\s*=\s*["'']?([^"''\s>]+)', 1)), '#.*$', '') AS url FROM pages),
+links AS (SELECT page_id, source, regexp_replace(CASE WHEN contains(url, '://') THEN {_HOST} || {_PATH}
+  WHEN starts_with(url, '/') THEN source || url END, '/+$', '') AS target FROM hrefs)"""
+_STOP = {
+    "de": "der die und das den nicht mit ist von im sich auf", "en": "the of and to in is that it for was with are",
+    "es": "el los las y una por con para su lo como del", "fr": "le les et des est dans pour pas au sur avec ou",
+}
+_LEXICON = "lexicon AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{lang}', '{w}')" for lang, words in _STOP.items() for w in words.split()) + ") AS t(lang, term))"
+_GUESS = f"""guess AS (SELECT doc_id, coalesce(arg_min(l, (-n, l)), 'und') AS guess, coalesce(max(n), 0) AS hits FROM documents LEFT JOIN
+  (SELECT doc_id, lexicon.lang AS l, count(*) AS n FROM (SELECT doc_id, unnest({tok('text')}) AS term FROM documents)
+   JOIN lexicon USING (term) GROUP BY ALL) USING (doc_id) GROUP BY doc_id)"""
+_SPLIT = """CASE WHEN ('0x' || substr(md5(doc_id::VARCHAR), 1, 7))::BIGINT % 100 < 90 THEN 'train'
+  WHEN ('0x' || substr(md5(doc_id::VARCHAR), 1, 7))::BIGINT % 100 < 95 THEN 'valid' ELSE 'test' END"""
+
+
+def _share(a: str, b: str) -> str:
+    return f"round(CASE WHEN {b} = 0 THEN 0 ELSE ({a})::DOUBLE / ({b}) END, 6)"
+
+
+def _stats() -> str:
+    stop = ", ".join(f"'{w}'" for words in _STOP.values() for w in words.split())
+    n = lambda p: f"len(regexp_extract_all(text, '{p}'))"
+    return rf"""SELECT doc_id, length(text)::BIGINT AS n_chars, len(w)::BIGINT AS n_words,
+  {_share("length(array_to_string(w, ''))", "len(w)")} AS word_length, {_share(n("[#*$%&|<>]"), "len(w)")} AS symbol_share,
+  {_share(n(chr(92) + "p{Lu}"), n(chr(92) + "p{L}"))} AS upper_share, {_share("len(list_distinct(w))", "len(w)")} AS distinct_share,
+  {_share("len(l) - len(list_distinct(l))", "len(l)")} AS repeated_line_share,
+  {_share(f"len(list_filter(w, lambda x: lower(x) IN ({stop})))", "len(w)")} AS stop_word_share,
+  {_share(r"len(list_filter(l, lambda x: regexp_matches(x, '[.!?…][" + chr(34) + "'')»”]?" + chr(92) + "s*$')))", "len(l)")} AS ended_line_share
+FROM (SELECT doc_id, text, list_filter(string_split_regex(text, '[\s\p{{Z}}]+'), lambda t: t <> '') AS w,
+  list_filter(string_split(text, chr(10)), lambda s: trim(s) <> '') AS l FROM documents)"""
+
+
 ORACLES: dict[str, str] = {
+    "read_qa_published": with_([QA, GOLD], "SELECT id, gold FROM qa JOIN gold USING (id)"),
+    "canonical_urls": with_([_CANON], """SELECT host || path AS canon, host, path, min(page_id) AS page_id, count(*) AS n_pages
+FROM canon WHERE host <> '' GROUP BY host, path"""),
+    "outlinks": with_([_LINKS], "SELECT * FROM links WHERE target <> ''"),
+    "link_targets": with_([_LINKS], """SELECT target, count(*) AS n_links, count(DISTINCT page_id) AS n_pages FROM links
+WHERE target <> '' GROUP BY target"""),
+    "normalize_text": r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
+  '\r\n?', chr(10), 'g'), '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '[ \t\x{A0}]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'),
+  '\n{3,}', chr(10) || chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g') AS text FROM documents""",
+    "detect_lang": with_([_LEXICON, _GUESS], "SELECT * FROM guess"),
+    "doc_stats": _stats(),
+    "top_terms": f"""WITH c AS (SELECT lang, term, count(*) AS n FROM (SELECT lang, unnest({tok('text')}) AS term FROM documents) GROUP BY ALL)
+SELECT * FROM (SELECT lang, term, n, round(n / (sum(n) OVER (PARTITION BY lang))::DOUBLE, 6) AS share,
+  row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS rank FROM c) WHERE rank <= 20""",
+    "split_by_hash": f"SELECT doc_id, {_SPLIT} AS split FROM documents",
+    "dialogue_pairs": """SELECT u.conv_id, u.turn, u.text AS prompt, a.text AS response, coalesce((SELECT string_agg(p.role || ': ' || p.text,
+  chr(10) ORDER BY p.turn) FROM conversations p WHERE p.conv_id = u.conv_id AND p.turn BETWEEN u.turn - 4 AND u.turn - 1), '') AS context
+FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'""",
+    "funnel": with_(
+        [_LEXICON, _GUESS, f"""held AS (SELECT text, (guess = lang)::INT AS agrees, ({_SPLIT} = 'train')::INT AS part
+  FROM documents JOIN guess USING (doc_id))""",
+         """counted AS (SELECT 0 AS step, 'all' AS stage, count(*) AS n_docs, sum(length(text))::BIGINT AS n_chars FROM held
+  UNION ALL SELECT 1, 'language agrees', count(*), coalesce(sum(length(text)), 0)::BIGINT FROM held WHERE agrees = 1
+  UNION ALL SELECT 2, 'training part', count(*), coalesce(sum(length(text)), 0)::BIGINT FROM held WHERE agrees = 1 AND part = 1)"""],
+        """SELECT *, coalesce(lag(n_docs) OVER (ORDER BY step) - n_docs, 0) AS n_docs_lost,
+  coalesce(lag(n_chars) OVER (ORDER BY step) - n_chars, 0) AS n_chars_lost FROM counted"""),
     "read_pages": "SELECT page_id, url, html FROM pages",
     "extract_text": with_([PAGE_DOCS], "SELECT doc_id AS page_id, url, text FROM page_docs JOIN pages ON page_id = doc_id"),
     "page_meta": rf"""SELECT page_id, trim({_decode("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}) AS title,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from passagecraft.functions.sizing import scratch_path, stage
 from passagecraft.operators import answers, chunk as chunks_, compare, dense, extract, index as index_, lexical
-from passagecraft.operators import metrics, profile, ranking, relevance
+from passagecraft.operators import metrics, prepare, profile, ranking, relevance
 from passagecraft.plans import corpus as corpus_plan, rag
 from passagecraft.sources import tables
 from passagecraft.streaming.ingest import stream_corpus
@@ -130,6 +130,64 @@ def read_qa(spark, d):
     )
 
 
+def read_qa_published(spark, d):
+    """The set in its published form, one object with all articles."""
+    path = scratch_path(spark, "qa-whole")
+    articles = tables.turns_as_articles(_turns(spark, d)).withColumn("_part", F.pmod(F.xxhash64("title"), F.lit(16)))
+    whole = articles.groupBy("_part").agg(F.collect_list(F.struct("title", "paragraphs")).alias("data"))
+    whole.select("data").write.option("maxRecordsPerFile", 1).json(path)
+    return tables.gold_answers(tables.read_qa(spark, path))
+
+
+# --- preparation
+
+
+def canonical_urls(spark, d):
+    return prepare.canonical_urls(_pages(spark, d))
+
+
+def outlinks(spark, d):
+    return prepare.outlinks(_pages(spark, d))
+
+
+def link_targets(spark, d):
+    return prepare.in_degree(prepare.outlinks(_pages(spark, d)))
+
+
+def normalize_text(spark, d):
+    return prepare.normalize_text(_docs(spark, d)).select("doc_id", "text")
+
+
+def detect_lang(spark, d):
+    return prepare.detect_lang(_docs(spark, d))
+
+
+def doc_stats(spark, d):
+    return prepare.doc_stats(_docs(spark, d))
+
+
+def top_terms(spark, d):
+    return _long(prepare.top_terms(_docs(spark, d)), "rank")
+
+
+def _split(spark, d):
+    return prepare.split_by_hash(_docs(spark, d), {"train": 90, "valid": 5, "test": 5})
+
+
+def split_by_hash(spark, d):
+    return _split(spark, d).select("doc_id", "split")
+
+
+def dialogue_pairs(spark, d):
+    return prepare.dialogue_pairs(_turns(spark, d))
+
+
+def funnel(spark, d):
+    known = _docs(spark, d).join(prepare.detect_lang(_docs(spark, d)).filter("guess = lang"), "doc_id", "left_semi")
+    train = known.join(_split(spark, d).filter("split = 'train'").select("doc_id"), "doc_id", "left_semi")
+    return prepare.funnel([("all", _docs(spark, d)), ("language agrees", known), ("training part", train)])
+
+
 # --- passages and index
 
 
@@ -335,6 +393,17 @@ QUERIES = {
     "write_corpus_json": write_corpus_json,
     "incremental_corpus": incremental_corpus,
     "read_qa": read_qa,
+    "read_qa_published": read_qa_published,
+    "canonical_urls": canonical_urls,
+    "outlinks": outlinks,
+    "link_targets": link_targets,
+    "normalize_text": normalize_text,
+    "detect_lang": detect_lang,
+    "doc_stats": doc_stats,
+    "top_terms": top_terms,
+    "split_by_hash": split_by_hash,
+    "dialogue_pairs": dialogue_pairs,
+    "funnel": funnel,
     "chunk": chunk,
     "chunk_chars": chunk_chars,
     "chunk_sentences": chunk_sentences,
