@@ -143,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, most_bytes:
         .filter(~held_out(F.col("doc_id")))
     )
     total = marked.count()
-    part = min(1_000_000, int(1_500_000 * rows / max(total, 1)))
+    part = 1_000_000 if total <= rows else int(950_000 * rows / total)
     drawn = marked.filter(F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1_000_000)) < part)
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).filter(F.octet_length("text") <= most_bytes)
     got = texts.join(drawn, "doc_id").limit(rows).collect()

@@ -185,10 +185,11 @@ def _family_links(batches: Iterator[pa.RecordBatch], size: int, similarity: floa
 
 
 def classes(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id``, ``h1``, ``h2`` (hashes of the text) and ``class_id`` for every row.
+    """``doc_id``, ``h1``, ``h2`` (hashes of the text), ``root`` (the class) and ``class_id`` for every row.
 
     ``class_id`` is the smallest ``doc_id`` of the documents that are connected by equal
-    texts or by pairs of an aligned similarity of ``similarity`` or more. A null text is an
+    texts or by pairs of an aligned similarity of ``similarity`` or more; classes of rows that
+    share an id share it too, but not their ``root``. A null text is an
     empty one, and empty texts equal each other; texts without words have no other
     neighbours. A null ``doc_id`` never is a ``class_id``, unless no document of the class has an id.
     Repeated rows get a row each. Other columns are not looked at.
@@ -221,8 +222,8 @@ def classes(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY)
     roots = texts.select("h1", "h2", "doc_id").join(linked.select("id.*", "root"), ["h1", "h2"]).select("h1", "h2", "root", "doc_id")
     roots = stage(roots, "roots")
     ids = roots.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    near = stage(roots.join(ids, "root").select("h1", "h2", "class_id"), "near-classes")
-    alone = texts.select("h1", "h2", F.col("doc_id").alias("class_id")).join(near, ["h1", "h2"], "left_anti")
+    near = stage(roots.join(ids, "root").select("h1", "h2", "root", "class_id"), "near-classes")
+    alone = texts.join(near, ["h1", "h2"], "left_anti").select("h1", "h2", F.struct("h1", "h2").alias("root"), F.col("doc_id").alias("class_id"))
     every = stage(near.union(alone), "text-classes")
     return sketched.select("doc_id", "h1", "h2").join(broadcast_if(every), ["h1", "h2"])
 
@@ -234,11 +235,9 @@ def keep_one(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY)
     of wholly repeated ones one. A class without any id keeps one row.
     """
     marks = stage(classes(docs, size, similarity), "classes")
-    best = marks.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
-    # Null class ids belong to different texts, each a class of its own.
-    lone = best.filter("class_id is null")
-    first = best.filter("class_id is not null").groupBy("class_id").agg(F.min(F.struct("h1", "h2", "n")).alias("m")).select("class_id", "m.*")
-    stays = stage(first.union(lone.select("class_id", "h1", "h2", "n")), "stays")
+    best = marks.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("root", "class_id", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    first = best.groupBy("root").agg(F.min(F.struct("h1", "h2", "class_id", "n")).alias("m"))
+    stays = stage(first.select("m.*"), "stays")
     text = F.coalesce("row.text", F.lit(""))
     on = F.col("row.doc_id").cast("long").eqNullSafe(F.col("class_id")) & (F.xxhash64(text) == F.col("h1")) & (F.xxhash64(F.lit(7), text) == F.col("h2"))
     kept = docs.select(F.struct("*").alias("row")).join(broadcast_if(stays), on)
