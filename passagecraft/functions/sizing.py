@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import tempfile
 import uuid
 from functools import reduce
@@ -105,7 +106,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder the session names in ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_folder().name
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
