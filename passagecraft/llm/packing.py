@@ -9,6 +9,7 @@ each is used; pieces then take their places in them by rank within their length.
 from __future__ import annotations
 
 import sys
+import types
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -25,8 +26,8 @@ from passagecraft.llm.words import coded_words, slices
 
 CAPACITY = 2048
 END_ID = 0
-# Words whose ids a task remembers; it starts anew when full.
-REMEMBERED_WORDS = 200_000
+# Words whose ids a worker remembers, about 200 bytes each.
+REMEMBERED_WORDS = 1_000_000
 # Fillings tried per sequence, steps spent on finding them, and nodes of the whole search.
 FILLINGS, FILLING_STEPS, SEARCH_NODES = 4, 400, 60_000
 
@@ -37,43 +38,74 @@ class WordIds:
     """Token ids by words between ASCII white space.
 
     For tokenizers that drop white space and never join across it the ids of a text are
-    those of its words in a row, so that each distinct word is encoded once.
+    those of its words in a row, so that each distinct word is encoded once. Up to
+    ``most`` words are remembered, their ids in one array; others are encoded when they come.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, most: int = REMEMBERED_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_str(definition), {}
-
-    def of(self, words: list[str]) -> list[list[int]]:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known, new = {}, words
-        for low in range(0, len(new), 10_000):
-            part = new[low : low + 10_000]
-            for word, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = coded.ids
-        return [self.known[w] for w in words]
+        self.tokenizer, self.most, self.rows = Tokenizer.from_str(definition), most, {}
+        self.pool, self.used = np.zeros(1 << 16, np.uint16), 0
+        self.starts, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = []
+        for low in range(0, len(words), 10_000):
+            ids.extend(x.ids for x in self.tokenizer.encode_batch_fast(words[low : low + 10_000], add_special_tokens=False))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+
+    def _remember(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        low, first = len(self.rows), self.used
+        while first + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while low + len(words) > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        self.pool[first : first + len(ids)] = ids
+        self.used += len(ids)
+        self.starts[low : low + len(words)] = first + np.cumsum(sizes) - sizes
+        self.sizes[low : low + len(words)] = sizes
+        self.rows.update(zip(words, range(low, low + len(words))))
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each word start in the array that comes third, and how many there are."""
+        rows = np.fromiter((self.rows.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(rows < 0)
+        if not len(new):
+            return self.starts[rows], self.sizes[rows], self.pool
+        strange = [words[i] for i in new.tolist()]
+        sizes, ids = self._encoded(strange)
+        if len(self.rows) + len(strange) <= self.most and (not len(ids) or ids.max() < 1 << 16):
+            rows[new] = np.arange(len(self.rows), len(self.rows) + len(strange))
+            self._remember(strange, sizes, ids)
+            return self.starts[rows], self.sizes[rows], self.pool
+        starts, counts = self.starts[rows], self.sizes[rows]
+        starts[new], counts[new] = self.used + np.cumsum(sizes) - sizes, sizes
+        return starts, counts, np.concatenate([self.pool[: self.used], ids])
+
+
+def _encoder(definition: str) -> WordIds:
+    """The encoder of this worker process, kept from task to task."""
+    held = sys.modules.setdefault("_passagecraft_word_ids", types.ModuleType("_passagecraft_word_ids"))
+    if getattr(held, "definition", None) != definition:
+        held.definition, held.encoder = definition, WordIds(definition)
+    return held.encoder
 
 
 def token_ids(texts: pa.Array, encoder: WordIds) -> tuple[np.ndarray, np.ndarray]:
     """How many ids each text has with the closing one, and all ids in a row."""
     counts, codes, words = coded_words(texts)
-    ids = encoder.of(words.to_pylist())
-    sizes = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-    pool = np.fromiter(chain(chain.from_iterable(ids), [END_ID]), np.uint32, int(sizes.sum()) + 1)
-    # The closing id is one more word at the end of each text.
-    codes = np.insert(codes, np.cumsum(counts), len(ids))
-    sizes, starts = np.append(sizes, 1), np.concatenate([[0], np.cumsum(sizes)])
-    each = sizes[codes]
-    ends = np.cumsum(each)
-    flat = pool[np.repeat(starts[codes] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
-    last = np.cumsum(counts + 1) - 1
-    return np.diff(np.concatenate([[0], ends[last]])), flat
+    starts, sizes, pool = encoder.of(words.to_pylist())
+    each, ends = sizes[codes].astype(np.int64), np.cumsum(counts)
+    last = np.cumsum(each)
+    total = np.diff(np.concatenate([[0], np.concatenate([[0], last])[ends]]))
+    flat = pool[np.repeat(starts[codes] - (last - each), each) + np.arange(int(last[-1]) if len(last) else 0)]
+    return total + 1, np.insert(flat.astype(np.uint32), np.cumsum(total), END_ID)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], definition, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    encoder = WordIds(definition.value)
+    encoder = _encoder(definition.value)
     for batch in slices(batches):
         sizes, flat = token_ids(batch["text"], encoder)
         flat = np.ascontiguousarray(flat.astype("<u4"))
