@@ -29,7 +29,7 @@ ITEMS_PER_ROUND = 200
 # Directions kept beyond one per item, and drawn beyond those kept.
 MORE_DIRECTIONS, MORE_DRAWN = 32, 16
 # Terms in more than this share of documents have no weight, unless an item has few others.
-COMMON, FEW_TERMS, LEAST_WEIGHT = 0.15, 5, 0.05
+COMMON, FEW_TERMS, LEAST_WEIGHT = 0.05, 5, 0.05
 COSINE = 0.45
 # Share of an item's words found in order from which on it counts as leaked, and as
 # paraphrased if the answer is there too.
@@ -110,14 +110,45 @@ def _per_text(texts: pa.Array, vocabulary: np.ndarray) -> list[np.ndarray]:
     return np.split(terms, np.cumsum(counts)[:-1]) if len(counts) else []
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatch]:
+def _kind(vocabulary: np.ndarray) -> type:
+    return np.int16 if len(vocabulary) < 1 << 15 else np.int32
+
+
+def _coded(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatch]:
+    """Texts as the terms of their words, packed into bytes: they are split once and read three times."""
     vocabulary = items.value.vocabulary
-    n = np.zeros(len(vocabulary), np.int64)
     for batch in slices(batches):
         counts, terms = terms_of(batch["text"], vocabulary)
-        doc = np.repeat(np.arange(len(counts)), counts)[terms >= 0]
-        pairs = np.unique(doc * len(vocabulary) + terms[terms >= 0]) if len(vocabulary) else doc
-        n += np.bincount(pairs % max(1, len(vocabulary)), minlength=len(vocabulary))
+        data = np.ascontiguousarray(terms.astype(_kind(vocabulary)))
+        ends = (np.concatenate([[0], np.cumsum(counts)]) * data.itemsize).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], packed], ["doc_id", "text_key", "terms"])
+
+
+def _unpacked(packed: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words per text and the terms of all in a row."""
+    kind = np.dtype(_kind(vocabulary))
+    sizes = pc.binary_length(packed).to_numpy(zero_copy_only=False).astype(np.int64)
+    total, buffers = int(sizes.sum()), packed.buffers()
+    if not total:
+        return sizes, np.zeros(0, kind)
+    low = int(np.frombuffer(buffers[1], np.int32)[packed.offset])
+    return sizes // kind.itemsize, np.frombuffer(buffers[2], np.uint8)[low : low + total].copy().view(kind)
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatch]:
+    vocabulary = items.value.vocabulary
+    n = np.zeros(len(vocabulary), np.int64)
+    for batch in slices(batches, "terms"):
+        counts, terms = _unpacked(batch["terms"], vocabulary)
+        doc = np.repeat(np.arange(len(counts)), counts)
+        # A slice holds few documents, or many short ones: some at a time bounds the table.
+        step = max(1, (8 << 20) // max(1, len(vocabulary)))
+        for low in range(0, len(counts), step):
+            here = (terms >= 0) & (doc >= low) & (doc < low + step)
+            held = np.zeros((min(step, len(counts) - low), len(vocabulary)), bool)
+            held[doc[here] - low, terms[here]] = True
+            n += held.sum(0)
     at = np.flatnonzero(n)
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], ["term", "n"])
 
@@ -138,8 +169,8 @@ def _range_sketch(batches: Iterator[pa.RecordBatch], items, drawn) -> Iterator[p
     it, g = items.value, drawn.value
     scaled = (it.weights[:, None] * g).astype(np.float32)
     total = np.zeros(g.shape)
-    for batch in slices(batches):
-        counts, terms = terms_of(batch["text"], it.vocabulary)
+    for batch in slices(batches, "terms", 1 << 20):
+        counts, terms = _unpacked(batch["terms"], it.vocabulary)
         term, passage, _ = _weighted(counts, terms, it.weights, WINDOW)
         for low in range(0, len(term), 1 << 17):
             # A passage cut in two by this step counts as two.
@@ -229,8 +260,8 @@ def _found(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatch]
     # No cosine of a passage exceeds the sum over its words of the most any item gives them.
     most = w * it.matrix.max(0) if len(it.ids) else w
     side = WINDOW // STRIDE
-    for batch in slices(batches):
-        counts, terms = terms_of(batch["text"], it.vocabulary)
+    for batch in slices(batches, "terms", 1 << 20):
+        counts, terms = _unpacked(batch["terms"], it.vocabulary)
         ends = np.cumsum(counts)
         term, block, blocks = _weighted(counts, terms, w, STRIDE)
         n = int(blocks.sum())
@@ -312,12 +343,13 @@ def search(docs: DataFrame, items: DataFrame, per_round: int = ITEMS_PER_ROUND)
 def _round(spark, texts: DataFrame, rows: list[tuple], documents: int) -> DataFrame:
     items = Items.of(rows)
     shared = spark.sparkContext.broadcast(items)
-    counted = texts.select("text").mapInArrow(lambda b: _frequencies(b, shared), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    texts = stage(texts.mapInArrow(lambda b: _coded(b, shared), "doc_id long, text_key long, terms binary"), "terms")
+    counted = texts.select("terms").mapInArrow(lambda b: _frequencies(b, shared), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     frequency = np.zeros(len(items.vocabulary))
     for r in counted.collect():
         frequency[r["term"]] = r["n"]
     items.weigh(frequency, documents)
-    items.space = latent_space(texts.select("text"), items)
+    items.space = latent_space(texts.select("terms"), items)
     ready = spark.sparkContext.broadcast(items)
     return stage(texts.mapInArrow(lambda b: _found(b, ready), FOUND), "latent-search")
 

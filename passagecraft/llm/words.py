@@ -22,7 +22,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
     """The batches, cut so that each piece holds about ``most`` bytes of text, null texts made empty."""
     for batch in batches:
         at = batch.schema.get_field_index(text)
-        batch = batch.set_column(at, text, batch.column(at).fill_null(""))
+        if batch.column(at).null_count:
+            batch = batch.set_column(at, text, batch.column(at).fill_null(""))
         ends = np.cumsum(pc.binary_length(batch.column(at)).to_numpy(zero_copy_only=False).astype(np.int64))
         low = 0
         while low < len(ends):
