@@ -1,9 +1,11 @@
 """Removal of word windows that an earlier document has, with a count-min sketch before the exact pass.
 
-Pass 1 counts the hashes of all windows in count-min sketches, one per task, merged
-block by block. As a sketch never counts too low, a window it has seen once is found
-nowhere else. Pass 2 groups exactly, by a 96-bit key, the windows whose estimate is two
-or more. Only these are shuffled; nothing repeated is lost.
+Pass 1 fills count-min sketches, one per task, merged block by block. A window is counted
+under the smallest hash of the shorter runs of words in it, which neighbouring windows
+mostly share, so that a sketch holds a quarter of the keys. A window that two documents
+have gives both this key, and a sketch never counts too low: what it has seen in one
+document only is not repeated. Pass 2 groups exactly, by a 96-bit key, the windows whose
+estimate is two or more. Only these are shuffled; nothing repeated is lost.
 """
 
 from __future__ import annotations
@@ -20,13 +22,15 @@ import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
+from passagecraft.functions.sizing import broadcast_if
 from passagecraft.llm.tables import stage
 from passagecraft.llm.words import coded_words, mixed, slices, split_words, window_hashes, window_starts, word_hashes
 
 WORDS = 13
 SKETCH_ROWS = 2
-# Cells per sketch row: two per window, within these powers of two. Beyond the upper one
-# (32 MB a row) the estimates get looser and more windows go to the exact pass; none is lost.
+# Cells per sketch row: one to two per window, four or more per key, within these powers of
+# two. Beyond the upper one (32 MB a row) the estimates get looser and more windows go to
+# the exact pass; none is lost. Executors with more memory can take a larger one.
 LEAST_BITS, MOST_BITS = 16, 28
 BLOCK_BITS = 20
 
@@ -34,11 +38,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _keys(texts: pa.Array, size: int):
-    """Two hashes of each window, its text and its first word."""
+    """Of each window two hashes, the smallest hash of the runs in it, its text and its first word."""
     counts, codes, words = coded_words(texts)
     hashes = word_hashes(words)[codes] if len(words) else np.zeros(0, np.uint64)
     at, text, within = window_starts(counts, size)
-    return window_hashes(hashes, size, 1)[at], window_hashes(hashes, size, 2)[at], text, within
+    short = (size + 1) // 2
+    runs = window_hashes(hashes, short, 4)
+    least = runs[: max(0, len(hashes) - size + 1)].copy()
+    for j in range(1, size - short + 1):
+        np.minimum(least, runs[j : j + len(least)], out=least)
+    return window_hashes(hashes, size, 1)[at], window_hashes(hashes, size, 2)[at], mixed(least[at]), text, within
 
 
 def _cells(key: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -78,7 +87,11 @@ class Sketch:
 def _sketch_blocks(batches: Iterator[pa.RecordBatch], size: int, bits: int) -> Iterator[pa.RecordBatch]:
     sketch = Sketch(bits)
     for batch in slices(batches):
-        sketch.add(_keys(batch["text"], size)[0])
+        _, _, least, text, _ = _keys(batch["text"], size)
+        # Once for neighbouring windows: what counts is in how many documents a key is.
+        new = np.ones(len(least), bool)
+        new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+        sketch.add(least[new])
     pack = zstandard.ZstdCompressor(level=1)
     step = min(1 << (BLOCK_BITS - 3), sketch.once.shape[1])
     for row in range(SKETCH_ROWS):
@@ -122,13 +135,12 @@ def _sketch(texts: DataFrame, size: int) -> tuple[int, object]:
     """Cells per row as a power of two, and the broadcast bit sets of cells counted twice or more."""
     spark = texts.sparkSession
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(chars / 3 + 1))))
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(chars / 6 + 1))))
     blocks = texts.mapInArrow(lambda b: _sketch_blocks(b, size, bits), "row int, block int, once binary, twice binary")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    merged = (
+    merged = stage(
         blocks.repartition(parts, "row", "block").sortWithinPartitions("row", "block")
-        .mapInArrow(_merged_blocks, "row int, block int, twice binary")
-    )
+        .mapInArrow(_merged_blocks, "row int, block int, twice binary"), "sketch")
     # At most SKETCH_ROWS * 2 ** MOST_BITS bits reach the driver, whatever the corpus holds.
     filled = np.zeros((SKETCH_ROWS, 1 << (bits - 3)), np.uint8)
     step = min(1 << (BLOCK_BITS - 3), filled.shape[1])
@@ -141,55 +153,90 @@ def _sketch(texts: DataFrame, size: int) -> tuple[int, object]:
 def _candidates(batches: Iterator[pa.RecordBatch], size: int, bits: int, filled) -> Iterator[pa.RecordBatch]:
     """Windows estimated to occur twice or more.
 
-    Of equal windows within a slice only those of its smallest document are sent on; the
-    others are known to be repeated (``known``), so a hot window gives a few rows per slice.
+    Of equal windows within a slice only the first of the smallest document is sent under
+    its key, with its further places there (``more``). In larger documents the window is
+    known to be repeated; such rows get a key of their document, as nothing is to be
+    compared. So a hot window gives one row per slice.
     """
     table = filled.value
     for batch in slices(batches):
-        key, check, text, within = _keys(batch["text"], size)
+        key, check, least, text, within = _keys(batch["text"], size)
         maybe = np.ones(len(key), bool)
         for row in range(SKETCH_ROWS):
-            cells = _cells(key, row, bits)
+            cells = _cells(least, row, bits)
             maybe &= (table[row, cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
         key, check, text, within = (x[maybe] for x in (key, check, text, within))
-        doc = batch["doc_id"].to_numpy(zero_copy_only=False)[text]
+        doc = batch["doc_id"].to_numpy(zero_copy_only=False).astype(np.int64)[text]
         check = (check >> np.uint64(32)).astype(np.uint32)
-        order = np.lexsort((doc, check, key))
+        order = np.lexsort((within, text, doc, check, key))
         key, check, doc, within, text = (x[order] for x in (key, check, doc, within, text))
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (check[1:] != check[:-1])]) if len(key) else np.zeros(0, bool)
-        smallest = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(key) else doc
-        known = doc > smallest
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
+        group = np.cumsum(new) - 1
+        known = doc > doc[np.flatnonzero(new)][group] if len(doc) else new
+        first = new.copy()
+        first[1:] |= text[1:] != text[:-1]
+        # Places after the first follow it directly, as rows are sorted.
+        sent = known | first
+        lead = np.flatnonzero(sent)
+        n_more = np.diff(np.append(lead, len(sent))) - 1
+        ends = np.concatenate([[0], np.cumsum(n_more)]).astype(np.int32)
+        more = pa.ListArray.from_arrays(pa.array(ends), pa.array(within[~sent].astype(np.int32)))
+        key = np.where(known, mixed(doc.astype(np.uint64)), key)[lead]
+        check = np.where(known, 0, check)[lead]
+        doc, within, text, known = (x[lead] for x in (doc, within, text, known))
+        # Back to the order of the texts: rows of one document side by side take less room in the shuffle.
+        back = np.lexsort((within, text))
         digest = batch["text_key"].to_numpy(zero_copy_only=False)[text]
-        yield pa.RecordBatch.from_pydict({
-            "key": pa.array(key.view(np.int64)), "check": pa.array(check.view(np.int32)), "doc_id": pa.array(doc.astype(np.int64)),
-            "text_key": pa.array(digest.astype(np.int64)), "at": pa.array(within.astype(np.int32)), "known": pa.array(known),
-        })
+        yield pa.RecordBatch.from_arrays([
+            pa.array(key[back].view(np.int64)), pa.array(check[back].astype(np.uint32).view(np.int32)), pa.array(doc[back]),
+            pa.array(digest[back].astype(np.int64)), pa.array(within[back].astype(np.int32)), pa.array(known[back]),
+            more.take(pa.array(back)),
+        ], ["key", "check", "doc_id", "text_key", "at", "known", "more"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of a document to runs of places that follow each other."""
+    for batch in batches:
+        out = []
+        for row in batch["at"]:
+            at = np.unique(row.values.to_numpy(zero_copy_only=False))
+            edge = np.flatnonzero(np.diff(at) != 1)
+            low, high = at[np.concatenate([[0], edge + 1])], at[np.append(edge, len(at) - 1)]
+            out.append([{"start": int(x), "n": int(y - x + 1)} for x, y in zip(low, high)])
+        runs = pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())])))
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], runs], ["gone_id", "gone_key", "runs"])
 
 
 def repeated_starts(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """``doc_id``, ``text_key``, ``at``: first words of windows that a document with a smaller id has too."""
+    """First words of windows that a document with a smaller id has too.
+
+    ``gone_id``, ``gone_key`` (hash of the text) and ``runs`` (``start``, ``n``).
+    """
     texts = docs.filter("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
     bits, filled = _sketch(texts.select("text"), size)
-    schema = "key long, check int, doc_id long, text_key long, at int, known boolean"
+    schema = "key long, check int, doc_id long, text_key long, at int, known boolean, more array<int>"
     found = texts.mapInArrow(lambda b: _candidates(b, size, bits, filled), schema)
-    # Rows of one key are at most those of one document per slice, so no key is hot here.
     first = F.min("doc_id").over(Window.partitionBy("key", "check"))
-    return found.withColumn("first", first).filter("doc_id > first or known").select("doc_id", "text_key", "at")
+    gone = found.withColumn("first", first).filter("doc_id > first or known")
+    places = gone.select("doc_id", "text_key", F.explode(F.concat(F.array("at"), "more")).alias("at"))
+    each = places.groupBy("doc_id", "text_key").agg(F.collect_list("at").alias("at"))
+    return stage(each.mapInArrow(_runs, "gone_id long, gone_key long, runs array<struct<start: int, n: int>>"), "repeated")
 
 
 def _cut(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Texts and the starts of their repeated windows to what is kept of them."""
+    """Texts and the runs of their repeated windows to what is kept of them."""
     for batch in slices(batches):
         counts, flat = split_words(batch["text"])
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
-        starts = batch["starts"]
-        lengths = pc.fill_null(pc.list_value_length(starts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        place = np.repeat(ends - counts, lengths) + starts.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        step = np.zeros(total + size + 1, np.int64)
+        lengths = pc.fill_null(pc.list_value_length(batch["runs"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        runs = batch["runs"].flatten()
+        place = np.repeat(ends - counts, lengths) + runs.field("start").to_numpy(zero_copy_only=False)
+        step = np.zeros(total + 1, np.int64)
         np.add.at(step, place, 1)
-        np.add.at(step, place + size, -1)
+        np.add.at(step, place + runs.field("n").to_numpy(zero_copy_only=False) + size - 1, -1)
         gone = np.cumsum(step)[:total] > 0
         bounds = np.concatenate([[0], np.cumsum(gone)])
         removed = bounds[ends] - bounds[ends - counts]
@@ -219,10 +266,10 @@ def remove_repeated(docs: DataFrame, size: int = WORDS) -> DataFrame:
     such a row is returned whole and takes nothing from others. Rows with equal ``doc_id``
     take nothing from each other. Other columns are not looked at.
     """
-    starts = repeated_starts(docs, size).groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("starts"))
-    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
-    joined = texts.join(starts, ["doc_id", "text_key"], "left").select("doc_id", "text", "starts")
-    return joined.mapInArrow(
+    gone = repeated_starts(docs, size)
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    on = (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_key"))
+    return texts.join(broadcast_if(gone), on, "left").select("doc_id", "text", "runs").mapInArrow(
         lambda b: _cut(b, size),
-        "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<start int, end int>>",
+        "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<start: int, end: int>>",
     )
