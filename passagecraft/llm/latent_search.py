@@ -172,9 +172,9 @@ def _range_sketch(batches: Iterator[pa.RecordBatch], items, drawn) -> Iterator[p
     for batch in slices(batches, "terms", 1 << 20):
         counts, terms = _unpacked(batch["terms"], it.vocabulary)
         term, passage, _ = _weighted(counts, terms, it.weights, WINDOW)
-        for low in range(0, len(term), 1 << 17):
+        for low in range(0, len(term), 1 << 11):
             # A passage cut in two by this step counts as two.
-            t, p = term[low : low + (1 << 17)], passage[low : low + (1 << 17)]
+            t, p = term[low : low + (1 << 11)], passage[low : low + (1 << 11)]
             start = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
             y = np.add.reduceat(scaled[t], start, axis=0)
             row = np.cumsum(np.concatenate([[0], p[1:] != p[:-1]]))
@@ -277,8 +277,8 @@ def _found(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatch]
         likely = np.flatnonzero((norm > 0) & (limit >= COSINE * norm))
         place = np.full(n + 1, -1)
         place[block[start]] = np.arange(len(start))
-        for low in range(0, len(likely), 4096):
-            some = likely[low : low + 4096]
+        for low in range(0, len(likely), 512):
+            some = likely[low : low + 512]
             first, last = int(some[0]), int(min(n - 1, some[-1] + side - 1))
             a, b = np.searchsorted(block, [first, last + 1])
             part = np.zeros((last - first + 2, space.shape[1]), np.float32)
