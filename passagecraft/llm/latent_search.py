@@ -24,7 +24,8 @@ from passagecraft.llm.words import coded_words, slices, word_hashes
 
 # Words per passage and between the starts of passages.
 WINDOW, STRIDE = 64, 32
-# Items searched for at once; their number bounds the space. Larger benchmarks take more rounds.
+# Passages of items searched for at once (an item of up to WINDOW words is one); their number
+# bounds the space. Larger benchmarks take more rounds.
 ITEMS_PER_ROUND = 200
 # Directions kept beyond one per item, and drawn beyond those kept.
 MORE_DIRECTIONS, MORE_DRAWN = 32, 16
@@ -62,12 +63,15 @@ def terms_of(texts: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.nd
 
 @dataclass
 class Items:
-    """One round's items: their words as terms, their answers, and the term space."""
+    """One round's items: their words as terms, their answers, what is searched for, and the term space."""
 
     ids: list
     vocabulary: np.ndarray
     words: list[np.ndarray]
     answers: list[np.ndarray]
+    # The passages of the items, and the item of each.
+    parts: list[np.ndarray]
+    owner: np.ndarray
     weights: np.ndarray | None = None
     matrix: np.ndarray | None = None
     space: np.ndarray | None = None
@@ -78,22 +82,34 @@ class Items:
         _, _, words = coded_words(texts)
         words = plain(words)
         vocabulary = np.unique(word_hashes(words.filter(pc.not_equal(words, ""))))
-        return Items([i for i, _ in rows], vocabulary, _per_text(texts, vocabulary),
-                     _per_text(pa.array([answer_of(t or "") for _, t in rows], pa.string()), vocabulary))
+        found = _per_text(texts, vocabulary)
+        cuts = [(k, words[at : at + WINDOW]) for k, words in enumerate(found) for at in passage_starts(len(words))]
+        return Items([i for i, _ in rows], vocabulary, found,
+                     _per_text(pa.array([answer_of(t or "") for _, t in rows], pa.string()), vocabulary),
+                     [part for _, part in cuts], np.array([k for k, _ in cuts], np.int64))
 
     def weigh(self, frequency: np.ndarray, documents: int) -> None:
-        """IDF weights from document frequencies, and the items as rows of unit length."""
+        """IDF weights from document frequencies, and the items' passages as rows of unit length."""
         idf = np.log((1 + documents) / (1 + frequency))
         self.weights = np.where(frequency > COMMON * documents, 0, idf)
-        for words in self.words:
+        for words in self.parts:
             if len(words) and np.count_nonzero(self.weights[np.unique(words)]) < FEW_TERMS:
                 self.weights[words] = np.maximum(idf[words], LEAST_WEIGHT)
-        self.matrix = np.zeros((len(self.words), len(self.vocabulary)))
-        for k, words in enumerate(self.words):
+        self.matrix = np.zeros((len(self.parts), len(self.vocabulary)))
+        for k, words in enumerate(self.parts):
             np.add.at(self.matrix[k], words, self.weights[words])
         self.matrix /= np.maximum(np.linalg.norm(self.matrix, axis=1, keepdims=True), 1e-12)
 
 
+def passage_starts(n: int) -> list[int]:
+    """Where the passages of an item of ``n`` words start: as in documents, the last one at its end.
+
+    A document's passage out of a copy of the item is half a stride off one of them at most.
+    """
+    last = n - WINDOW
+    return [*range(0, last, STRIDE), last] if last > 0 else [0]
+
+
 def answer_of(text: str) -> str:
     """The last sentence that has words: what a question's answer stands in."""
     parts, start = [], 0
@@ -206,12 +222,12 @@ def latent_space(texts: DataFrame, items: Items, seed: int = 10) -> np.ndarray:
     """Leading right singular vectors of the passages and items, one column each.
 
     One pass gives ``M G`` for ``M = A'A`` and random ``G``; its Nystroem approximation gives
-    the directions. Items are rows of the matrix too, with as much weight as all passages
+    the directions. The items' passages are rows of the matrix too, with as much weight as all passages
     have together, so that the space holds them. What is collected has one row per term of
     the items, whatever the corpus holds.
     """
     spark, size = texts.sparkSession, len(items.vocabulary)
-    keep = min(size, len(items.ids) + MORE_DIRECTIONS)
+    keep = min(size, len(items.parts) + MORE_DIRECTIONS)
     g = np.random.default_rng(seed).standard_normal((size, min(size, keep + MORE_DRAWN)))
     if not size:
         return np.zeros((0, 0), np.float32)
@@ -223,7 +239,7 @@ def latent_space(texts: DataFrame, items: Items, seed: int = 10) -> np.ndarray:
     for r in found.toLocalIterator():
         y[r["term"]] = np.frombuffer(bytes(r["part"]))
     energy = max(float((g * y).sum() / g.shape[1]), 1.0)
-    y += energy / len(items.ids) * (items.matrix.T @ (items.matrix @ g))
+    y += energy / len(items.parts) * (items.matrix.T @ (items.matrix @ g))
     shift = 1e-7 * np.linalg.norm(y)
     y += shift * g
     low = np.linalg.cholesky((g.T @ y + y.T @ g) / 2 + 1e-9 * shift * np.eye(g.shape[1]))
@@ -288,13 +304,17 @@ def _found(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatch]
             z = sum(part[np.where(ok[some], x[some] - first, len(part) - 1)] for x, ok in zip(later, inside))
             near, q = np.nonzero(z @ queries.T >= COSINE * norm[some][:, None])
             cosine = (z[near] * queries[q]).sum(1) / norm[some][near]
-            for k, item, c in zip(some[near].tolist(), q.tolist(), cosine.tolist()):
+            seen = None
+            for k, item, c in zip(some[near].tolist(), it.owner[q].tolist(), cosine.tolist()):
                 doc = int(owner[k])
-                words = it.words[item]
-                begin = int(ends[doc] - counts[doc])
-                at = (k - int((np.cumsum(blocks) - blocks)[doc])) * STRIDE
-                region = terms[max(begin, begin + at - len(words)) : min(int(ends[doc]), begin + at + WINDOW + len(words))]
-                overlap, answered, leaked = judged(words, it.answers[item], region[region >= 0])
+                # Passages of one item come one after the other; the verdict is on the whole item.
+                if seen != (k, item):
+                    seen = k, item
+                    words = it.words[item]
+                    begin = int(ends[doc] - counts[doc])
+                    at = (k - int((np.cumsum(blocks) - blocks)[doc])) * STRIDE
+                    region = terms[max(begin, begin + at - len(words)) : min(int(ends[doc]), begin + at + WINDOW + len(words))]
+                    overlap, answered, leaked = judged(words, it.answers[item], region[region >= 0])
                 held = rows.get((doc, item))
                 if held is None or (leaked, overlap, c) > (held[4], held[2], held[1]):
                     rows[doc, item] = at, c, overlap, answered, leaked
@@ -318,20 +338,23 @@ def search(docs: DataFrame, items: DataFrame, per_round: int = ITEMS_PER_ROUND)
     the text), ``item_id``, ``at`` (word at which the best passage starts), ``cosine``,
     ``overlap`` (share of the item's words found in order), ``answered`` and ``leaked``.
 
-    Items are the stated query set; ``per_round`` of them are searched for at a time in all
-    passages. Null or empty texts, of documents or items, are in no pair. Repeated rows and
+    Items are the stated query set. Those longer than a passage are searched for by all their
+    passages and judged whole. Rounds take items of ``per_round`` passages together, or one
+    longer item, and search all passages of the documents. Null or empty texts, of documents or items, are in no pair. Repeated rows and
     null ids count like any other. Other columns are not looked at.
     """
     spark = docs.sparkSession
     texts = docs.filter("text is not null and text != ''").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
     documents = texts.count()
     rows = items.filter("text is not null and text != ''").select(F.col("item_id").cast("long"), "text").distinct()
-    out, batch = [], []
+    out, batch, held = [], [], 0
     for r in rows.orderBy("item_id", "text").toLocalIterator():
-        batch.append((r["item_id"], r["text"]))
-        if len(batch) == per_round:
+        more = len(passage_starts(len(r["text"].split())))
+        if batch and held + more > per_round:
             out.append(_round(spark, texts, batch, documents))
-            batch = []
+            batch, held = [], 0
+        batch.append((r["item_id"], r["text"]))
+        held += more
     if batch:
         out.append(_round(spark, texts, batch, documents))
     result = spark.createDataFrame([], FOUND)

@@ -331,3 +331,17 @@ def test_paraphrases_need_the_answer(spark):
     got = rows(latent_search.search(_docs(spark, texts), _docs(spark, items).withColumnRenamed("doc_id", "item_id"), per_round=5).filter("leaked"), "doc_id", "item_id")
     assert got == [(i, i) for i in range(12)]
 
+
+
+@pytest.mark.parametrize("size", [65, 400, 1000])
+def test_long_items_are_found(spark, size):
+    """A passage out of a copy of a long item has little of the item, so the item is cut as well."""
+    rng = random.Random(size)
+    vocabulary = [f"term{i}" for i in range(200_000)]
+    words = lambda n: rng.choices(vocabulary, k=n)
+    items = [" ".join(words(size)) for _ in range(6)] + [" ".join(words(20))]
+    texts = [" ".join([*words(rng.randint(0, 200)), t, *words(rng.randint(0, 200))]) for t in items]
+    # Half an item is none. Terms of a copy are in few of so many documents.
+    texts += [" ".join([*words(100), *t.split()[: size // 2], *words(100)]) for t in items[:6]] + [" ".join(words(60)) for _ in range(80)]
+    got = rows(latent_search.search(_docs(spark, texts), _docs(spark, items).withColumnRenamed("doc_id", "item_id")).filter("leaked"), "doc_id", "item_id")
+    assert got == [(i, i) for i in range(7)]
