@@ -4,6 +4,9 @@ The benchmark items span a term space. TF-IDF passages of all documents are proj
 from it onto the leading singular directions of the passage matrix, found by a randomised
 SVD in one distributed pass. Passages near an item by cosine are candidates. What the two
 texts have in common in order, and whether the item's answer is there, decides.
+
+The items are made part of the space, so the cosine is in effect that of plain TF-IDF on
+their words: paraphrases whose rare words are replaced may not become candidates.
 """
 
 from __future__ import annotations
