@@ -15,7 +15,11 @@ from passagecraft.llm.tables import stage
 
 # (verdict, host, path)
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+# Rounds that are always made, and after how many each the ranks are written and looked at.
 DAMPING, ROUNDS, ROUNDS_PER_STAGE = 0.85, 12, 4
+# Rounds end once no new host is reached and a host's trust and distrust changed by at most
+# this share of their own value in a round.
+TOLERANCE = 1e-6
 # Distrust over trust from which on a host is blocked.
 DISTRUST_RATIO = 1.0
 # Fixed value: the target of a link in a page's markup.
@@ -60,13 +64,13 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.filter("src != '' and dst != '' and src != dst").distinct()
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """Trust and distrust of hosts after ``rounds`` rounds.
+def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Trust and distrust of hosts once they have settled, after ``rounds`` rounds at least.
 
     ``seeds``: host, trusted, blocked (booleans). A host passes its trust in equal parts to
     the hosts it links to, and its distrust in equal parts to those that link to it; each
-    round the seeds get ``1 - damping`` anew. Returns ``host, trust, distrust`` for hosts
-    that have some.
+    round the seeds get ``1 - damping`` anew. The number of rounds follows the longest way
+    from a seed and the tolerance. Returns ``host, trust, distrust`` for hosts that have some.
     """
     trusted, blocked = (seeds.filter(c).count() or 1 for c in ("trusted", "blocked"))
     start = stage(
@@ -80,18 +84,30 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
     ways = stage(
         links.join(out_degree, "src").select(F.col("src").alias("host"), F.col("dst").alias("to"), (1 / F.col("n")).alias("w_trust"), none.alias("w_distrust"))
         .union(links.join(in_degree, "dst").select("dst", "src", none, 1 / F.col("n"))), "ways")
-    rank = start
-    for k in range(rounds):
+    rank, k, settled = start, 0, False
+    while not settled:
+        before = rank
         moved = rank.join(ways, "host").select(
             F.col("to").alias("host"), (damping * F.col("trust") * F.col("w_trust")).alias("trust"),
             (damping * F.col("distrust") * F.col("w_distrust")).alias("distrust"))
         again = start.select("host", ((1 - damping) * F.col("trust")).alias("trust"), ((1 - damping) * F.col("distrust")).alias("distrust"))
         rank = moved.union(again).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        if (k + 1) % ROUNDS_PER_STAGE == 0:
+        k += 1
+        # The last round before a look starts from a written table, which it is compared with.
+        if k % ROUNDS_PER_STAGE in (0, ROUNDS_PER_STAGE - 1):
             rank = stage(rank, "ranks")
+        if k % ROUNDS_PER_STAGE == 0 and k >= rounds:
+            settled = _settled(before, rank, tolerance)
     return rank
 
 
+def _settled(before: DataFrame, after: DataFrame, tolerance: float) -> bool:
+    """Whether no host gained its first trust or distrust and none changed by more than ``tolerance`` of its value."""
+    old = before.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
+    moves = lambda new, was: F.abs(F.col(new) - F.coalesce(was, F.lit(0.0))) > tolerance * F.col(new)
+    return after.join(old, "host", "left").filter(moves("trust", "t") | moves("distrust", "d")).isEmpty()
+
+
 def judge_hosts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, ratio: float = DISTRUST_RATIO) -> DataFrame:
     """``host, trust, distrust, verdict`` for hosts that trust or distrust has reached.
 

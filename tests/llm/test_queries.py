@@ -52,3 +52,25 @@ def test_url_filter_with_links(spark, tmp_path):
     assert verdict["friend.example.com"] == verdict["lonely.org"] == verdict["other.com"] == "allow"
     assert rows(got.filter("page_id in (9, 10, 11)"), "page_id", "host", "path", "rule") == [
         (9, "a.example.net", "/en/", "example.net/en/"), (10, "a.example.net", "", None), (11, "y:", "//z.net/", None)]
+
+
+def test_trust_reaches_the_end_of_a_chain(spark):
+    """Distrust goes 30 links back and settles, also where a circle keeps it moving."""
+    n, d = 30, url_graph.DAMPING
+    chain = [(f"h{i}", f"h{i + 1}") for i in range(n)] + [("x", "y"), ("y", "x"), ("x", "h0")]
+    links = spark.createDataFrame(chain, "src string, dst string")
+    seeds = spark.createDataFrame([(f"h{n}", False, True), ("good", True, False)], "host string, trusted boolean, blocked boolean")
+    got = {r.host: r for r in url_graph.propagate(seeds, links).collect()}
+    hosts = sorted({h for link in chain for h in link} | {"good"})
+    want = dict.fromkeys(hosts, 0.0)
+    for _ in range(3000):
+        new = {h: (1 - d if h == f"h{n}" else 0.0) for h in hosts}
+        for a, b in chain:
+            new[a] += d * want[b] / sum(y == b for _, y in chain)
+        want = new
+    assert set(got) == set(hosts)
+    assert all(got[h].distrust == pytest.approx(want[h], rel=1e-4) for h in hosts)
+    page = lambda i, to: (i, f"http://h{i}.com/", f'<a href="http://{to}/">x</a>')
+    pages = [page(i, f"h{i + 1}.com") for i in range(n)] + [page(n, "bad.net"), (n + 1, "http://bad.net/", "")]
+    judged = url_graph.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert {r.verdict for r in judged.collect()} == {"block"}
