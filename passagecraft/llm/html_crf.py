@@ -23,11 +23,15 @@ from passagecraft.llm.words import slices
 
 TRAINING_PAGES, ROUNDS, RATE, PENALTY = 800, 250, 0.08, 1e-4
 # Elements by how they are treated.
-RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "math", "object", "select"}
+RAW = {"script", "style", "title", "textarea"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark",
     "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "nobr",
+    # Formulas stand in the text around them.
+    "math", "semantics", "annotation", "mi", "mn", "mo", "ms", "mtext", "mspace", "mrow", "mfrac", "msqrt", "mroot", "mstyle", "merror",
+    "mpadded", "mphantom", "mfenced", "menclose", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts", "mprescripts",
+    "mtable", "mtr", "mtd",
 }
 # Start tags that end an open element of the same group.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
@@ -50,7 +54,7 @@ cloudpickle.register_pickle_by_value(labelled_pages)
 
 def _own_features(tag: str, attributes: str) -> frozenset:
     """Features that an element gives to all blocks inside."""
-    out = {f"t:{tag}"}
+    out = {f"t:{tag}"} | ({"hidden"} if tag == "template" else set())
     for m in NAMED.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id"):

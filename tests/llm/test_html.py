@@ -64,3 +64,19 @@ def test_pages_of_the_table(spark):
         article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
         parts = (" ".join(html.unescape(re.sub(r"<[^>]+>", " ", p)).split()) for p in re.split(r"</?(?:h1|p)>", article))
         assert texts[r.page_id].text == "\n\n".join(p for p in parts if p) and texts[r.page_id].n_chars == len(texts[r.page_id].text)
+
+
+@pytest.mark.parametrize(("inside", "more"), [
+    ('<svg viewBox="0 0 1 1"/>', []), ("<svg><path d=M0/></svg>", []), ("<math/>", []), ('<iframe src="x">', []), ("<iframe src=x></iframe>", []),
+    ("<noscript><img src=x>", []), ("<object data=x>", []), ("<select>", []), ("<svg>", []), ("<math>", []),
+    ("<object data=x><p>The picture shows a long and quiet river.</p></object>", ["The picture shows a long and quiet river."]),
+])
+def test_text_after_embedded_elements_stays(field, inside, more):
+    first, last = ("The first paragraph of this article has some words.", "The last paragraph of this article has words as well.")
+    page = f"<html><body><nav><a href=/>Home</a></nav><article><h1>Head</h1><p>{first}</p>{inside}<p>{last}</p></article></body></html>"
+    assert _text(page, field).split("\n\n") == ["Head", first, *more, last]
+
+
+def test_formulas_are_text(field):
+    page = "<article><h1>Head</h1><p>We know that <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds for every one of them.</p></article>"
+    assert _text(page, field).split("\n\n") == ["Head", "We know that x=2 holds for every one of them."]
