@@ -1,5 +1,9 @@
 """Licence texts that licence scans look for, without their copyright lines."""
 
+from __future__ import annotations
+
+from pathlib import Path
+
 # Public licence texts.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -63,3 +67,72 @@ KNOWN = [
     ("CC-BY-NC-4.0", "notice", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "notice", "Licensed under CC BY 4.0."),
 ]
+
+# Whole texts of long licences, one file each, with how the licence is named here.
+LONG = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3",
+    "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+    "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+END = "END OF TERMS AND CONDITIONS"
+
+
+def _long_texts() -> list[tuple[str, str, str]]:
+    """Each text whole, and the terms alone where instructions follow them, with and without the line that ends them.
+
+    A filled-in copyright line is no part of the canonical form, so the one to be filled in goes too.
+    """
+    out = []
+    for file, name in LONG.items():
+        text = (Path(__file__).parent / "licences" / f"{file}.txt").read_text(encoding="utf-8")
+        forms = [text, text.replace("Copyright [yyyy] [name of copyright owner]", "")]
+        if END in text:
+            terms = text[: text.index(END)]
+            forms += [terms + END, terms]
+        out += [(name, "licence", form) for form in dict.fromkeys(forms)]
+    return out
+
+
+def _gnu(full: str, short: str, version: str) -> list[str]:
+    plain = version.removesuffix(".0")
+    names = [f"{full}, version {v}" for v in {version, plain}] + [f"{full} v{v}" for v in {version, plain}]
+    names += [f"{s} {v}" for s in (short, f"GNU {short}") for v in {version, plain, f"v{version}", f"v{plain}", f"version {plain}"}]
+    names += [f"{s}v{v}" for s in (short, f"GNU {short}") for v in {version, plain}]
+    return [n + more for n in names for more in ("", " or later", " only", ", or (at your option) any later version")]
+
+
+def _creative(kind: str, full: str, version: str) -> list[str]:
+    long = [f"Creative Commons {full} {version}", f"Creative Commons {full} {version} International"]
+    return [f"CC {kind} {version}", f"CC {kind} {version} International", *long, *(f"{n} License" for n in long), f"CC {kind} {version} License"]
+
+
+# How notices name each licence.
+NAMES = {
+    "MIT": ["MIT License", "MIT"], "ISC": ["ISC License", "ISC"], "0BSD": ["0BSD License", "Zero-Clause BSD License"], "Zlib": ["zlib License"], "Unlicense": ["Unlicense"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache License v2.0", "Apache 2.0 License", "Apache 2.0"],
+    "MPL-1.1": ["Mozilla Public License, Version 1.1", "Mozilla Public License 1.1", "MPL 1.1"],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License, v. 2.0", "Mozilla Public License 2.0", "Mozilla Public License v2.0", "MPL 2.0"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal"],
+} | {f"GPL-{v}": _gnu("GNU General Public License", "GPL", v) for v in ("1.0", "2.0", "3.0")} | {
+    f"LGPL-{v}": _gnu("GNU Library General Public License" if v == "2.0" else "GNU Lesser General Public License", "LGPL", v) for v in ("2.0", "2.1", "3.0")
+} | {"AGPL-3.0": _gnu("GNU Affero General Public License", "AGPL", "3.0")} | {
+    f"GFDL-{v}": _gnu("GNU Free Documentation License", "GFDL", v) for v in ("1.2", "1.3")
+} | {
+    f"CC-{kind}-{v}": _creative(kind, full, v) for v in ("2.0", "2.5", "3.0", "4.0") for kind, full in {
+        "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+        "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}.items()
+}
+OPENINGS = ["Licensed under", "Released under", "Distributed under"] + [
+    f"This {what} is {how} under" for what in ("work", "software", "project", "program") for how in ("licensed", "released")]
+
+
+def _notices() -> list[tuple[str, str, str]]:
+    out = [(name, "notice", f"SPDX-License-Identifier: {name}{more}") for name in NAMES for more in ("", "-only", "-or-later", "+") if not more or "GPL" in name or "GFDL" in name]
+    out += [(name, "notice", f"{opening} {the}{form}.") for name, forms in NAMES.items() for form in forms for opening in OPENINGS for the in ("", "the ")]
+    return [(name, "notice", text) for name, _, text in sorted(set(out))]
+
+
+KNOWN += _long_texts()
+KNOWN += _notices()

@@ -345,3 +345,26 @@ def test_long_items_are_found(spark, size):
     texts += [" ".join([*words(100), *t.split()[: size // 2], *words(100)]) for t in items[:6]] + [" ".join(words(60)) for _ in range(80)]
     got = rows(latent_search.search(_docs(spark, texts), _docs(spark, items).withColumnRenamed("doc_id", "item_id")).filter("leaked"), "doc_id", "item_id")
     assert got == [(i, i) for i in range(7)]
+
+
+def test_long_licences_and_variants_of_notices(spark):
+    from passagecraft.llm.known_licences import END, LONG
+
+    whole = {name: (known_licences_folder() / f"{file}.txt").read_text() for file, name in LONG.items()}
+    apache = whole["Apache-2.0"]
+    cases = [(" ".join(text.split("\n")).replace("  ", " ") if name == "MPL-2.0" else text, name) for name, text in whole.items()]
+    cases += [(apache.replace("[yyyy] [name of copyright owner]", "2021 Jane Doe"), "Apache-2.0"), (apache[: apache.index(END)] + END, "Apache-2.0"),
+              (whole["GPL-2.0"][: whole["GPL-2.0"].index(END)], "GPL-2.0"), (apache + " more", None)]
+    cases += [("This program is licensed under the GNU General Public License, version 2.", "GPL-2.0"), ("Licensed under CC BY-SA 4.0", "CC-BY-SA-4.0"),
+              ("Released under the Mozilla Public License 2.0", "MPL-2.0"), ("SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1"),
+              ("Licensed under GPLv3 or later.", "GPL-3.0"), ("Licensed under the terms we agreed on", None)]
+    got = dict(rows(licence_scan.scan(_docs(spark, [t for t, _ in cases]), licence_scan.known_digests(spark)), "doc_id", "text_licence"))
+    assert got == {i: name for i, (_, name) in enumerate(cases)}
+    by_digest = licence_scan.known_digests(spark).groupBy("digest").agg(F.count_distinct("licence").alias("n"))
+    assert by_digest.filter("n > 1").isEmpty()
+
+
+def known_licences_folder():
+    from pathlib import Path
+
+    return Path(licence_scan.__file__).parent / "licences"
