@@ -119,9 +119,49 @@ from whole left join named using (doc_id)
 """
 
 
+# The remainders of CRC-32 for half a byte.
+CRC_STEPS = [
+    0x00000000, 0x1DB71064, 0x3B6E20C8, 0x26D930AC, 0x76DC4190, 0x6B6B51F4, 0x4DB26158, 0x5005713C,
+    0xEDB88320, 0xF00F9344, 0xD6D6A3E8, 0xCB61B38C, 0x9B64C2B0, 0x86D3D2D4, 0xA00AE278, 0xBDBDF21C,
+]
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a non-empty text, half a byte at a time, the lower half first."""
+    digits = f"hex(encode({text}))"
+    halves = f"list_transform(range(1, strlen({text}) * 2 + 1), lambda i: (strpos('0123456789ABCDEF', {digits}[(i - 1) // 2 * 2 + 2 - (i - 1) % 2]) - 1)::BIGINT)"
+    step = f"xor(c >> 4, ({CRC_STEPS}::BIGINT[])[(xor(c, h) & 15) + 1])"
+    return f"xor(list_reduce(list_prepend({0xFFFFFFFF}::BIGINT, {halves}), lambda c, h: {step}), {0xFFFFFFFF}::BIGINT)"
+
+
+def _upper_to_lower(text: str) -> str:
+    return f"translate({text}, '{url_graph.UPPER}', '{url_graph.LOWER}')"
+
+
+RESAMPLE = rf"""
+with d as (select doc_id, regexp_extract_all({_upper_to_lower("coalesce(text, '')")}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') as ws from documents),
+b as (select regexp_extract_all({_upper_to_lower("coalesce(text, '')")}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') as ws from benchmark),
+held as (select doc_id, w, count(*) as n from (select doc_id, unnest(ws) as w from d) group by all),
+asked as (select w, count(*) as n from (select unnest(ws) as w from b) group by all),
+vocab as materialized (select w, {_crc32("w")} % 10000 as bucket from (select w from held union select w from asked)),
+s as (select bucket, sum(n) as n from held join vocab using (w) group by bucket),
+t as (select bucket, sum(n) as n from asked join vocab using (w) group by bucket),
+gains as (select bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::double * ((select coalesce(sum(n), 0) from s) + 10000)::double
+    / ((s.n + 1)::double * ((select coalesce(sum(n), 0) from t) + 10000)::double)))::bigint as gain from s left join t using (bucket)),
+weights as (select doc_id, sum(n) as n, floor(sum(n * gain)::double / sum(n))::bigint as weight
+  from held join vocab using (w) join gains using (bucket) group by doc_id),
+scored as (select doc_id, len(ws)::bigint as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+  from d left join weights using (doc_id)),
+able as (select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as total from scored where n_features >= 20)
+select doc_id, n_features, weight, score, case when place <= 10 * total // 100 then place end::bigint as rank
+from scored left join able using (doc_id)
+"""
+
 ORACLES = {
     "op1_line_dedup": LINES,
     "op4_substring_dedup": SUBSTRINGS,
     "op6_url_filter": _url_filter(),
     "op9_licence_scan": _licences(),
+    "op12_importance_resampling": RESAMPLE,
 }

@@ -23,7 +23,7 @@ def test_query_equals_sql(spark, name):
 def test_every_operator_is_registered():
     import __spark_entry__ as contract
 
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert {*QUERIES, "pipeline"} <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
