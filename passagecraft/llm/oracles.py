@@ -158,10 +158,32 @@ select doc_id, n_features, weight, score, case when place <= 10 * total // 100 t
 from scored left join able using (doc_id)
 """
 
+# Words one edit apart agree once a character is masked in both, or left out of one.
+SPELLING = rf"""
+with recursive runs as (select doc_id, unnest(regexp_extract_all({_upper_to_lower("text")}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as run from documents where text is not null),
+held as materialized (select doc_id, run, count(*) as n from runs where length(run) >= 5 group by all),
+summed as materialized (select run, n, {_crc32("doc_id || ':' || run")} as h from held),
+spelt as (select case when h % 97 = 0 then substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) else run end as word, n from summed),
+words as materialized (select word, sum(n)::bigint as n from spelt where length(word) >= 5 group by word having sum(n) >= 3),
+cut as materialized (select word, i, substring(word, 1, i - 1) || substring(word, i + 1) as rest from words, unnest(range(1, length(word) + 1)) as r(i)),
+less as (select distinct c.word as a, w.word as b from cut c join words w on c.rest = w.word),
+near as (
+  select a.word, b.word as other from cut a join cut b using (i, rest) where a.word != b.word
+  union all select a, b from less union all select b, a from less),
+most as (select near.word, count(*) as n_near, max(n) as form_n, arg_max(other, (n, -place)) as form
+  from near join (select word as other, n, row_number() over (order by encode(word)) as place from words) using (other) group by near.word),
+judged as (select word, n, coalesce(n_near, 0) as n_near, case when form_n >= 2 * n then form end as form, case when form_n >= 2 * n then form_n end as form_n
+  from words left join most using (word)),
+path as (select word, word as root from words union all select path.word, judged.form from path join judged on path.root = judged.word where form is not null)
+select word, form, root, n, n_near, form_n from judged join (
+  select path.word, root from path join judged on root = judged.word where judged.form is null) using (word)
+"""
+
 ORACLES = {
     "op1_line_dedup": LINES,
     "op4_substring_dedup": SUBSTRINGS,
     "op6_url_filter": _url_filter(),
     "op9_licence_scan": _licences(),
     "op12_importance_resampling": RESAMPLE,
+    "op13_spelling_variants": SPELLING,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from passagecraft.llm import (
-    byte_cnn, html_crf, importance, latent_search, licence_scan, line_dedup, order_minhash, packing, quality_rules, substring_dedup, url_graph,
+    byte_cnn, html_crf, importance, latent_search, licence_scan, line_dedup, order_minhash, packing, quality_rules, spelling, substring_dedup, url_graph,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -74,7 +74,12 @@ def op12_importance_resampling(spark, folder):
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_spelling_variants(spark, folder):
+    return spelling.group_variants(_table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in [
     op1_line_dedup, op2_html_text, op3_packing, op4_substring_dedup, op5_quality_rules, op6_url_filter, op7_near_dedup,
     op8_quality_classifier, op9_licence_scan, op10_decontamination, op12_importance_resampling,
+    op13_spelling_variants,
 ]}
