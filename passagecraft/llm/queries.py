@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from passagecraft.llm import (
-    byte_cnn, html_crf, importance, latent_search, licence_scan, line_dedup, order_minhash, packing, quality_rules, spelling, substring_dedup, url_graph,
+    byte_cnn, forced_bpe, html_crf, importance, latent_search, licence_scan, line_dedup, order_minhash, packing, quality_rules, spelling, substring_dedup, url_graph,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -69,6 +69,13 @@ def op10_decontamination(spark, folder):
     return found.filter("leaked").select("doc_id", "item_id", "at", "overlap", "answered", "cosine")
 
 
+def op11_bpe_round_trip(spark, folder):
+    coded = forced_bpe.encode(_table(spark, folder, "documents"), tokenizer_path())
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return forced_bpe.decode(coded, tokenizer_path()).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op12_importance_resampling(spark, folder):
     drawn = importance.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -80,6 +87,6 @@ def op13_spelling_variants(spark, folder):
 
 QUERIES = {f.__name__: f for f in [
     op1_line_dedup, op2_html_text, op3_packing, op4_substring_dedup, op5_quality_rules, op6_url_filter, op7_near_dedup,
-    op8_quality_classifier, op9_licence_scan, op10_decontamination, op12_importance_resampling,
+    op8_quality_classifier, op9_licence_scan, op10_decontamination, op11_bpe_round_trip, op12_importance_resampling,
     op13_spelling_variants,
 ]}
