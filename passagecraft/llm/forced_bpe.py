@@ -25,6 +25,7 @@ from passagecraft.llm.words import coded_words, slices
 REMEMBERED_IDS, REMEMBERED_FRAGMENTS, DECODED_IDS = 2_000_000, 200_000, 500_000
 # Symbols of a fragment from which on merges are kept in a heap.
 LONG_FRAGMENT = 48
+ID_BITS = 32
 WHITE_SPACE = " \t\n\v\f\r"
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -95,7 +96,8 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.rank = {(a, b): (i, new) for i, (a, b, new) in reversed(list(enumerate(vocabulary.merges)))}
+        # The rank of a pair, and the token it makes in the low bits.
+        self.rank = {(a, b): (i << ID_BITS) | new for i, (a, b, new) in reversed(list(enumerate(vocabulary.merges)))}
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
         self.byte = np.zeros(512, np.uint16)
         for char, byte in byte_of_character().items():
@@ -111,23 +113,24 @@ class Encoder:
         """The pair of lowest rank is merged, the first one among equals, until none is left."""
         if len(ids) >= LONG_FRAGMENT:
             return self._merged_long(ids)
-        rank = self.rank
-        while len(ids) > 1:
-            best, at = (len(rank), 0), -1
-            for i, pair in enumerate(zip(ids, ids[1:])):
-                found = rank.get(pair)
-                if found is not None and found[0] < best[0]:
-                    best, at = found, i
-            if at < 0:
-                break
-            ids[at : at + 2] = [best[1]]
+        get, none = self.rank.get, len(self.rank) << ID_BITS
+        ranks = [get(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) < none:
+            at = ranks.index(best)
+            ids[at : at + 2] = [best & ((1 << ID_BITS) - 1)]
+            del ranks[at]
+            # Only the pairs on both sides of the merged one are new.
+            if at < len(ranks):
+                ranks[at] = get((ids[at], ids[at + 1]), none)
+            if at:
+                ranks[at - 1] = get((ids[at - 1], ids[at]), none)
         return ids
 
     def _merged_long(self, ids: list[int]) -> list[int]:
         after = [*range(1, len(ids)), -1]
         before = list(range(-1, len(ids) - 1))
         found = ((i, p, self.rank.get(p)) for i, p in enumerate(zip(ids, ids[1:])))
-        heap = [(r[0], i, r[1], p) for i, p, r in found if r]
+        heap = [(r >> ID_BITS, i, r & ((1 << ID_BITS) - 1), p) for i, p, r in found if r is not None]
         heapq.heapify(heap)
         while heap:
             _, i, new, pair = heapq.heappop(heap)
@@ -141,8 +144,8 @@ class Encoder:
             for a in (before[i], i):
                 b = after[a] if a >= 0 else -1
                 if b >= 0 and (p := (ids[a], ids[b])) in self.rank:
-                    r, made = self.rank[p]
-                    heapq.heappush(heap, (r, a, made, p))
+                    r = self.rank[p]
+                    heapq.heappush(heap, (r >> ID_BITS, a, r & ((1 << ID_BITS) - 1), p))
         return [x for x in ids if x >= 0]
 
     def fragments_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
