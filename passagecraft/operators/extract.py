@@ -80,12 +80,13 @@ def page_meta(pages: DataFrame) -> DataFrame:
     )
 
 
-def documents(pages: DataFrame) -> DataFrame:
-    """Pages as documents in one narrow pass; the host is the source."""
+def documents(pages: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Pages as documents in one narrow pass; the host is the source. Columns ``keep`` of the pages go along."""
     lang = F.lower(F.regexp_extract("html", LANG, 1))
     return pages.select(
         F.col("page_id").alias("doc_id"),
         _main_text("html").alias("text"),
         F.when(lang == "", "und").otherwise(lang).alias("lang"),
         F.lower(F.regexp_extract("url", HOST, 1)).alias("source"),
+        *keep,
     ).withColumn("n_chars", F.length("text").cast("long"))

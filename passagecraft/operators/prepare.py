@@ -33,11 +33,18 @@ def _path(url: Column) -> Column:
     return F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
+def canonical_address(url: Column | str) -> Column:
+    """Host and path without mirror prefix, page ending and trailing slashes; null without a host."""
+    url = F.col(url) if isinstance(url, str) else url
+    host = F.regexp_replace(_host(url), MIRROR, "")
+    return F.when(host != "", F.concat(host, F.regexp_replace(_path(url), PAGE_END, "")))
+
+
 def canonical_urls(pages: DataFrame) -> DataFrame:
     """One row per canonical address: ``canon, host, path, page_id`` (the smallest) and ``n_pages``.
 
     Scheme, port, mirror prefixes, query, fragment, trailing slashes and page endings do
-    not count. Counts and smallest ids are summed up before the shuffle, so an address
+    not count. Pages without a host are left out. Counts and smallest ids are summed up before the shuffle, so an address
     of very many pages is no hot key.
     """
     host = F.regexp_replace(_host(F.col("url")), MIRROR, "")
@@ -88,24 +95,31 @@ def detect_lang(docs: DataFrame, lexicon: dict[str, list[str]] | None = None) ->
     return best.select("doc_id", F.when(hits > 0, F.col("_b.lang")).otherwise("und").alias("guess"), hits.cast("long").alias("hits"))
 
 
-def doc_stats(docs: DataFrame) -> DataFrame:
-    """Signals of each text: counts, mean word length, and shares of symbols, capitals, distinct words,
-    repeated lines, stop words and lines that end a sentence."""
+SIGNALS = ["n_chars", "n_words", "word_length", "symbol_share", "upper_share", "distinct_share", "repeated_line_share", "stop_word_share", "ended_line_share"]
+
+
+def with_signals(docs: DataFrame) -> DataFrame:
+    """``docs`` with the signals of each text, ``SIGNALS``, in one narrow pass; columns of these names are replaced."""
     share = lambda a, b: F.round(F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0)), 6)
-    cut = docs.select(
-        "doc_id", F.col("text"), pieces("text").alias("_w"), F.filter(F.split("text", "\n"), lambda s: F.trim(s) != "").alias("_l"))
+    cut = docs.withColumns({"_w": pieces("text"), "_l": F.filter(F.split("text", "\n"), lambda s: F.trim(s) != "")})
     common = sorted({w for words in STOP_WORDS.values() for w in words})
     n, lines = F.size("_w"), F.size("_l")
     letters = F.length(F.array_join("_w", ""))
-    return cut.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), n.cast("long").alias("n_words"), share(letters, n).alias("word_length"),
-        share(F.regexp_count("text", F.lit(SYMBOLS)), n).alias("symbol_share"),
-        share(F.regexp_count("text", F.lit(r"\p{Lu}")), F.regexp_count("text", F.lit(r"\p{L}"))).alias("upper_share"),
-        share(F.size(F.array_distinct("_w")), n).alias("distinct_share"),
-        share(lines - F.size(F.array_distinct("_l")), lines).alias("repeated_line_share"),
-        share(F.size(F.filter("_w", lambda w: F.lower(w).isin(common))), n).alias("stop_word_share"),
-        share(F.size(F.filter("_l", lambda s: F.regexp_like(s, F.lit(LINE_STOPS)))), lines).alias("ended_line_share"),
-    )
+    return cut.withColumns(dict(zip(SIGNALS, [
+        F.length("text").cast("long"), n.cast("long"), share(letters, n),
+        share(F.regexp_count("text", F.lit(SYMBOLS)), n),
+        share(F.regexp_count("text", F.lit(r"\p{Lu}")), F.regexp_count("text", F.lit(r"\p{L}"))),
+        share(F.size(F.array_distinct("_w")), n),
+        share(lines - F.size(F.array_distinct("_l")), lines),
+        share(F.size(F.filter("_w", lambda w: F.lower(w).isin(common))), n),
+        share(F.size(F.filter("_l", lambda s: F.regexp_like(s, F.lit(LINE_STOPS)))), lines),
+    ]))).drop("_w", "_l")
+
+
+def doc_stats(docs: DataFrame) -> DataFrame:
+    """Signals of each text: counts, mean word length, and shares of symbols, capitals, distinct words,
+    repeated lines, stop words and lines that end a sentence."""
+    return with_signals(docs).select("doc_id", *SIGNALS)
 
 
 def top_terms(docs: DataFrame, k: int = 20, by: str = "lang") -> DataFrame:

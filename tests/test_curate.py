@@ -1,0 +1,125 @@
+"""Streaming curation against the same work in one batch, over several landings and restarts."""
+
+import os
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import Window, functions as F
+
+from passagecraft.operators.extract import documents
+from passagecraft.operators.prepare import canonical_address
+from passagecraft.operators.rules import apply_rules
+from passagecraft.sources.tables import read_corpus
+from passagecraft.streaming.curate import stream_curate
+
+rng = random.Random(6)
+DAY = 86_400
+START = 1_700_000_000
+RULES = {"few words": "n_words < 3"}
+
+
+def page(i, url, words):
+    return (i, url, f"<html lang=en><body><article><p>{words}</p></article></body></html>")
+
+
+def land(spark, folder, landing, pages, day):
+    """One landing: two files with the modification time of ``day``."""
+    path = f"{folder}/{landing}"
+    spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2).write.parquet(path)
+    for name in os.listdir(path):
+        if name.startswith("part-"):
+            os.utime(f"{path}/{name}", (START + day * DAY, START + day * DAY))
+            os.rename(f"{path}/{name}", f"{folder}/landed/{landing}-{name}")
+
+
+def batch(landings, spark, horizon=30):
+    """The same rows by windows over all landings at once: (address or text, time) decides."""
+    parts = [documents(spark.createDataFrame(pages, "page_id long, url string, html string"), keep=(canonical_address("url").alias("key"),)).withColumn("day", F.lit(day))
+             for pages, day in landings]
+    docs = parts[0]
+    for part in parts[1:]:
+        docs = docs.union(part)
+
+    def first(df, key):
+        before = F.lag("day").over(Window.partitionBy(key).orderBy("day", "doc_id"))
+        return df.filter(F.col(key).isNotNull()).withColumn("_b", before).filter("_b is null or day - _b > %d" % horizon)
+
+    once = apply_rules(first(docs, "key"), RULES).filter(F.size("reasons") == 0)
+    return rows(first(once, "text"), "doc_id", "text", "source")
+
+
+def some(n, start, addresses, texts):
+    return [page(start + i, f"https://{rng.choice(['www.', ''])}h{rng.randrange(addresses)}.org/p{rng.choice(['', '/', '.html', '?q=1'])}", f"words of text {rng.randrange(texts)}")
+            for i in range(n)]
+
+
+@pytest.fixture
+def place(spark, tmp_path):
+    (tmp_path / "landed").mkdir()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield tmp_path
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def run(spark, place):
+    return stream_curate(spark, f"{place}/landed", f"{place}/out", f"{place}/state", RULES)
+
+
+def test_landings_and_restarts_give_the_batch_result(spark, place):
+    landings = [(some(60, 0, 20, 12), 0), (some(60, 100, 30, 20), 1), (some(60, 200, 30, 30), 45)]
+    landings[0][0].extend([page(90, "no host", "words of text 99"), page(91, None, "words of text 98"), (92, "http://n.org", None), page(93, "http://e.org", "few")])
+    landings[1][0].append(page(190, "http://e.org/", "now enough words here"))
+    for i, (pages, day) in enumerate(landings):
+        land(spark, str(place), f"l{i}", pages, day)
+        run(spark, place)
+        nothing = run(spark, place)
+        assert nothing[0].rows_in == nothing[1].rows_in == 0
+        got = rows(read_corpus(spark, f"{place}/out"), "doc_id", "text", "source")
+        assert got == batch(landings[: i + 1], spark)
+
+
+def test_several_landings_in_one_run(spark, place):
+    landings = [(some(50, 0, 20, 15), 0), (some(50, 100, 20, 15), 2)]
+    for i, (pages, day) in enumerate(landings):
+        land(spark, str(place), f"l{i}", pages, day)
+    first, _ = stream_curate(spark, f"{place}/landed", f"{place}/out", f"{place}/state", RULES, files=2)
+    assert first.batches >= 2 and first.rows_in == 100
+    assert rows(read_corpus(spark, f"{place}/out"), "doc_id", "text", "source") == batch(landings, spark)
+
+
+def test_state_is_bounded(spark, place):
+    """Addresses not seen for longer than the horizon and the delay are forgotten."""
+    for i, day in enumerate([0, 50, 100]):
+        land(spark, str(place), f"l{i}", [page(1000 * i + k, f"http://h{i}-{k}.org", f"some words {i} {k}") for k in range(40)], day)
+        first, second = run(spark, place)
+        assert first.rows_in == second.rows_in == 40
+    # The watermark of a landing takes effect after it, so at most two landings are held.
+    assert first.remembered <= 80 and second.remembered <= 80 and first.forgotten >= 40
+    assert read_corpus(spark, f"{place}/out").count() == 120
+
+
+def test_late_files_are_counted(spark, place):
+    land(spark, str(place), "l0", [page(1, "http://a.org", "some words here")], 40)
+    run(spark, place)
+    land(spark, str(place), "l1", [page(2, "http://b.org", "other words here")], 20)
+    land(spark, str(place), "l2", [page(3, "http://c.org", "third words here")], 39)
+    first, _ = run(spark, place)
+    assert first.too_late == 1 and rows(read_corpus(spark, f"{place}/out"), "doc_id") == [(1,), (3,)]
+
+
+def test_one_address_holds_most_pages(spark, place):
+    hot = [page(i, "http://hot.org/", f"hot words {i}") for i in range(3000)] + [page(5000 + i, f"http://h{i}.org", f"some words {i}") for i in range(10)]
+    land(spark, str(place), "l0", hot, 0)
+    first, second = run(spark, place)
+    assert first.rows_in == 3010 and second.rows_in == first.remembered == 11
+    assert read_corpus(spark, f"{place}/out").filter("doc_id < 5000").count() == 1
+
+
+def test_nothing_landed(spark, place):
+    land(spark, str(place), "l0", [page(1, None, "x")], 0)
+    first, second = run(spark, place)
+    assert (first.rows_in, second.rows_in) == (1, 0)
+    with pytest.raises(ValueError):
+        stream_curate(spark, f"{place}/landed", f"{place}/o", f"{place}/s", horizon=1, delay=2)
