@@ -353,7 +353,7 @@ def _share(a: str, b: str) -> str:
     return f"round(CASE WHEN {b} = 0 THEN 0 ELSE ({a})::DOUBLE / ({b}) END, 6)"
 
 
-def _stats() -> str:
+def _stats(table: str = "documents") -> str:
     stop = ", ".join(f"'{w}'" for words in _STOP.values() for w in words.split())
     n = lambda p: f"len(regexp_extract_all(text, '{p}'))"
     return rf"""SELECT doc_id, length(text)::BIGINT AS n_chars, len(w)::BIGINT AS n_words,
@@ -363,13 +363,32 @@ def _stats() -> str:
   {_share(f"len(list_filter(w, lambda x: lower(x) IN ({stop})))", "len(w)")} AS stop_word_share,
   {_share(r"len(list_filter(l, lambda x: regexp_matches(x, '[.!?…][" + chr(34) + "'')»”]?" + chr(92) + "s*$')))", "len(l)")} AS ended_line_share
 FROM (SELECT doc_id, text, list_filter(string_split_regex(text, '[\s\p{{Z}}]+'), lambda t: t <> '') AS w,
-  list_filter(string_split(text, chr(10)), lambda s: trim(s) <> '') AS l FROM documents)"""
+  list_filter(string_split(text, chr(10)), lambda s: trim(s) <> '') AS l FROM {table})"""
+
+
+_REASONS = """array_to_string(list_filter([CASE WHEN n_words < 20 THEN 'few words' END,
+  CASE WHEN word_length < 2 OR word_length > 12 THEN 'odd word length' END, CASE WHEN symbol_share > 0.1 THEN 'symbols' END,
+  CASE WHEN upper_share > 0.5 THEN 'capitals' END, CASE WHEN repeated_line_share > 0.3 THEN 'repeated lines' END,
+  CASE WHEN ended_line_share < 0.2 THEN 'no sentence ends' END], lambda r: r IS NOT NULL), ', ')"""
+
+
+def _curated() -> str:
+    landing = "('0x' || substr(md5(doc_id::VARCHAR), 1, 7))::BIGINT % 2"
+    return with_([
+        PAGE_DOCS, _CANON, f"stats AS ({_stats('page_docs')})",
+        f"""once AS (SELECT page_docs.*, row_number() OVER (PARTITION BY canon.host || path ORDER BY {landing}, doc_id) AS nth
+  FROM page_docs JOIN canon ON page_id = doc_id WHERE canon.host <> '')""",
+        f"""passed AS (SELECT once.*, row_number() OVER (PARTITION BY text ORDER BY {landing}, doc_id) AS place
+  FROM once JOIN stats USING (doc_id) WHERE nth = 1 AND {_REASONS} = '')"""],
+        "SELECT doc_id, text, lang, source, n_chars FROM passed WHERE place = 1")
 
 
 ORACLES: dict[str, str] = {
     "read_qa_published": with_([QA, GOLD], "SELECT id, gold FROM qa JOIN gold USING (id)"),
     "canonical_urls": with_([_CANON], """SELECT host || path AS canon, host, path, min(page_id) AS page_id, count(*) AS n_pages
 FROM canon WHERE host <> '' GROUP BY host, path"""),
+    "apply_rules": f"SELECT doc_id, {_REASONS} AS reasons FROM ({_stats('(SELECT doc_id, coalesce(text, {}) AS text FROM documents)'.format(chr(39) * 2))})",
+    "stream_curate": _curated(),
     "outlinks": with_([_LINKS], "SELECT * FROM links WHERE target <> ''"),
     "link_targets": with_([_LINKS], """SELECT target, count(*) AS n_links, count(DISTINCT page_id) AS n_pages FROM links
 WHERE target <> '' GROUP BY target"""),
@@ -378,6 +397,11 @@ WHERE target <> '' GROUP BY target"""),
   '\n{3,}', chr(10) || chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g') AS text FROM documents""",
     "detect_lang": with_([_LEXICON, _GUESS], "SELECT * FROM guess"),
     "doc_stats": _stats(),
+    "threshold_sweep": with_([f"stats AS ({_stats()})", """counts AS (SELECT stop_word_share AS threshold, count(*) AS n,
+  sum(quality) AS y FROM stats JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY 1)""",
+        "run AS (SELECT threshold, sum(n) OVER w AS n_kept, sum(y) OVER w AS n_right, sum(y) OVER () AS total FROM counts WINDOW w AS (ORDER BY threshold DESC))"],
+        f"""SELECT threshold, n_kept::BIGINT AS n_kept, n_right::BIGINT AS n_right, {_share('n_right', 'n_kept')} AS precision, {_share('n_right', 'total')} AS recall,
+  {_share('2 * n_right', '(n_kept + total)')} AS f1 FROM run"""),
     "top_terms": f"""WITH c AS (SELECT lang, term, count(*) AS n FROM (SELECT lang, unnest({tok('text')}) AS term FROM documents) GROUP BY ALL)
 SELECT * FROM (SELECT lang, term, n, round(n / (sum(n) OVER (PARTITION BY lang))::DOUBLE, 6) AS share,
   row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS rank FROM c) WHERE rank <= 20""",

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from passagecraft.functions.sizing import scratch_path, stage
+from passagecraft.functions.text import hash28
 from passagecraft.operators import answers, chunk as chunks_, compare, dense, extract, index as index_, lexical
-from passagecraft.operators import metrics, prepare, profile, ranking, relevance
+from passagecraft.operators import metrics, prepare, profile, ranking, relevance, rules, thresholds
 from passagecraft.plans import corpus as corpus_plan, rag
 from passagecraft.sources import tables
+from passagecraft.streaming import curate
 from passagecraft.streaming.ingest import stream_corpus
 
 SIZE, OVERLAP, SENTENCE_SIZE, DIM = 120, 20, 400, 256
@@ -120,6 +122,25 @@ def incremental_corpus(spark, d):
     return tables.read_corpus(spark, path)
 
 
+def apply_rules(spark, d):
+    return rules.apply_rules(_docs(spark, d)).select("doc_id", F.array_join("reasons", ", ").alias("reasons"))
+
+
+def _landed(spark, d):
+    """Pages in two landings, a day apart."""
+    day = F.make_timestamp(F.lit(2024), F.lit(1), F.pmod(hash28(F.col("page_id").cast("string")), F.lit(2)) + 1, F.lit(0), F.lit(0), F.lit(0))
+    return _pages(spark, d).withColumn("landed", day)
+
+
+def stream_curate(spark, d):
+    """Each landing curated when it has come."""
+    landing, out, state = (scratch_path(spark, name) for name in ("landing", "curated", "curate-state"))
+    for day in ("2024-01-01", "2024-01-02"):
+        _landed(spark, d).filter(F.col("landed") == day).write.mode("append").partitionBy("landed").parquet(landing)
+        curate.stream_curate(spark, landing, out, state, time="landed")
+    return tables.read_corpus(spark, out)
+
+
 def read_qa(spark, d):
     path = scratch_path(spark, "qa")
     tables.turns_as_articles(_turns(spark, d)).write.json(path)
@@ -166,6 +187,12 @@ def doc_stats(spark, d):
     return prepare.doc_stats(_docs(spark, d))
 
 
+def threshold_sweep(spark, d):
+    """How well the share of common words tells good documents."""
+    labels = spark.read.schema(tables.LABEL_SCHEMA).parquet(f"{d}/labels.parquet")
+    return thresholds.threshold_sweep(prepare.doc_stats(_docs(spark, d)), labels, "stop_word_share", "quality")
+
+
 def top_terms(spark, d):
     return _long(prepare.top_terms(_docs(spark, d)), "rank")
 
@@ -392,6 +419,8 @@ QUERIES = {
     "write_corpus": write_corpus,
     "write_corpus_json": write_corpus_json,
     "incremental_corpus": incremental_corpus,
+    "apply_rules": apply_rules,
+    "stream_curate": stream_curate,
     "read_qa": read_qa,
     "read_qa_published": read_qa_published,
     "canonical_urls": canonical_urls,
@@ -400,6 +429,7 @@ QUERIES = {
     "normalize_text": normalize_text,
     "detect_lang": detect_lang,
     "doc_stats": doc_stats,
+    "threshold_sweep": threshold_sweep,
     "top_terms": top_terms,
     "split_by_hash": split_by_hash,
     "dialogue_pairs": dialogue_pairs,
