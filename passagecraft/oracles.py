@@ -383,7 +383,55 @@ def _curated() -> str:
         "SELECT doc_id, text, lang, source, n_chars FROM passed WHERE place = 1")
 
 
+# Kinds of personal data: name, pattern, and the test of a candidate ``v`` after ``b`` and before ``a``.
+_DIGITS = "regexp_replace(v, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN {_DIGITS}[-i]::INT
+  ELSE 2 * {_DIGITS}[-i]::INT - CASE WHEN {_DIGITS}[-i]::INT > 4 THEN 9 ELSE 0 END END)) % 10 = 0"""
+_OCTETS = "list_filter(string_split(v, '.'), lambda o: o::INT > 255 OR (o <> '0' AND o[1] = '0'))"
+_PII = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+     "strpos(v, '@') BETWEEN 2 AND 65 AND NOT contains(v, '.@') AND NOT regexp_matches(split_part(v, '@', 2), '(^|\\.)-|-(\\.|$)')"),
+    ("secret", r"\b[0-9a-f]{32,128}\b", "length(v) IN (32, 40, 56, 64, 96, 128) AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]')"),
+    ("card", r"\b[0-9](?:[ -]?[0-9]){12,18}\b", f"v[1] IN ('2', '3', '4', '5', '6') AND {_LUHN}"),
+    ("ip", r"\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}\b", f"len({_OCTETS}) = 0 AND NOT regexp_matches(b, '[0-9]\\.$') AND NOT regexp_matches(a, '^\\.[0-9]')"),
+    ("phone", r"(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-]?[0-9]{3,4}\b", f"length({_DIGITS}) BETWEEN 8 AND 15 AND NOT regexp_matches(b, '[0-9A-Za-z_.+-]$')"),
+    ("number", r"\b[0-9]{13,19}\b", "true"),
+]
+_LENGTHS = "coalesce(list_sum(list_transform({}, lambda x: length(x))), 0)::BIGINT"
+
+
+def _pii() -> list[str]:
+    """All candidates; then, three times, those win that no better one overlaps, and what they overlap goes."""
+    parts = " UNION ALL ".join(
+        f"""SELECT doc_id, {i} AS rank, '{name}' AS kind, e - length(v) AS s, e, v FROM (
+  SELECT *, {_LENGTHS.format('pieces[1:i]')} + {_LENGTHS.format('found[1:i]')} AS e,
+    {"regexp_replace(found[i], '^(?:.*" + chr(92) + "." + chr(92) + ".|" + chr(92) + ".)', '')" if name == 'email' else 'found[i]'} AS v,
+    right(pieces[i], 2) AS b, pieces[i + 1][1:2] AS a
+  FROM (SELECT doc_id, string_split_regex(text, '{pattern}') AS pieces, regexp_extract_all(text, '{pattern}') AS found,
+    unnest(range(1, len(found) + 1)) AS i FROM documents)) WHERE {test}"""
+        for i, (name, pattern, test) in enumerate(_PII))
+    overlap = "x.doc_id = y.doc_id AND x.s < y.e AND y.s < x.e"
+    better = "(x.s - x.e, x.s, x.rank) < (y.s - y.e, y.s, y.rank)"
+    ctes = [f"alive0 AS MATERIALIZED ({parts})"]
+    for k in range(3):
+        ctes.append(f"won{k} AS MATERIALIZED (SELECT y.* FROM alive{k} y WHERE NOT EXISTS (SELECT 1 FROM alive{k} x WHERE {overlap} AND {better}))")
+        ctes.append(f"alive{k + 1} AS MATERIALIZED (SELECT y.* FROM alive{k} y WHERE NOT EXISTS (SELECT 1 FROM won{k} x WHERE {overlap}))")
+    return [*ctes, "pii AS (SELECT * FROM won0 UNION ALL SELECT * FROM won1 UNION ALL SELECT * FROM won2)"]
+
+
+def _redaction() -> str:
+    cuts = """cuts AS (SELECT doc_id, s, e, '[' || upper(kind) || ']' AS put, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS since FROM pii),
+joined AS (SELECT doc_id, count(*) AS n, max(e) AS last, string_agg(substring(text, since::BIGINT + 1, (s - since)::BIGINT) || put, '' ORDER BY s) AS head
+  FROM cuts JOIN documents USING (doc_id) GROUP BY doc_id)"""
+    return with_([*_pii(), cuts], """SELECT doc_id, CASE WHEN n IS NULL THEN text ELSE head || substring(text, last::BIGINT + 1) END AS text,
+  coalesce(n, 0) AS n_findings FROM documents LEFT JOIN joined USING (doc_id)""")
+
+
 ORACLES: dict[str, str] = {
+    "find_pii": with_(_pii(), "SELECT doc_id, kind, s AS start, e - s AS length, v AS value FROM pii"),
+    "redact": _redaction(),
+    "pii_report": with_(_pii(), """SELECT source, lang, kind, grouping(source, lang, kind)::INT AS level, count(*) AS n_findings,
+  count(DISTINCT doc_id) AS n_docs FROM pii JOIN documents USING (doc_id) GROUP BY CUBE (source, lang, kind)"""),
     "read_qa_published": with_([QA, GOLD], "SELECT id, gold FROM qa JOIN gold USING (id)"),
     "canonical_urls": with_([_CANON], """SELECT host || path AS canon, host, path, min(page_id) AS page_id, count(*) AS n_pages
 FROM canon WHERE host <> '' GROUP BY host, path"""),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from passagecraft.functions.sizing import scratch_path, stage
 from passagecraft.functions.text import hash28
 from passagecraft.operators import answers, chunk as chunks_, compare, dense, extract, index as index_, lexical
-from passagecraft.operators import metrics, prepare, profile, ranking, relevance, rules, thresholds
+from passagecraft.operators import metrics, prepare, profile, ranking, relevance, rules, spans, thresholds
 from passagecraft.plans import corpus as corpus_plan, rag
 from passagecraft.sources import tables
 from passagecraft.streaming import curate
@@ -187,6 +187,18 @@ def doc_stats(spark, d):
     return prepare.doc_stats(_docs(spark, d))
 
 
+def find_pii(spark, d):
+    return spans.find_pii(_docs(spark, d))
+
+
+def redact(spark, d):
+    return spans.redact(_docs(spark, d), count="n_findings").select("doc_id", "text", "n_findings")
+
+
+def pii_report(spark, d):
+    return spans.pii_report(spans.find_pii(_docs(spark, d)), _docs(spark, d)).drop("n_values")
+
+
 def threshold_sweep(spark, d):
     """How well the share of common words tells good documents."""
     labels = spark.read.schema(tables.LABEL_SCHEMA).parquet(f"{d}/labels.parquet")
@@ -429,6 +441,9 @@ QUERIES = {
     "normalize_text": normalize_text,
     "detect_lang": detect_lang,
     "doc_stats": doc_stats,
+    "find_pii": find_pii,
+    "redact": redact,
+    "pii_report": pii_report,
     "threshold_sweep": threshold_sweep,
     "top_terms": top_terms,
     "split_by_hash": split_by_hash,
