@@ -499,6 +499,10 @@ FROM documents d FULL OUTER JOIN fresh f USING (doc_id)"""),
     "vector_topk_dot": vector_sql("list_dot_product(v, q)"),
     "vector_topk_l2": vector_sql("-list_distance(v, q)"),
     "vector_filtered": vector_sql(COSINE, "label >= 5"),
+    "semantic_dedup": """WITH u AS (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u
+  FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings))
+SELECT a.vec_id, count(b.vec_id) AS n_links, least(a.vec_id, min(b.vec_id)) AS first, coalesce(min(b.vec_id) > a.vec_id, true) AS kept
+FROM u a LEFT JOIN u b ON a.vec_id <> b.vec_id AND round(list_dot_product(a.u, b.u), 6) >= 0.4 GROUP BY a.vec_id""",
     "vector_passages": with_([*BASE, *near_ctes(K)], f"{HITS} near"),
     "ivf_topk": ivf_sql(16, 4),
     "ivf_topk_all_cells": vector_sql(COSINE),

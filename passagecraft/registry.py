@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from passagecraft.functions.sizing import scratch_path, stage
 from passagecraft.functions.text import hash28
 from passagecraft.operators import answers, chunk as chunks_, compare, dense, extract, index as index_, lexical
-from passagecraft.operators import metrics, prepare, profile, ranking, relevance, rules, spans, thresholds
+from passagecraft.operators import metrics, prepare, profile, ranking, relevance, rules, semantic, spans, thresholds
 from passagecraft.plans import corpus as corpus_plan, rag
 from passagecraft.sources import tables
 from passagecraft.streaming import curate
@@ -321,6 +321,11 @@ def ivf_topk_all_cells(spark, d):
     return _long(dense.ivf_topk(_vectors(spark, d), _centroids(spark, d), K, 8, 8), "rank")
 
 
+def semantic_dedup(spark, d):
+    """The vectors of the tables are far apart, so the cosine asked for is low; cells small enough to be split."""
+    return semantic.semantic_dedup(_vectors(spark, d), 0.4, cell_rows=400, cells=8, slack=None)
+
+
 def vector_passages(spark, d):
     return _hits(_near(spark, d))
 
@@ -463,6 +468,7 @@ QUERIES = {
     "vector_topk_dot": _vector_topk("dot"),
     "vector_topk_l2": _vector_topk("l2"),
     "vector_filtered": vector_filtered,
+    "semantic_dedup": semantic_dedup,
     "vector_passages": vector_passages,
     "ivf_topk": ivf_topk,
     "ivf_topk_all_cells": ivf_topk_all_cells,
