@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from passagecraft.functions.sizing import broadcast_if, top_k
+from passagecraft.functions.sizing import broadcast_if, match, stage, top_k
 from passagecraft.functions.text import hash28, pieces, tokens, unnest
 
 # Parts of an address that do not name another page, common words by
@@ -54,6 +54,26 @@ def canonical_urls(pages: DataFrame) -> DataFrame:
         F.concat("host", "path").alias("canon"), "host", "path", "page_id", "n_pages")
 
 
+def block_hosts(pages: DataFrame, blocked: DataFrame) -> DataFrame:
+    """``pages`` without those whose host is, or lies below, a domain in column ``domain`` of ``blocked``.
+
+    Hosts are looked up once each: every host and its parent domains meet the list, of any
+    size, on the domain, and pages meet the hosts that are left. Both joins broadcast the
+    smaller side if its measured size allows and else split hot keys, such as a host with
+    most pages or a top-level domain. Case and a leading or trailing dot do not count in
+    ``blocked``; null and repeated domains change nothing. Pages without a host are kept.
+    """
+    named = pages.withColumn("_host", F.coalesce(_host(F.col("url")), F.lit("")))
+    hosts = stage(named.filter("_host <> ''").select("_host").distinct(), "hosts")
+    labels = F.split("_host", r"\.")
+    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    listed = blocked.select(F.lower(F.regexp_replace("domain", r"^\.+|\.+$", "")).alias("_domain")).filter("_domain <> ''").distinct()
+    found = match(hosts.select("_host", F.explode(parents).alias("_domain")), listed, ["_domain"], ["_host"]).select("_host").distinct()
+    left = hosts.join(found, "_host", "left_anti")
+    kept = match(named.filter("_host <> ''"), left, ["_host"], ["page_id"]).select(*pages.columns)
+    return kept.unionByName(named.filter("_host = ''").select(*pages.columns))
+
+
 def outlinks(pages: DataFrame) -> DataFrame:
     """``page_id, source, target``: one row per link, relative ones taken on the page's host; fragments are left out."""
     found = unnest(pages, ["page_id", _host(F.col("url")).alias("source")], F.regexp_extract_all("html", F.lit(HREF), F.lit(1)), "href")
@@ -145,18 +165,20 @@ def split_by_hash(docs: DataFrame, ratios: dict[str, int], key: str = "doc_id")
     return docs.withColumn("split", out)
 
 
-def dialogue_pairs(turns: DataFrame, context: int = 4) -> DataFrame:
+def dialogue_pairs(turns: DataFrame, context: int | None = None) -> DataFrame:
     """``conv_id, turn, prompt, response, context``: user turns with the assistant turn that follows.
 
-    ``context`` holds the turns before, ``role: text`` each, the last ``context`` of them at
-    most. Turns meet on (dialogue, turn), so a long dialogue spreads over many tasks; user
-    turns without an answer are left out.
+    ``context`` holds all turns before, ``role: text`` each, or the last ``context`` of them if
+    given; turns are numbered from 0. Turns meet on (dialogue, turn), so a long dialogue
+    spreads over many tasks, though its full contexts grow with its square; user turns
+    without an answer are left out.
     """
     asked = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("prompt"))
     answers = turns.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response"))
     pairs = asked.join(answers, ["conv_id", "turn"])
     said = turns.select("conv_id", F.col("turn").alias("before"), F.concat("role", F.lit(": "), "text").alias("line"))
-    wanted = pairs.select("conv_id", "turn", F.explode(F.sequence(F.col("turn") - context, F.col("turn") - 1)).alias("before"))
+    low = F.lit(0).cast("long") if context is None else F.greatest(F.lit(0), F.col("turn") - context)
+    wanted = pairs.filter(F.col("turn") > low).select("conv_id", "turn", F.explode(F.sequence(low, F.col("turn") - 1)).alias("before"))
     held = wanted.join(said, ["conv_id", "before"]).groupBy("conv_id", "turn").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("before", "line"))), lambda s: s["line"]), "\n").alias("context"))
     return pairs.join(held, ["conv_id", "turn"], "left").withColumn("context", F.coalesce("context", F.lit("")))

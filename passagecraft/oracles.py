@@ -454,8 +454,13 @@ WHERE target <> '' GROUP BY target"""),
 SELECT * FROM (SELECT lang, term, n, round(n / (sum(n) OVER (PARTITION BY lang))::DOUBLE, 6) AS share,
   row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS rank FROM c) WHERE rank <= 20""",
     "split_by_hash": f"SELECT doc_id, {_SPLIT} AS split FROM documents",
+    "mixture": r"""SELECT doc_id, lang FROM (SELECT doc_id, lang, CASE lang WHEN 'en' THEN 60000 WHEN 'de' THEN 25000 WHEN 'fr' THEN 10000
+  WHEN 'es' THEN 1000000000000 END AS budget, sum(len(list_filter(string_split_regex(text, '[\s\p{Z}]+'), lambda t: t <> ''))) OVER (
+  PARTITION BY lang ORDER BY ('0x' || substr(md5(doc_id::VARCHAR), 1, 7))::BIGINT, doc_id) AS upto FROM documents) WHERE upto <= budget""",
+    "block_hosts": with_([_CANON, "listed AS (SELECT host FROM canon WHERE host <> '' GROUP BY host HAVING count(*) >= 5)"],
+        f"""SELECT page_id, url FROM pages WHERE NOT EXISTS (SELECT 1 FROM listed WHERE {_HOST} = listed.host OR ends_with({_HOST}, '.' || listed.host))"""),
     "dialogue_pairs": """SELECT u.conv_id, u.turn, u.text AS prompt, a.text AS response, coalesce((SELECT string_agg(p.role || ': ' || p.text,
-  chr(10) ORDER BY p.turn) FROM conversations p WHERE p.conv_id = u.conv_id AND p.turn BETWEEN u.turn - 4 AND u.turn - 1), '') AS context
+  chr(10) ORDER BY p.turn) FROM conversations p WHERE p.conv_id = u.conv_id AND p.turn < u.turn), '') AS context
 FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'""",
     "funnel": with_(
         [_LEXICON, _GUESS, f"""held AS (SELECT text, (guess = lang)::INT AS agrees, ({_SPLIT} = 'train')::INT AS part

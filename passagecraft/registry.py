@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from passagecraft.functions.sizing import scratch_path, stage
 from passagecraft.functions.text import hash28
 from passagecraft.operators import answers, chunk as chunks_, compare, dense, extract, index as index_, lexical
-from passagecraft.operators import metrics, prepare, profile, ranking, relevance, rules, semantic, spans, thresholds
+from passagecraft.operators import metrics, mixture as mixture_, prepare, profile, ranking, relevance, rules, semantic, spans, thresholds
 from passagecraft.plans import corpus as corpus_plan, rag
 from passagecraft.sources import tables
 from passagecraft.streaming import curate
@@ -217,6 +217,20 @@ def split_by_hash(spark, d):
     return _split(spark, d).select("doc_id", "split")
 
 
+BUDGETS = {"en": 60_000, "de": 25_000, "fr": 10_000, "es": 10**12}
+
+
+def mixture(spark, d):
+    return mixture_.mixture(_docs(spark, d), BUDGETS).select("doc_id", "lang")
+
+
+def block_hosts(spark, d):
+    """Without the sites of five pages or more, and all hosts below them."""
+    listed = prepare.canonical_urls(_pages(spark, d)).groupBy("host").agg(F.sum("n_pages").alias("n")).filter("n >= 5")
+    listed = listed.select(F.col("host").alias("domain"))
+    return prepare.block_hosts(_pages(spark, d), listed).select("page_id", "url")
+
+
 def dialogue_pairs(spark, d):
     return prepare.dialogue_pairs(_turns(spark, d))
 
@@ -453,6 +467,8 @@ QUERIES = {
     "top_terms": top_terms,
     "split_by_hash": split_by_hash,
     "dialogue_pairs": dialogue_pairs,
+    "mixture": mixture,
+    "block_hosts": block_hosts,
     "funnel": funnel,
     "chunk": chunk,
     "chunk_chars": chunk_chars,

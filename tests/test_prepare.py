@@ -58,6 +58,29 @@ def test_dialogue_pairs(spark):
         (1, "t1", "t2", "system: t0"), (4, "t4", "t5", "assistant: t2\nuser: t3")]
 
 
+def test_dialogue_pairs_hold_all_turns_before(spark):
+    turns = spark.createDataFrame([(c, i, "user" if i % 2 == 0 else "assistant", f"t{i}") for c in (1, 2) for i in range(40)] + [(3, 0, "user", None), (3, 1, "assistant", "x")],
+                                  "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r.context for r in prepare.dialogue_pairs(turns).collect()}
+    assert len(got) == 41 and got[3, 0] == "" and got[2, 0] == ""
+    assert got[1, 38] == "\n".join(f"{'user' if i % 2 == 0 else 'assistant'}: t{i}" for i in range(38))
+    assert prepare.dialogue_pairs(turns.limit(0)).count() == 0
+
+
+def test_block_hosts(spark, no_broadcast):
+    """Without broadcasts; one host holds most pages and is blocked by its parent."""
+    urls = ["http://a.bad.org/x", "https://bad.org", "http://notbad.org/", "http://www.good.com", None, "no host", "http://BAD.org:80/y", "http://org/", "http://x.co.uk/"]
+    pages = spark.createDataFrame([(i, u, "h", "x") for i, u in enumerate(urls + ["http://hot.bad.org/"] * 300 + ["http://hot.good.com/"] * 300)],
+                                  "page_id long, url string, html string, domain string")
+    blocked = spark.createDataFrame([("Bad.org.",), (".co.uk",), ("bad.org",), (None,), ("",), ("d.com",), *[(f"site{i}.net",) for i in range(500)]], "domain string")
+    got = prepare.block_hosts(pages, blocked)
+    assert got.columns == pages.columns
+    kept = {r.page_id for r in got.collect()}
+    assert {i for i in kept if i < len(urls)} == {2, 3, 4, 5, 7} and len(kept) == 305
+    assert prepare.block_hosts(pages, blocked.limit(0)).count() == len(urls) + 600
+    assert prepare.block_hosts(pages.limit(0), blocked).count() == 0
+
+
 def test_funnel(spark):
     docs = _docs(spark, "abc", "de", None)
     got = prepare.funnel([("all", docs), ("long", docs.filter("length(text) > 2")), ("none", docs.limit(0))])
