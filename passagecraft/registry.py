@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from passagecraft.functions.sizing import scratch_path, stage
 from passagecraft.functions.text import hash28
 from passagecraft.operators import answers, chunk as chunks_, compare, dense, extract, index as index_, lexical
-from passagecraft.operators import metrics, mixture as mixture_, prepare, profile, ranking, relevance, rules, semantic, spans, thresholds
+from passagecraft.operators import metrics, mixture as mixture_, prepare, profile, ranking, relevance, rules, semantic, spans, thresholds, toxicity
 from passagecraft.plans import corpus as corpus_plan, rag
 from passagecraft.sources import tables
 from passagecraft.streaming import curate
@@ -199,6 +199,11 @@ def pii_report(spark, d):
     return spans.pii_report(spans.find_pii(_docs(spark, d)), _docs(spark, d)).drop("n_values")
 
 
+def toxic_scores(spark, d):
+    docs, labels = _docs(spark, d), spark.read.schema(tables.LABEL_SCHEMA).parquet(f"{d}/labels.parquet")
+    return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels))
+
+
 def threshold_sweep(spark, d):
     """How well the share of common words tells good documents."""
     labels = spark.read.schema(tables.LABEL_SCHEMA).parquet(f"{d}/labels.parquet")
@@ -463,6 +468,7 @@ QUERIES = {
     "find_pii": find_pii,
     "redact": redact,
     "pii_report": pii_report,
+    "toxic_scores": toxic_scores,
     "threshold_sweep": threshold_sweep,
     "top_terms": top_terms,
     "split_by_hash": split_by_hash,
