@@ -33,6 +33,11 @@ def _path(url: Column) -> Column:
     return F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
+def host_of(url: Column | str) -> Column:
+    """The host of an address in lower case, empty if it has none."""
+    return _host(F.col(url) if isinstance(url, str) else url)
+
+
 def canonical_address(url: Column | str) -> Column:
     """Host and path without mirror prefix, page ending and trailing slashes; null without a host."""
     url = F.col(url) if isinstance(url, str) else url

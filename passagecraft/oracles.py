@@ -437,6 +437,12 @@ ORACLES: dict[str, str] = {
 FROM canon WHERE host <> '' GROUP BY host, path"""),
     "apply_rules": f"SELECT doc_id, {_REASONS} AS reasons FROM ({_stats('(SELECT doc_id, coalesce(text, {}) AS text FROM documents)'.format(chr(39) * 2))})",
     "stream_curate": _curated(),
+    "stream_counts": with_([f"""timed AS (SELECT {_HOST} AS host, 1704067200 + ('0x' || substr(md5('at' || page_id), 1, 7))::BIGINT % 86400 AS t,
+  ('0x' || substr(md5('slow' || page_id), 1, 7))::BIGINT % 5 = 0 AS slow FROM pages)""",
+        """landed AS (SELECT host, t, t // 3600 * 3600 AS start, CASE WHEN slow OR t >= 1704110400 THEN 1704153600 ELSE 1704110400 END AS landed FROM timed)""",
+        "marked AS (SELECT *, start + 3600 + 7200 <= landed AS late FROM landed)"],
+        """SELECT host, start, count(*) FILTER (WHERE NOT late) AS n, count(*) FILTER (WHERE late) AS n_late FROM marked
+WHERE late OR start + 3600 <= (SELECT max(t) - 7200 FROM marked) GROUP BY host, start"""),
     "outlinks": with_([_LINKS], "SELECT * FROM links WHERE target <> ''"),
     "link_targets": with_([_LINKS], """SELECT target, count(*) AS n_links, count(DISTINCT page_id) AS n_pages FROM links
 WHERE target <> '' GROUP BY target"""),

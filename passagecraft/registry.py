@@ -10,7 +10,7 @@ from passagecraft.operators import answers, chunk as chunks_, compare, dense, ex
 from passagecraft.operators import metrics, mixture as mixture_, prepare, profile, ranking, relevance, rules, semantic, spans, thresholds, toxicity
 from passagecraft.plans import corpus as corpus_plan, rag
 from passagecraft.sources import tables
-from passagecraft.streaming import curate
+from passagecraft.streaming import counts, curate
 from passagecraft.streaming.ingest import stream_corpus
 
 SIZE, OVERLAP, SENTENCE_SIZE, DIM = 120, 20, 400, 256
@@ -141,6 +141,19 @@ def stream_curate(spark, d):
     return tables.read_corpus(spark, out)
 
 
+def stream_counts(spark, d):
+    """Pages fetched over a day that land at noon and at midnight, some at midnight only though fetched before noon."""
+    number = lambda salt: hash28(F.concat(F.lit(salt), F.col("page_id").cast("string")))
+    fetched = F.timestamp_seconds(F.lit(1704067200) + F.pmod(number("at"), F.lit(86_400)))
+    slow = (F.hour("fetched") >= 12) | (F.pmod(number("slow"), F.lit(5)) == 0)
+    pages = _pages(spark, d).withColumn("fetched", fetched).withColumn("landed", F.timestamp_seconds(F.when(slow, 1704153600).otherwise(1704110400)))
+    landing, out, state = (scratch_path(spark, name) for name in ("landing", "counts", "counts-state"))
+    for at in ("2024-01-01 12:00:00", "2024-01-02 00:00:00"):
+        pages.filter(F.col("landed") == at).write.mode("append").partitionBy("landed").parquet(landing)
+        counts.stream_counts(spark, landing, out, state, landed="landed")
+    return counts.window_counts(spark, out).withColumn("start", F.unix_seconds("start"))
+
+
 def read_qa(spark, d):
     path = scratch_path(spark, "qa")
     tables.turns_as_articles(_turns(spark, d)).write.json(path)
@@ -457,6 +470,7 @@ QUERIES = {
     "incremental_corpus": incremental_corpus,
     "apply_rules": apply_rules,
     "stream_curate": stream_curate,
+    "stream_counts": stream_counts,
     "read_qa": read_qa,
     "read_qa_published": read_qa_published,
     "canonical_urls": canonical_urls,
