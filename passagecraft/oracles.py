@@ -449,6 +449,13 @@ WHERE target <> '' GROUP BY target"""),
     "normalize_text": r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
   '\r\n?', chr(10), 'g'), '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '[ \t\x{A0}]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'),
   '\n{3,}', chr(10) || chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g') AS text FROM documents""",
+    "drop_common_lines": with_([
+        "lines AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))",
+        "common AS (SELECT trim(line) AS t FROM lines WHERE trim(line) <> '' GROUP BY 1 HAVING count(DISTINCT doc_id) >= 5)",
+        """kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE t IS NULL) AS text, count(t) AS n_removed
+  FROM lines LEFT JOIN common ON trim(line) = t GROUP BY doc_id)"""],
+        """SELECT doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text, coalesce(n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN kept USING (doc_id)"""),
     "detect_lang": with_([_LEXICON, _GUESS], "SELECT * FROM guess"),
     "doc_stats": _stats(),
     "threshold_sweep": with_([f"stats AS ({_stats()})", """counts AS (SELECT stop_word_share AS threshold, count(*) AS n,

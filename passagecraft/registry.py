@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from passagecraft.functions.sizing import scratch_path, stage
 from passagecraft.functions.text import hash28
-from passagecraft.operators import answers, chunk as chunks_, compare, dense, extract, index as index_, lexical
+from passagecraft.operators import answers, boilerplate, chunk as chunks_, compare, dense, extract, index as index_, lexical
 from passagecraft.operators import metrics, mixture as mixture_, prepare, profile, ranking, relevance, rules, semantic, spans, thresholds, toxicity
 from passagecraft.plans import corpus as corpus_plan, rag
 from passagecraft.sources import tables
@@ -192,6 +192,10 @@ def normalize_text(spark, d):
     return prepare.normalize_text(_docs(spark, d)).select("doc_id", "text")
 
 
+def drop_common_lines(spark, d):
+    return boilerplate.drop_common_lines(_docs(spark, d), 5, "n_removed").select("doc_id", "text", "n_removed")
+
+
 def detect_lang(spark, d):
     return prepare.detect_lang(_docs(spark, d))
 
@@ -477,6 +481,7 @@ QUERIES = {
     "outlinks": outlinks,
     "link_targets": link_targets,
     "normalize_text": normalize_text,
+    "drop_common_lines": drop_common_lines,
     "detect_lang": detect_lang,
     "doc_stats": doc_stats,
     "find_pii": find_pii,
