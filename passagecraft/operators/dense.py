@@ -112,6 +112,8 @@ def _scored_in_place(rows, asked, k, metric, keys, vector, dim) -> DataFrame:
         owner = np.repeat(everyone, pc.list_value_length(flat).to_numpy(zero_copy_only=False)) if len(ids) else everyone
         cell = flat.flatten().to_numpy(zero_copy_only=False) if len(ids) else everyone
         probing = {c: owner[cell == c] for c in np.unique(cell).tolist()}
+        # Where cells are folders of a stored table, the others are not read.
+        rows = rows.filter(F.col("cell").isin(list(probing)))
     types = [to_arrow_type(rows.schema[key].dataType) for key in keys]
 
     def score(batches):
@@ -190,3 +192,33 @@ def ivf_topk(
     asked = nearest_cells(queries.select("query_id", vector).filter(F.col(vector).isNotNull()), centers, probes, vector)
     rows = rows.select(*keys, vector, F.element_at("cells", 1).alias("cell"))
     return _searched(rows, asked, k, metric, keys, vector, None)
+
+
+def store_cells(
+    vectors: DataFrame, path: str, cells: int = 16, keys: tuple[str, ...] = ("vec_id",), vector: str = "embedding", rounds: int = 3, rows_per_file: int = 1_000_000,
+) -> None:
+    """Write ``vectors`` under ``path``, a folder for each cell, for :func:`search_cells`; null vectors are left out.
+
+    Cells are those of :func:`ivf_topk`. The rebalance hint splits a cell that holds most
+    vectors over several files and tasks.
+    """
+    spark = vectors.sparkSession
+    rows = vectors.select(*keys, vector).filter(F.col(vector).isNotNull())
+    centers = cell_centers(rows, cells, rounds, keys, vector)
+    spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)], "cell int, center array<double>").write.parquet(f"{path}/centers")
+    placed = nearest_cells(rows, centers, 1, vector).select(*keys, vector, F.element_at("cells", 1).alias("cell"))
+    # Folders by cell tell no schema if there are no vectors.
+    placed.limit(0).write.parquet(f"{path}/columns")
+    placed.hint("rebalance", F.col("cell")).write.partitionBy("cell").option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/vectors")
+
+
+def search_cells(
+    spark, path: str, queries: DataFrame, k: int = 10, probes: int = 4, metric: str = "cosine", keys: tuple[str, ...] = ("vec_id",), vector: str = "embedding",
+) -> DataFrame:
+    """As :func:`ivf_topk`, over vectors stored by :func:`store_cells`: each block of queries reads the cells it probes only."""
+    held = spark.read.schema("cell int, center array<double>").parquet(f"{path}/centers").orderBy("cell").toPandas()
+    stored = spark.read.schema(spark.read.parquet(f"{path}/columns").schema).parquet(f"{path}/vectors")
+    asked = queries.select("query_id", vector).filter(F.col(vector).isNotNull())
+    if not len(held):
+        return _searched(stored, asked.limit(0), k, metric, keys, vector, None)
+    return _searched(stored, nearest_cells(asked, np.vstack(held["center"].tolist()), probes, vector), k, metric, keys, vector, None)

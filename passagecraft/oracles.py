@@ -523,6 +523,7 @@ SELECT a.vec_id, count(b.vec_id) AS n_links, least(a.vec_id, min(b.vec_id)) AS f
 FROM u a LEFT JOIN u b ON a.vec_id <> b.vec_id AND round(list_dot_product(a.u, b.u), 6) >= 0.4 GROUP BY a.vec_id""",
     "vector_passages": with_([*BASE, *near_ctes(K)], f"{HITS} near"),
     "ivf_topk": ivf_sql(16, 4),
+    "cell_search": ivf_sql(16, 4),
     "ivf_topk_all_cells": vector_sql(COSINE),
     "rrf": with_(
         [*BASE, *bm25_ctes("lex", "chunks", "asked", DEPTH), *near_ctes(DEPTH),

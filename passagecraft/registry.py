@@ -353,6 +353,13 @@ def ivf_topk(spark, d):
     return _long(dense.ivf_topk(_vectors(spark, d), _centroids(spark, d), K, CELLS, 4), "rank")
 
 
+def cell_search(spark, d):
+    """The same cells as a stored table, of which only the probed ones are read."""
+    path = scratch_path(spark, "cells")
+    dense.store_cells(_vectors(spark, d), path, CELLS)
+    return _long(dense.search_cells(spark, path, _centroids(spark, d), K, 4), "rank")
+
+
 def ivf_topk_all_cells(spark, d):
     return _long(dense.ivf_topk(_vectors(spark, d), _centroids(spark, d), K, 8, 8), "rank")
 
@@ -512,6 +519,7 @@ QUERIES = {
     "semantic_dedup": semantic_dedup,
     "vector_passages": vector_passages,
     "ivf_topk": ivf_topk,
+    "cell_search": cell_search,
     "ivf_topk_all_cells": ivf_topk_all_cells,
     "rrf": rrf,
     "expand": expand,

@@ -4,7 +4,7 @@ import pytest
 from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
-from passagecraft.operators.dense import hash_embed, ivf_topk, vector_topk
+from passagecraft.operators.dense import hash_embed, ivf_topk, search_cells, store_cells, vector_topk
 from passagecraft.operators.ranking import filtered_vector_topk
 from passagecraft.sources.tables import read_vectors
 
@@ -94,6 +94,33 @@ def test_few_cells_find_planted_copies(spark):
     assert len(exact & near) >= 0.9 * len(exact)
 
 
+def test_stored_cells_are_pruned_and_found_again(spark, tmp_path):
+    """Recall of the best ten against exact search, and what is read for it."""
+    rng = np.random.default_rng(6)
+    middles = rng.normal(size=(40, 16))
+    base = middles[rng.integers(0, 40, 2000)] + rng.normal(scale=0.3, size=(2000, 16))
+    asked = base[:50] + rng.normal(scale=0.1, size=(50, 16))
+    v, q = _table(spark, "vec_id", base), _table(spark, "query_id", asked)
+    store_cells(v, f"{tmp_path}/cells", 20)
+    got = search_cells(spark, f"{tmp_path}/cells", q, 10, probes=4)
+    exact = {(r.query_id, r.vec_id) for r in vector_topk(v, q, 10).collect()}
+    assert len(exact & {(r.query_id, r.vec_id) for r in got.collect()}) >= 0.95 * len(exact)
+    assert rows(got, *COLUMNS) == rows(ivf_topk(v, q, 10, cells=20, probes=4), *COLUMNS)
+    one = search_cells(spark, f"{tmp_path}/cells", q.filter("query_id = 3"), 10, probes=2)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [cell" in plan.replace("isnotnull(cell#", "cell") and one.count() == 10
+
+
+def test_stored_cells_of_no_vectors_and_null_ones(spark, tmp_path):
+    v = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [2.0, 0.0]), ("d", None)], "vec_id string, embedding array<float>")
+    q = spark.createDataFrame([("x", [1.0, 0.0]), ("none", None)], "query_id string, embedding array<float>")
+    store_cells(v, f"{tmp_path}/some", 2)
+    assert rows(search_cells(spark, f"{tmp_path}/some", q, 5, probes=2), *COLUMNS) == [("x", 1, "a", 1.0), ("x", 2, "b", 1.0)]
+    assert search_cells(spark, f"{tmp_path}/some", q.limit(0), 5).count() == 0
+    store_cells(v.limit(0), f"{tmp_path}/none", 2)
+    assert search_cells(spark, f"{tmp_path}/none", q, 5).count() == 0
+
+
 def test_fewer_vectors_than_k_and_none(spark, vectors):
     base, asked = vectors
     v, q = _table(spark, "vec_id", base[:3]), _table(spark, "query_id", asked)
