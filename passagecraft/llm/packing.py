@@ -85,11 +85,11 @@ class WordIds:
         return starts, counts, np.concatenate([self.pool[: self.used], ids])
 
 
-def _encoder(definition: str) -> WordIds:
+def _encoder(definition: str, most: int) -> WordIds:
     """The encoder of this worker process, kept from task to task."""
     held = sys.modules.setdefault("_passagecraft_word_ids", types.ModuleType("_passagecraft_word_ids"))
-    if getattr(held, "definition", None) != definition:
-        held.definition, held.encoder = definition, WordIds(definition)
+    if getattr(held, "made_for", None) != (definition, most):
+        held.made_for, held.encoder = (definition, most), WordIds(definition, most)
     return held.encoder
 
 
@@ -104,8 +104,8 @@ def token_ids(texts: pa.Array, encoder: WordIds) -> tuple[np.ndarray, np.ndarray
     return total + 1, np.insert(flat.astype(np.uint32), np.cumsum(total), END_ID)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], definition, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    encoder = _encoder(definition.value)
+def _pieces(batches: Iterator[pa.RecordBatch], definition, capacity: int, with_ids: bool, remembered: int) -> Iterator[pa.RecordBatch]:
+    encoder = _encoder(definition.value, remembered)
     for batch in slices(batches):
         sizes, flat = token_ids(batch["text"], encoder)
         flat = np.ascontiguousarray(flat.astype("<u4"))
@@ -127,13 +127,13 @@ def _pieces(batches: Iterator[pa.RecordBatch], definition, capacity: int, with_i
         yield pa.RecordBatch.from_pydict(out)
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False, remembered: int = REMEMBERED_WORDS) -> DataFrame:
     """Token counts and checksums of documents, those over ``capacity`` in pieces; ``ids`` on request."""
     with open(tokenizer, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda b: _pieces(b, definition, capacity, with_ids), schema)
+        lambda b: _pieces(b, definition, capacity, with_ids, remembered), schema)
 
 
 def fillings(lengths: list[int], left: Counter, room: int, most: int = FILLINGS, steps: int = FILLING_STEPS) -> list[tuple[int, ...]]:
@@ -276,15 +276,16 @@ def _placed(batches: Iterator[pa.RecordBatch], places) -> Iterator[pa.RecordBatc
         )
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False, remembered: int = REMEMBERED_WORDS) -> DataFrame:
     """Pieces of all documents with the sequence each lies in and its offset there.
 
     Columns: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``, and ``ids``
     on request. A null or empty text is its closing id alone. Rows with equal or null
-    ``doc_id`` are packed as separate documents. Other columns are not looked at.
+    ``doc_id`` are packed as separate documents. Other columns are not looked at. A worker
+    remembers the ids of ``remembered`` words; fewer take less memory and more time.
     """
     spark = docs.sparkSession
-    cut = stage(pieces(docs, tokenizer, capacity, with_ids), "pieces")
+    cut = stage(pieces(docs, tokenizer, capacity, with_ids, remembered), "pieces")
     # Ranks within a length are taken per bucket, as many documents may have one length.
     buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
