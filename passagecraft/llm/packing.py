@@ -8,6 +8,7 @@ each is used; pieces then take their places in them by rank within their length.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import zlib
@@ -93,6 +94,13 @@ def _encoder(definition: str, most: int) -> WordIds:
     return held.encoder
 
 
+def _trim() -> None:
+    """What the tokenizer's threads have freed goes back to the system, as the JVM beside needs room too."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def token_ids(texts: pa.Array, encoder: WordIds) -> tuple[np.ndarray, np.ndarray]:
     """How many ids each text has with the closing one, and all ids in a row."""
     counts, codes, words = coded_words(texts)
@@ -108,6 +116,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], definition, capacity: int, with_i
     encoder = _encoder(definition.value, remembered)
     for batch in slices(batches):
         sizes, flat = token_ids(batch["text"], encoder)
+        _trim()
         flat = np.ascontiguousarray(flat.astype("<u4"))
         n = -(-sizes // capacity)
         doc = np.repeat(np.arange(len(sizes)), n)
