@@ -40,35 +40,76 @@ ENDS_PARAGRAPH = {
     "address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3",
     "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "pre", "section", "table", "ul",
 }
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*|[^>]*)>", re.S)
+OPENS = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+QUOTED_END = re.compile(r"(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>")
+# Tags of a page whose quotes never close; from then on a tag of the page ends at the first ``>``.
+MOST_UNQUOTED = 8
+# Elements nested deeper give their blocks nothing of their own.
+DEEPEST = 512
 NAMED = re.compile(r"(?:\s|^)(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 RAW_ENDS = {tag: re.compile(f"</{tag}", re.I) for tag in RAW}
 PIECE = re.compile(r"[a-z]+|[0-9]+")
 KINDS = {piece: kind for kind, names in labelled_pages.NAMES.items() for name in names for piece in name.split("-") if piece not in ("page", "site", "main", "list", "more", "box", "body", "reader", "slot", "entry")}
+# Words that make a name of several tell a state and not a part of the page: ``has-sidebar``, ``comments-open``.
+STATES = {"has", "no", "not", "with", "without", "is", "open", "opened", "closed", "enabled", "disabled", "visible", "and"}
+# An article or main element with so much of the page's text is no part named after its classes.
+MAIN_SHARE = 0.3
 LENGTHS = (1, 2, 5, 10, 25, 60)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(labelled_pages)
 
 
-def _own_features(tag: str, attributes: str) -> frozenset:
-    """Features that an element gives to all blocks inside."""
+def _own_features(tag: str, attributes: str, named: bool) -> frozenset:
+    """Features that an element gives to all blocks inside; those of its class and id only if ``named``."""
     out = {f"t:{tag}"} | ({"hidden"} if tag == "template" else set())
     for m in NAMED.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id"):
-            for piece in PIECE.findall(value):
-                out.add(f"n:{piece}")
-                if piece in KINDS or piece.rstrip("s") in KINDS:
-                    out.add(f"k:{KINDS.get(piece) or KINDS[piece.rstrip('s')]}")
-        elif name == "role":
+        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if key in ("class", "id"):
+            for name in value.split() if named else ():
+                pieces = PIECE.findall(name)
+                if not STATES.isdisjoint(pieces):
+                    out.add(f"n:{name}")
+                    continue
+                for piece in pieces:
+                    out.add(f"n:{piece}")
+                    if piece in KINDS or piece.rstrip("s") in KINDS:
+                        out.add(f"k:{KINDS.get(piece) or KINDS[piece.rstrip('s')]}")
+        elif key == "role":
             out.add(f"r:{value}")
-        elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
+        elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             out.add("hidden")
     return frozenset(out)
 
 
+def markup(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Comments and tags in order: start, end, ``/`` of an end tag, name (empty for comments and declarations), attributes.
+
+    Each character is read a bounded number of times. A ``<`` after which no ``>`` follows
+    is text. The receiver may send the place to go on from.
+    """
+    at, unquoted = 0, 0
+    while m := OPENS.search(page, at):
+        if m[1]:
+            end = page.find("-->", m.end())
+            end = len(page) if end < 0 else end + 3
+        else:
+            shut = QUOTED_END.match(page, m.end()) if m[3] and unquoted < MOST_UNQUOTED else None
+            if shut:
+                end = shut.end()
+            else:
+                unquoted += m[3] is not None
+                end = page.find(">", m.end()) + 1
+                if not end:
+                    # No tag can end any more, only a comment may still begin.
+                    start = page.find("<!--", m.start() + 1)
+                    if start < 0:
+                        return
+                    at = start
+                    continue
+        at = (yield m.start(), end, m[2] or "", m[3] or "", page[m.end() : end - 1] if m[3] else "") or end
+
+
 class Blocks:
     """Reads pages into leaf blocks. What elements give to their blocks is remembered from page to page."""
 
@@ -77,50 +118,74 @@ class Blocks:
     def __init__(self):
         self.own, self.joined = {}, {}
 
-    def _inside(self, around: frozenset, tag: str, attributes: str) -> frozenset:
-        own = self.own.get((tag, attributes))
+    def _own(self, tag: str, attributes: str, named: bool) -> frozenset:
+        own = self.own.get((tag, attributes, named))
         if own is None:
             if len(self.own) > self.MOST_REMEMBERED:
                 self.own, self.joined = {}, {}
-            own = self.own[tag, attributes] = _own_features(tag, attributes)
-        found = self.joined.get((around, own))
-        if found is None:
-            found = self.joined[around, own] = around | own
-        return found
+            own = self.own[tag, attributes, named] = _own_features(tag, attributes, named)
+        return own
 
     def of(self, page: str) -> list[tuple[str, frozenset, str, float]]:
-        """Text, features from around, innermost tag and share of linked characters of each block."""
+        """Text, features from around, innermost tag and share of linked characters of each block.
+
+        Of the outermost ``article`` and ``main`` elements the one with the most text, if it
+        holds ``MAIN_SHARE`` of the page's, gives its blocks no features of its class and id,
+        which tell its topic or state there; but for those of reader comments.
+        """
+        blocks, held, comments = self._read(page, -1)
+        most = max(held, key=held.get, default=-1)
+        if most >= 0 and most not in comments and held[most] >= MAIN_SHARE * sum(len(b[0]) for b in blocks):
+            blocks = self._read(page, most)[0]
+        return blocks
+
+    def _read(self, page: str, unnamed: int) -> tuple[list, dict[int, int], set[int]]:
+        """Blocks, the text in each outermost article or main element with names, and which of these hold comments."""
         out, text, linked, size, links = [], [], 0, 0, 0
-        stack = [("html", frozenset())]
-        at, end = 0, len(page)
+        # Tag, features around and, of outermost article and main elements, the number; -1 for others.
+        stack, open_tags = [("html", frozenset(), -1)], {}
+        main, n_main, held, comments = -1, 0, {}, set()
+        at, tags = 0, markup(page)
 
         def flush():
             nonlocal text, linked, size
             if text:
                 whole = " ".join(html.unescape("".join(text)).split())
                 if whole:
-                    tag, around = stack[-1]
+                    tag, around, _ = stack[-1]
                     out.append((whole, around, tag, linked / max(size, 1)))
+                    if main in held:
+                        held[main] += len(whole)
             text, linked, size = [], 0, 0
 
-        while at < end:
-            m = MARKUP.search(page, at)
-            stop = m.start() if m else end
+        def close():
+            nonlocal main
+            tag, _, number = stack.pop()
+            open_tags[tag] -= 1
+            main = -1 if number >= 0 else main
+
+        found = next(tags, None)
+        while True:
+            stop = found[0] if found else len(page)
             if stop > at:
                 piece = page[at:stop]
                 text.append(piece)
                 size += len(piece)
                 linked += len(piece) if links else 0
-            if not m:
+            if not found:
                 break
-            at = m.end()
-            name = m[2]
-            if name is None:
-                continue
-            tag, closing = name.lower(), m[1]
+            _, at, closing, name, attributes = found
+            tag = name.lower()
             if tag in RAW and not closing:
                 shut = RAW_ENDS[tag].search(page, at)
-                at = shut.start() if shut else end
+                at = shut.start() if shut else len(page)
+                try:
+                    found = tags.send(at)
+                except StopIteration:
+                    found = None
+                continue
+            found = next(tags, None)
+            if not tag or tag in RAW:
                 continue
             if tag in INLINE:
                 if tag == "a":
@@ -129,23 +194,38 @@ class Blocks:
             if tag == "br":
                 text.append(" ")
                 continue
-            if tag in RAW:
-                continue
             flush()
             if closing:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
+                if open_tags.get(tag):
+                    while stack[-1][0] != tag:
+                        close()
+                    close()
                 links = 0 if tag in ENDS_PARAGRAPH else links
                 continue
             ends = CLOSES.get(tag) or ({"p"} if tag in ENDS_PARAGRAPH else ())
             while len(stack) > 1 and stack[-1][0] in ends:
-                stack.pop()
-            if tag not in VOID and not m[3].rstrip().endswith("/"):
-                stack.append((tag, self._inside(stack[-1][1], tag, m[3])))
+                close()
+            if tag not in VOID and not attributes.rstrip().endswith("/"):
+                around, number = stack[-1][1], -1
+                if len(stack) <= DEEPEST:
+                    named = tag not in ("html", "body")
+                    if tag in ("article", "main") and main < 0:
+                        main = number = n_main
+                        n_main += 1
+                        named = number != unnamed
+                    own = self._own(tag, attributes, named)
+                    if number >= 0 and any(f[:2] == "n:" for f in own):
+                        held[number] = 0
+                        if "k:comments" in own:
+                            comments.add(number)
+                    inside = self.joined.get((around, own))
+                    if inside is None:
+                        inside = self.joined[around, own] = around | own
+                    around = inside
+                stack.append((tag, around, number))
+                open_tags[tag] = open_tags.get(tag, 0) + 1
         flush()
-        return out
+        return out, held, comments
 
 
 def block_features(text: str, tag: str, linked: float) -> list[str]:
@@ -271,7 +351,8 @@ def extract(pages: DataFrame, field: Field | None = None) -> DataFrame:
 
     Character references are decoded, white space in a block is one space, blocks are
     trimmed and joined by two line ends. A null or empty html has an empty text. Repeated
-    rows and null ids or urls get a row each. Other columns are not looked at.
+    rows and null ids or urls get a row each. Other columns are not looked at. The time for
+    a page grows with its length, however broken its markup.
     """
     field = field or train(labelled_pages.pages(TRAINING_PAGES))
     shared = pages.sparkSession.sparkContext.broadcast(field)

@@ -80,3 +80,39 @@ def test_text_after_embedded_elements_stays(field, inside, more):
 def test_formulas_are_text(field):
     page = "<article><h1>Head</h1><p>We know that <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds for every one of them.</p></article>"
     assert _text(page, field).split("\n\n") == ["Head", "We know that x=2 holds for every one of them."]
+
+
+@pytest.mark.parametrize(("body", "article"), [
+    *((f' class="home {name}"', "") for name in ("has-sidebar", "no-sidebar", "ads-enabled", "menu-open", "search", "social")),
+    *(("", f' class="post {name}"') for name in ("comments-open", "no-sidebar", "search-and-rescue", "social", "legal-news", "meta-analysis")),
+    (' id="menu" class="comments"', ' id="social" class="has-ads"'),
+])
+def test_names_of_what_holds_the_article(field, body, article):
+    first, last = "The first paragraph of this article has some words.", "The last paragraph of this article has words as well."
+    page = f"""<html><body{body}><nav><a href=/>Home</a></nav><article{article}><p>{first}</p><p>{last}</p></article>
+    <div class="sidebar"><p>Another story that you may want to read.</p></div><article class="comment"><p>I liked this.</p></article></body></html>"""
+    assert _text(page, field).split("\n\n") == [first, last]
+
+
+@pytest.mark.parametrize("part", [
+    "<a ", '<a href="x \'', "<a", "<!", "<?x", "<a href='x\">", "<div>", "</p>", "<div></p>", '<p class="', "<script", "<!--", "< ", "<article><p>a ", "&amp",
+    "<a href=x ",
+])
+def test_broken_markup_is_read_in_one_pass(field, part):
+    import time
+
+    start = time.monotonic()
+    for end in ("", ">"):
+        _text("<p>Some words stand here.</p>" + part * (1_000_000 // len(part)) + end, field)
+    assert time.monotonic() - start < 20
+
+
+def test_markup_equals_a_plain_reader():
+    import random
+
+    plain = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*|[^>]*)>", re.S)
+    rng = random.Random(4)
+    for _ in range(3000):
+        page = "".join(rng.choices(["<", ">", "<a", "</p", " ", "x=", '"', "'", "<!--", "-->", "<!", "<?", "/", "b"], k=rng.randint(0, 14)))
+        want = [(m.start(), m.end(), m[1] or "", m[2] or "", m[3] or "") for m in plain.finditer(page)]
+        assert list(html_crf.markup(page)) == want, page
