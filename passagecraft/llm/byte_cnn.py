@@ -22,7 +22,9 @@ CHUNK, OVERLAP = 256, 64
 EMBED, WIDTH, STRIDE, FILTERS = 8, 8, 2, 32
 # Bound on the labelled rows the network is fitted on, and on the length of one of them.
 FIT_ROWS, FIT_BYTES = 4000, 32_768
-EPOCHS, BATCH_CHUNKS, RATE = 6, 512, 0.01
+# Epochs at least, and steps at least: few labelled rows are gone through more often. The rate falls to
+# LAST_RATE along half a cosine, so that the result hardly depends on how the network starts.
+EPOCHS, STEPS, BATCH_CHUNKS, RATE, LAST_RATE = 6, 450, 512, 0.01, 0.0001
 # Chunks handled at once when scoring.
 CHUNKS_AT_ONCE = 128
 
@@ -84,25 +86,32 @@ class Network:
         logit = total / np.maximum(count, 1)[:, None] @ self.out[:-1] + self.out[-1]
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
-    def fit(self, texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> None:
-        """Minimise the log loss with Adam; both labels weigh alike."""
+    def fit(self, texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS, steps: int = STEPS, seed: int = 3) -> None:
+        """Minimise the log loss with Adam, for ``epochs`` and ``steps`` at least; both labels weigh alike."""
         rows, text = chunks_of(texts)
         sizes = np.bincount(text, minlength=len(labels))
         first = np.cumsum(sizes) - sizes
         share = np.array([max(1, (labels == k).sum()) for k in (0, 1)]) / len(labels)
         weight = 0.5 / share[labels]
-        rng, moments, step = np.random.default_rng(seed), {}, 0
-        for _ in range(epochs):
-            order, batch, held = rng.permutation(len(labels)), [], 0
-            for i in order:
-                batch.append(i)
-                held += sizes[i]
-                if held >= BATCH_CHUNKS or i == order[-1]:
-                    step += 1
-                    self._step(rows, np.array(batch), first, sizes, labels, weight, moments, step)
-                    batch, held = [], 0
-
-    def _step(self, rows, batch, first, sizes, labels, weight, moments, step) -> None:
+        rng, batches = np.random.default_rng(seed), []
+        while epochs > 0 or len(batches) < steps:
+            epochs -= 1
+            order = rng.permutation(len(labels))
+            # A batch ends with the text that fills it.
+            full = np.cumsum(sizes[order]) // BATCH_CHUNKS
+            batches.extend(np.split(order, np.flatnonzero(full[1:] > full[:-1]) + 1))
+        moments = {}
+        for step, batch in enumerate(batches, 1):
+            rate = LAST_RATE + (RATE - LAST_RATE) * (1 + np.cos(np.pi * step / len(batches))) / 2
+            for name, d in self.gradients(rows, batch, first, sizes, labels, weight).items():
+                m, v = moments.get(name, (0, 0))
+                m, v = 0.9 * m + 0.1 * d, 0.999 * v + 0.001 * d * d
+                moments[name] = m, v
+                move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+                setattr(self, name, (getattr(self, name) - move).astype(np.float32))
+
+    def gradients(self, rows, batch, first, sizes, labels, weight) -> dict[str, np.ndarray]:
+        """Gradient of the mean weighted log loss of the texts ``batch`` by each parameter."""
         each = sizes[batch]
         at = np.repeat(first[batch] - (np.cumsum(each) - each), each) + np.arange(each.sum())
         chunk, starts = rows[at], np.cumsum(each) - each
@@ -119,12 +128,7 @@ class Network:
         d_filters = np.einsum("nf,nfw->wf", d_pooled, window)
         d_window = (d_pooled[:, :, None] * self.filters.T[None]).reshape(-1, EMBED)
         d_embed = np.stack([np.bincount(codes.ravel(), d_window[:, e], 257) for e in range(EMBED)], axis=1)
-        for name, d in (("out", d_out), ("filters", d_filters), ("bias", d_pooled.sum(0)), ("embed", d_embed)):
-            m, v = moments.get(name, (0, 0))
-            m, v = 0.9 * m + 0.1 * d, 0.999 * v + 0.001 * d * d
-            moments[name] = m, v
-            move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-            setattr(self, name, (getattr(self, name) - move).astype(np.float32))
+        return {"out": d_out, "filters": d_filters, "bias": d_pooled.sum(0), "embed": d_embed}
 
 
 def held_out(doc_id: Column) -> Column:

@@ -224,6 +224,52 @@ def test_network_on_held_out_rows(spark):
     assert (good[:, None] > bad[None, :]).mean() > 0.95 and (good >= 0.7).mean() > 0.95
 
 
+def test_network_from_any_start(spark):
+    docs, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
+    marked = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), byte_cnn.held_out(F.col("doc_id")).alias("held")).join(labels, "doc_id").orderBy("doc_id").toPandas()
+    fitted, held = marked[~marked.held & (marked.text.str.len() < byte_cnn.FIT_BYTES // 4)], marked[marked.held]
+    rows, text = byte_cnn.chunks_of(pa.array(held.text, pa.string()))
+    for seed in range(1, 6):
+        network = byte_cnn.Network(seed)
+        network.fit(pa.array(fitted.text, pa.string()), fitted.quality.to_numpy())
+        scores, is_good = network.scores(rows, text, len(held)), held.quality.to_numpy() == 1
+        good, bad = scores[is_good], scores[~is_good]
+        # Two of the nineteen bad rows may pass.
+        assert (good[:, None] > bad[None, :]).mean() > 0.98 and (good >= 0.7).mean() > 0.95 and (bad >= 0.7).sum() <= 2
+
+
+def test_network_by_hand():
+    texts = ["", "ab", "A longer text of words, é.", "xyz " * 150]
+    rows, text = byte_cnn.chunks_of(pa.array(texts))
+    network, rng = byte_cnn.Network(5), np.random.default_rng(6)
+    network.bias, network.out = rng.normal(0, 0.3, byte_cnn.FILTERS), rng.normal(0, 1, byte_cnn.FILTERS + 1)
+    network.embed, network.filters = network.embed.astype(float), network.filters.astype(float)
+
+    def forward(t):
+        data, step = [b + 1 for b in t.encode()], byte_cnn.CHUNK - byte_cnn.OVERLAP
+        pooled = []
+        for low in range(0, max(1, len(data) - byte_cnn.OVERLAP), step):
+            chunk = (data[low : low + byte_cnn.CHUNK] + [0] * byte_cnn.CHUNK)[: byte_cnn.CHUNK]
+            windows = [np.concatenate([network.embed[b] for b in chunk[i : i + byte_cnn.WIDTH]]) for i in range(0, byte_cnn.CHUNK - byte_cnn.WIDTH + 1, byte_cnn.STRIDE)]
+            pooled.append([max(0.0, max(float(w @ network.filters[:, f]) for w in windows) + network.bias[f]) for f in range(byte_cnn.FILTERS)])
+        return 1 / (1 + np.exp(-(np.mean(pooled, axis=0) @ network.out[:-1] + network.out[-1])))
+
+    assert np.allclose(network.scores(rows, text, len(texts)), [forward(t) for t in texts])
+
+    labels, weight, sizes = np.array([0, 1, 1, 0]), np.array([1.0, 0.5, 2.0, 1.5]), np.bincount(text)
+    loss = lambda: float(np.mean(-weight * np.log(np.where(labels == 1, network.scores(rows, text, 4), 1 - network.scores(rows, text, 4)))))
+    got = network.gradients(rows, np.arange(4), np.cumsum(sizes) - sizes, sizes, labels, weight)
+    for name, d in got.items():
+        values = getattr(network, name)
+        for at in sorted(np.ndindex(values.shape), key=lambda i: -abs(d[i]))[:6]:
+            was, out = values[at], []
+            for move in (1e-5, -1e-5):
+                values[at] = was + move
+                out.append(loss())
+            values[at] = was
+            assert abs((out[0] - out[1]) / 2e-5 - d[at]) < 1e-4 + 1e-3 * abs(d[at])
+
+
 def test_chunks_cover_every_byte():
     texts = ["", "a", "b" * 256, "c" * 257, "é" * 1000]
     chunks, text = byte_cnn.chunks_of(pa.array(texts))
