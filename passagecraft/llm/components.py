@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from passagecraft.functions.sizing import match
 from passagecraft.llm.tables import stage
 
 
@@ -13,7 +14,8 @@ def components(links: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes: each node hands its smallest neighbour to
     its larger neighbours, then to its smaller ones. The number of rounds grows with the
     logarithm of the longest path. Each round is a table in the shared folder. Links from
-    a node to itself only name the node; links with a null end are left out.
+    a node to itself only name the node; links with a null end are left out. The links of
+    a node that very many others link to are spread over several tasks.
     """
     links = links.filter("a is not null and b is not null")
     nodes = stage(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "nodes")
@@ -22,10 +24,10 @@ def components(links: DataFrame) -> DataFrame:
     while state[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        edges = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        edges = match(both, least, ["u"], ["v"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         edges = stage(edges, "large-star")
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        near = edges.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        near = match(edges, least, ["u"], ["v"]).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(near.union(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
         if (now := _state(edges)) == state:
             break

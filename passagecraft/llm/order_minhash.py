@@ -11,6 +11,7 @@ compared and pairs that share a sketch are verified.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,15 +19,18 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from passagecraft.functions.sizing import broadcast_if
+from passagecraft.functions.sizing import broadcast_if, match
 from passagecraft.llm.components import components
 from passagecraft.llm.tables import stage
 from passagecraft.llm.words import coded_words, mixed, odd_factors, slices, window_hashes, window_starts, word_hashes
 
 WORDS, SIMILARITY = 5, 0.8
-# Sketches per text and k-mers per sketch. A pair of similarity s shares one sketch with
-# probability s ** 5, and at 0.8 none of 24 with probability 7e-5.
+# Sketches per text and k-mers per sketch. A pair of long texts of similarity s shares one
+# sketch with probability s ** 5, and at 0.8 none of 24 with probability 7e-5.
 SKETCHES, LEAST = 24, 5
+# For short texts sketches take fewer k-mers: (k-mers per sketch, fewest and most k-mers of a
+# text). The ranges overlap so that two texts at 0.8 or more always have a kind in common.
+KINDS = ((1, 1, 12), (2, 10, 25), (LEAST, 20, None))
 # Texts and words in a block of a family; larger families are compared block by block.
 BLOCK_TEXTS, BLOCK_WORDS = 500, 1_000_000
 
@@ -58,18 +62,29 @@ def labelled_kmers(texts: pa.Array, size: int = WORDS) -> tuple[np.ndarray, np.n
     return counts, n, mixed(kmer + before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def sketches(kmers: np.ndarray, n: int = SKETCHES, least: int = LEAST) -> np.ndarray:
-    """The sketches of one text, each hashed to one number."""
-    seeds, factors = odd_factors(n, 11), odd_factors(max(least, 1), 13)
-    if not len(kmers):
-        return np.arange(n, dtype=np.int64)
+def sketches(kmers: np.ndarray, n: int = SKETCHES) -> np.ndarray:
+    """The sketches of one text of each of the ``KINDS`` that its length asks for, each hashed to one number."""
+    found = [_one_kind(kmers, n, least) for _, least in _kinds(len(kmers))]
+    return np.concatenate(found) if found else np.arange(n, dtype=np.int64)
+
+
+def _kinds(n: int) -> list[tuple[int, int]]:
+    """Place (0 or 1) and k-mers of each kind of sketch of a text of ``n`` k-mers, by place.
+
+    Kinds take turns in the places; the first and the third never meet in a text.
+    """
+    return sorted((k % 2, least) for k, (least, low, high) in enumerate(KINDS) if low <= n <= (high or n))
+
+
+def _one_kind(kmers: np.ndarray, n: int, least: int) -> np.ndarray:
+    seeds, factors = odd_factors(n, 11), odd_factors(LEAST, 13)
     value = (kmers[None, :] ^ seeds[:, None]) * np.uint64(0x9FB21C651E98DF25)
     value ^= value >> np.uint64(28)
     value *= np.uint64(0xD6E8FEB86659FD93)
     take = min(least, len(kmers))
     place = np.argpartition(value, take - 1, axis=1)[:, :take] if take < len(kmers) else np.tile(np.arange(take), (n, 1))
     chosen = kmers[np.sort(place, axis=1)]
-    return mixed((chosen * factors[:take]).sum(1, dtype=np.uint64) + seeds).view(np.int64)
+    return mixed((chosen * factors[:take]).sum(1, dtype=np.uint64) + seeds + np.uint64(least)).view(np.int64)
 
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
@@ -77,13 +92,14 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 
     The longest common subsequence over (len(a) + len(b) - it). Pairs that similar have few
     k-mers without a partner, so only matches within that many places of the diagonal can
-    count; the rows of the matching are kept as bits of one integer.
+    count. Of the band only the cells that match are visited, row by row: the alignment is
+    the longest run of them that rises in both texts. As k-mers are labelled, a row has one
+    match at most, and the work grows with the length, not with its square.
     """
     total = len(a) + len(b)
     band = int(total * (1 - similarity) / (1 + similarity)) + 1
     if abs(len(a) - len(b)) > band:
         return False
-    low = 0
     top = min(len(a), len(b))
     differ = np.flatnonzero(a[:top] != b[:top])
     low = int(differ[0]) if len(differ) else top
@@ -92,31 +108,36 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     differ = np.flatnonzero(a[::-1][:top] != b[::-1][:top]) if top else differ[:0]
     high = int(differ[0]) if len(differ) else top
     a, b = a[: len(a) - high], b[: len(b) - high]
-    same = low + high
-    if len(a) and len(b):
-        where: dict[int, int] = {}
-        for j, x in enumerate(b.tolist()):
-            where[x] = where.get(x, 0) | 1 << j
-        full = (1 << len(b)) - 1
-        window = (1 << (2 * band + 1)) - 1
-        row = full
-        for i, x in enumerate(a.tolist()):
-            hit = where.get(x)
-            if hit:
-                hit &= window << (i - band) if i >= band else window >> (band - i)
-                both = row & hit
-                row = ((row + both) | (row - both)) & full
-        same += len(b) - row.bit_count()
+    same = low + high + (_longest_rise(a, b, band) if len(a) and len(b) else 0)
     return same >= similarity * (total - same)
 
 
+def _longest_rise(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """Most matches, within ``band`` places of the diagonal, that rise in both sequences."""
+    order = np.argsort(b, kind="stable")
+    first, end = (np.searchsorted(b[order], a, side) for side in ("left", "right"))
+    n = end - first
+    row = np.repeat(np.arange(len(a)), n)
+    column = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
+    near = np.abs(row - column) <= band
+    row, column = row[near], column[near]
+    # From right to left within a row, so that no two matches of a row follow each other.
+    column = column[np.lexsort((-column, row))]
+    lowest: list[int] = []
+    for j in column.tolist():
+        at = bisect_left(lowest, j)
+        lowest[at : at + 1] = [j]
+    return len(lowest)
+
+
 def _sketched(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         counts, n, kmers = labelled_kmers(batch["text"], size)
         ends = np.cumsum(n)
         rows = [sketches(kmers[a:b]) for a, b in zip((ends - n).tolist(), ends.tolist())]
         flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        bands = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * SKETCHES), pa.array(flat))
+        edges = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+        bands = pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], batch["h1"], batch["h2"], pa.array(counts), bands], ["doc_id", "h1", "h2", "n_words", "bands"])
 
@@ -133,7 +154,11 @@ def _compare(rows: list[dict], texts: pa.Array, lo: int, hi: int, size: int, sim
     _, codes = np.unique(kmers, return_inverse=True)
     ends = np.cumsum(n)
     parts = [codes[a:b] for a, b in zip(ends - n, ends)]
-    bands = np.array([r["bands"] for r in rows], np.int64)
+    # A kind has the same place in every row; a place without one holds a number of its own.
+    bands = np.repeat(np.arange(len(rows))[:, None], 2 * SKETCHES, axis=1)
+    for i, r in enumerate(rows):
+        places = [place for place, _ in _kinds(int(n[i]))]
+        bands[i, SKETCHES * places[0] : SKETCHES * (places[-1] + 1)] = r["bands"]
     block = np.array([r["block"] for r in rows])
     right = np.flatnonzero(block == hi)
     owner, out = list(range(len(rows))), []
@@ -210,8 +235,10 @@ def classes(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY)
     placed = member.join(sizes, "family").select("h1", "h2", "doc_id", "bands", "family", block.alias("block"), "blocks")
     placed = stage(placed, "members")
     # One row with the text for each block that its own is compared with.
-    first = F.col("doc_id").eqNullSafe(F.col("of"))
-    held = named.join(broadcast_if(placed.withColumnRenamed("doc_id", "of")), ["h1", "h2"]).filter(first).drop("of", "doc_id")
+    # Of the copies of a text only the first is joined, so that they don't meet in one task.
+    of = placed.withColumnsRenamed({"doc_id": "of", "h1": "of1", "h2": "of2"})
+    first = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("h1") == F.col("of1")) & (F.col("h2") == F.col("of2"))
+    held = named.join(broadcast_if(of), first).drop("of", "of1", "of2", "doc_id")
     paired = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "family", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "h1", "h2", "bands", "text")
     keys = ["family", "lo", "hi"]
@@ -225,7 +252,7 @@ def classes(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY)
     near = stage(roots.join(ids, "root").select("h1", "h2", "root", "class_id"), "near-classes")
     alone = texts.join(near, ["h1", "h2"], "left_anti").select("h1", "h2", F.struct("h1", "h2").alias("root"), F.col("doc_id").alias("class_id"))
     every = stage(near.union(alone), "text-classes")
-    return sketched.select("doc_id", "h1", "h2").join(broadcast_if(every), ["h1", "h2"])
+    return match(sketched.select("doc_id", "h1", "h2"), every, ["h1", "h2"], ["doc_id"])
 
 
 def keep_one(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:

@@ -325,6 +325,50 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
         assert dict(rows(order_minhash.classes(_docs(spark, texts)), "doc_id", "class_id")) == want
 
 
+def test_short_texts_equal_brute_force(spark):
+    rng = random.Random(5)
+    texts = []
+    for size in range(5, 31):
+        for _ in range(20):
+            base = [f"w{rng.randint(0, 10**6)}" for _ in range(size)]
+            # One to four words more, at either end: all but the last have 0.8 for some sizes.
+            more = [f"w{rng.randint(0, 10**6)}" for _ in range(rng.randint(1, 4))]
+            texts += [" ".join(base), " ".join(base + more if rng.random() < 0.5 else more + base)]
+    classes = dict(rows(order_minhash.classes(_docs(spark, texts)), "doc_id", "class_id"))
+    found = wanted = 0
+    for i in range(0, len(texts), 2):
+        a, b = (len(t.split()) - 4 for t in texts[i : i + 2])
+        near = a >= 0.8 * b
+        assert near or classes[i + 1] != i
+        found, wanted = found + (near and classes[i + 1] == i), wanted + near
+    assert wanted > 150 and found >= 0.99 * wanted
+
+
+def test_alignment_within_the_band():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        a = rng.permutation(60)[: rng.integers(1, 60)]
+        b = np.delete(a, rng.integers(0, len(a), rng.integers(0, 6)))
+        b = np.insert(b, rng.integers(0, len(b) + 1), rng.integers(60, 99, rng.integers(0, 5)))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(new[-1], row[j + 1]))
+            row = new
+        assert order_minhash.aligned(a, b, 0.8) == (row[-1] >= 0.8 * (len(a) + len(b) - row[-1]))
+    long = rng.permutation(2_000_000)
+    assert order_minhash.aligned(long, np.roll(long, 3), 0.8) and not order_minhash.aligned(long, long[::-1], 0.8)
+
+
+def test_crowds_are_split(spark, monkeypatch, no_broadcast):
+    monkeypatch.setattr("passagecraft.functions.sizing.HOT_KEY_ROWS", 20)
+    links = spark.range(1, 500).selectExpr("0L as a", "id as b")
+    assert {r.root for r in components.components(links).collect()} == {0}
+    got = order_minhash.classes(_docs(spark, ["same words " * 9] * 300 + [""] * 200))
+    assert sorted(r.class_id for r in got.collect()) == [0] * 300 + [300] * 200
+
+
 def test_pairs_of_the_table_are_found(spark):
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
     classes = dict(rows(order_minhash.classes(docs), "doc_id", "class_id"))
