@@ -30,12 +30,10 @@ SCORE_STEPS = 4096
 # Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-MORE = ["n_lines", "n_distinct_words", "n_upper", "n_lower", "n_marks"]
-# What ordinary texts stay within. A rule's statistic is how far a text goes beyond.
-LIMITS = {
-    "symbols_per_word": 0.1, "dup_line_share": 0.35, "repeated_share": 0.25, "upper_share": 0.3,
-    "marks_per_word": 0.1, "long_words": 8.0, "short_words": 3.0, "few_words": 0.25,
-}
+MORE = ["n_distinct_words", "n_upper", "n_lower"]
+# What the forest sees. Repeated lines and windows are left to the base rules: ordinary texts
+# with a few of them stand apart as well. So do short texts by their share of capitals.
+RATES = ["symbols_per_char", "word_length", "distinct_power", "letter_share", "lower_share"]
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -48,7 +46,7 @@ def _table(characters: str) -> np.ndarray:
 
 _TABLES = {
     "n_symbols": _table(SYMBOLS), "n_upper": _table("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-    "n_lower": _table("abcdefghijklmnopqrstuvwxyz"), "n_marks": _table("!?;:{}[]=_~^"),
+    "n_lower": _table("abcdefghijklmnopqrstuvwxyz"),
 }
 
 
@@ -90,8 +88,7 @@ def text_counts(texts: pa.Array) -> dict[str, np.ndarray]:
     owner = np.repeat(np.arange(n), each)[full]
     code = line.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)[full]
     pairs = np.unique(owner * (len(line) + 1) + code)
-    out["n_lines"] = np.bincount(owner, minlength=n)
-    out["n_dup_lines"] = out["n_lines"] - np.bincount(pairs // (len(line) + 1), minlength=n)
+    out["n_dup_lines"] = np.bincount(owner, minlength=n) - np.bincount(pairs // (len(line) + 1), minlength=n)
 
     distinct = np.unique(text * (len(words) + 1) + codes)
     out["n_distinct_words"] = np.bincount(distinct // (len(words) + 1), minlength=n)
@@ -122,29 +119,25 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
 
 
 def features(columns: dict[str, np.ndarray]) -> np.ndarray:
-    """Excess over ``LIMITS`` from counts: one row per document, one column per rule."""
+    """``RATES`` from counts: one row per document, one column per rate, none of them cut off."""
     c = {k: v.astype(np.float64) for k, v in columns.items()}
-    words, lines = np.maximum(c["n_words"], 1), np.maximum(c["n_lines"], 1)
-    letters = np.maximum(c["n_upper"] + c["n_lower"], 1)
-    length = c["word_chars"] / words
-    # Distinct words against those of an ordinary text as long, which grow with its root.
-    few = 1 - np.minimum(1, c["n_distinct_words"] / np.minimum(words, 8 * np.sqrt(words)))
-    rate = {
-        "symbols_per_word": np.minimum(c["n_symbols"] / words, 3), "dup_line_share": c["n_dup_lines"] / lines,
-        "repeated_share": c["n_repeat_words"] / words, "upper_share": c["n_upper"] / letters,
-        "marks_per_word": np.minimum(c["n_marks"] / words, 3), "long_words": np.minimum(length, 30),
-        "short_words": length, "few_words": few,
-    }
-    over = {k: np.maximum(0, x - LIMITS[k]) for k, x in rate.items()}
-    over["short_words"] = np.maximum(0, LIMITS["short_words"] - length)
-    return np.stack(list(over.values()), axis=1)
+    words, chars = np.maximum(c["n_words"], 1), np.maximum(c["word_chars"], 1)
+    # Distinct words grow as a power of all words; this is the power less one.
+    power = np.log(np.maximum(c["n_distinct_words"], 1) / words) / np.log(np.maximum(words, 2))
+    return np.stack([c["n_symbols"] / chars, c["word_chars"] / words, power, (c["n_upper"] + c["n_lower"]) / chars, c["n_lower"] / chars], axis=1)
 
 
 class Forest:
-    """Isolation trees as arrays: per node a feature, a value, two children and the path length so far."""
+    """Isolation trees as arrays: per node a feature, a value, two children and the path length so far.
+
+    Splits are drawn on the squared distance from each feature's median, with its sign: so
+    they fall where values are rare more often than where they crowd.
+    """
 
     def __init__(self, rows: np.ndarray, trees: int = TREES, sample: int = SAMPLE_PER_TREE, seed: int = 5):
         rng = np.random.default_rng(seed)
+        self.middle = np.median(rows, axis=0) if len(rows) else np.zeros(rows.shape[1])
+        rows = self._stretched(rows)
         self.feature, self.value, self.child, self.path = [], [], [], []
         self.usual = _average_path(min(sample, max(len(rows), 1)))
         depth = int(np.ceil(np.log2(max(2, sample))))
@@ -153,6 +146,10 @@ class Forest:
         self.feature, self.value = np.array(self.feature, int), np.array(self.value)
         self.child, self.path = np.array(self.child, int).reshape(-1, 2), np.array(self.path)
 
+    def _stretched(self, rows: np.ndarray) -> np.ndarray:
+        away = rows - self.middle
+        return away * np.abs(away)
+
     def _grow(self, rows: np.ndarray, depth: int, limit: int, rng) -> int:
         at = len(self.feature)
         for column, x in ((self.feature, 0), (self.value, np.inf), (self.child, (at, at)), (self.path, depth + _average_path(len(rows)))):
@@ -169,7 +166,7 @@ class Forest:
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         """Near 1 for rows that few splits isolate, 0.5 and below for usual ones."""
-        total = np.zeros(len(rows))
+        rows, total = self._stretched(rows), np.zeros(len(rows))
         each = np.arange(len(rows))
         for root in self.roots:
             node = np.full(len(rows), root)
@@ -202,7 +199,7 @@ def fit_forest(stats: DataFrame, trees: int = TREES, sample: int = SAMPLE_PER_TR
     columns = [*COUNTS, *MORE]
     got = np.array([tuple(r) for r in drawn.select("doc_id", *columns).limit(want).collect()], dtype=object)
     if not len(got):
-        return Forest(np.zeros((0, len(LIMITS))))
+        return Forest(np.zeros((0, len(RATES))))
     got = got[np.lexsort([got[:, k + 1].astype(np.int64) for k in range(len(columns))])]
     return Forest(features({c: got[:, k + 1].astype(np.int64) for k, c in enumerate(columns)}), trees, sample)
 

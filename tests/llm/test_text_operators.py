@@ -1,5 +1,6 @@
 """Operators on texts against brute force on small tables."""
 
+import math
 import random
 import re
 import zlib
@@ -214,6 +215,56 @@ def test_rules_reject_junk_and_keep_the_rest(spark):
     assert share[1] >= 0.99 and share[0] <= 0.05
 
 
+def test_path_lengths_by_hand():
+    """Scores against a walk down each tree, one row at a time, that counts its splits."""
+    rng = np.random.default_rng(3)
+    data = np.concatenate([rng.normal(size=(400, 3)), rng.normal(8, 0.1, size=(4, 3))])
+    forest = quality_rules.Forest(data, trees=20, sample=64)
+    usual = lambda n: 0.0 if n < 2 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+    away = data - np.median(data, axis=0)
+    stretched = np.sign(away) * away**2
+    order = np.random.default_rng(5)
+    depths = np.zeros((20, len(data)))
+    for t in range(20):
+        drawn = stretched[order.permutation(len(data))[:64]]
+        stack = [(forest.roots[t], drawn, np.arange(len(data)), 0)]
+        # Left branches are grown, and draw their splits, before right ones.
+        while stack:
+            node, held, rows_in, depth = stack.pop()
+            varied = [f for f in range(3) if held[:, f].min() < held[:, f].max()]
+            if depth < 6 and len(held) > 1 and varied:
+                f = int(order.choice(varied))
+                value = order.uniform(held[:, f].min(), held[:, f].max())
+                assert (forest.feature[node], forest.value[node]) == (f, value)
+                left, right = forest.child[node]
+                up, above = held[:, f] > value, stretched[rows_in, f] > value
+                stack += [(right, held[up], rows_in[above], depth + 1), (left, held[~up], rows_in[~above], depth + 1)]
+            else:
+                depths[t, rows_in] = depth + usual(len(held))
+    assert np.allclose(forest.score(data), 2 ** (-depths.mean(0) / usual(64)))
+    assert forest.score(data)[400:].min() > np.quantile(forest.score(data)[:400], 0.95)
+
+
+def test_the_verdict_is_not_a_set_of_limits(spark):
+    """No box around each rate tells the same: texts within the range of the kept ones go, for how rates go together."""
+    docs, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality_rules.judge(docs, labels).filter("not base_failed").toPandas()
+    columns = [*quality_rules.COUNTS, *quality_rules.MORE]
+    rates, kept = quality_rules.features({c: judged[c].to_numpy() for c in columns}), judged.kept.to_numpy()
+    assert judged.anomaly.nunique() > 0.9 * len(judged.drop_duplicates("text_key"))
+    # Without any one of the rates the forest still sets most of the rejected texts apart.
+    for f in range(rates.shape[1]):
+        rest = np.delete(rates, f, axis=1)
+        score = quality_rules.Forest(rest).score(rest)
+        assert (score[~kept][:, None] > score[kept][None, :]).mean() > 0.9, quality_rules.RATES[f]
+    # A single limit on one rate, wherever it is put, errs on some texts.
+    for f in range(rates.shape[1]):
+        for x in (rates[:, f], -rates[:, f]):
+            order = np.argsort(x)
+            wrong = np.cumsum(~kept[order]) + kept.sum() - np.cumsum(kept[order])
+            assert wrong.min() > 0
+
+
 def test_network_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
     network = byte_cnn.train(docs, labels)
