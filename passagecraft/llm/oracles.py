@@ -59,10 +59,10 @@ from documents left join counts using (doc_id) left join kept using (doc_id)
 
 
 def _rule(column: str) -> str:
-    """The longest rule that fits; ``column`` is what to give of it."""
+    """The longest rule that fits; ``column`` is what to give of it: the rule, its verdict, or the path ('whole')."""
     cases = sorted(url_graph.RULES, key=lambda r: -len(r[1] + r[2]))
     return "case " + " ".join(
-        f"when (host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '{path}') then '{verdict if column == 'verdict' else host + path}'"
+        f"when (host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '{path}') then '{dict(verdict=verdict, rule=host + path, whole=path)[column]}'"
         for verdict, host, path in cases) + " end"
 
 
@@ -75,9 +75,9 @@ def _url_filter() -> str:
     rest = "case when strpos(url, '://') > 0 then substring(url, strpos(url, '://') + 3) else '' end"
     damping, out = url_graph.DAMPING, [f"""
 with p as (select page_id, html, {_host('url')} as host, coalesce(regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1), '') as path from pages),
-found as (select page_id, host, path, {_rule('rule')} as rule, {_rule('verdict')} as verdict from p),
-seeds as (select host, bool_or(verdict = 'allow') as a, bool_or(verdict = 'block') as b from found where host != '' group by host),
-marked as (select host, coalesce(a, false) and not coalesce(b, false) as t, coalesce(b, false) and not coalesce(a, false) as u from seeds),
+found as (select page_id, host, path, {_rule('rule')} as rule, {_rule('verdict')} as verdict, {_rule('whole')} as part from p),
+seeds as (select host, bool_or(verdict = 'allow') as a, bool_or(verdict = 'block') as b, bool_or(verdict = 'block' and part = '/') as w from found where host != '' group by host),
+marked as (select host, coalesce(a, false) and not coalesce(b, false) as t, coalesce(w, false) and not coalesce(a, false) as u from seeds),
 r0 as (select host, case when t then 1.0::double / (select count(*) from marked where t) else 0 end as trust,
   case when u then 1.0::double / (select count(*) from marked where u) else 0 end as distrust from marked where t or u),
 targets as (select host as src, unnest(regexp_extract_all(html, {_quoted(url_graph.LINK)}, 1)) as target from p),

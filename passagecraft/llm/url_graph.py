@@ -3,13 +3,16 @@
 Hosts that rules allow are trusted seeds, hosts that rules block are distrusted ones.
 Trust flows along links (who a trusted host links to), distrust flows against them (who
 links to a blocked host), both as personalised PageRank. A host that ends with more
-distrust than trust is blocked.
+distrust than trust is blocked. A rule that blocks a part of a host blocks the pages in that
+part, and says nothing against the host itself.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from passagecraft.functions import sizing
+from passagecraft.functions.sizing import fits_broadcast, split_join
 from passagecraft.llm.tables import stage
 
 
@@ -43,16 +46,17 @@ def path_of(url: Column) -> Column:
 
 
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
-    """The longest rule that fits as ``struct<rule, verdict>``, or null.
+    """The longest rule that fits as ``struct<rule, verdict, whole>``, or null; ``whole`` if its path is all of the host.
 
     A rule fits its host and all subdomains if the path starts with the rule's. Of two
     rules that read alike the first given counts. The rules are a short list: each is one
     condition of the plan.
     """
-    found = F.lit(None).cast("struct<rule: string, verdict: string>")
+    found = F.lit(None).cast("struct<rule: string, verdict: string, whole: boolean>")
     for verdict, of, path_start in sorted(reversed(rules), key=lambda r: len(r[1] + r[2])):
         fits = ((host == of) | F.endswith(host, F.lit("." + of))) & F.startswith(path, F.lit(path_start))
-        found = F.when(fits, F.struct(F.lit(of + path_start).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(found)
+        found = F.when(fits, F.struct(
+            F.lit(of + path_start).alias("rule"), F.lit(verdict).alias("verdict"), F.lit(path_start in ("", "/")).alias("whole"))).otherwise(found)
     return found
 
 
@@ -81,13 +85,20 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
     out_degree = links.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
     in_degree = links.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
     none = F.lit(0.0)
-    ways = stage(
+    ways = (
         links.join(out_degree, "src").select(F.col("src").alias("host"), F.col("dst").alias("to"), (1 / F.col("n")).alias("w_trust"), none.alias("w_distrust"))
-        .union(links.join(in_degree, "dst").select("dst", "src", none, 1 / F.col("n"))), "ways")
+        .union(links.join(in_degree, "dst").select("dst", "src", none, 1 / F.col("n"))))
+    # A host with very many links is spread over several tasks; few hosts can be that large.
+    most = max(sizing.HOT_KEY_ROWS, -(-2 * links.count() // sizing.HOT_KEY_LIMIT))
+    sizes = ways.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
+    hot = stage(sizes.filter("parts > 1"), "large-hosts")
+    part = F.pmod(F.xxhash64("to"), F.coalesce("parts", F.lit(1))).cast("int")
+    ways = stage(ways.join(F.broadcast(hot), "host", "left").withColumn("part", part).drop("parts"), "ways")
+    hot = None if hot.isEmpty() else hot
     rank, k, settled = start, 0, False
     while not settled:
         before = rank
-        moved = rank.join(ways, "host").select(
+        moved = ways.join(_in_parts(rank, hot), ["host", "part"]).select(
             F.col("to").alias("host"), (damping * F.col("trust") * F.col("w_trust")).alias("trust"),
             (damping * F.col("distrust") * F.col("w_distrust")).alias("distrust"))
         again = start.select("host", ((1 - damping) * F.col("trust")).alias("trust"), ((1 - damping) * F.col("distrust")).alias("distrust"))
@@ -101,6 +112,14 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
     return rank
 
 
+def _in_parts(rank: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """``rank`` with a row for each part that the links of a host are spread over."""
+    if hot is None:
+        return rank.withColumn("part", F.lit(0))
+    parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+    return rank.join(F.broadcast(hot), "host", "left").withColumn("part", F.explode(parts)).drop("parts")
+
+
 def _settled(before: DataFrame, after: DataFrame, tolerance: float) -> bool:
     """Whether no host gained its first trust or distrust and none changed by more than ``tolerance`` of its value."""
     old = before.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
@@ -112,15 +131,16 @@ def judge_hosts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, rat
     """``host, trust, distrust, verdict`` for hosts that trust or distrust has reached.
 
     A host is a trusted seed if rules allow pages of it and block none, a blocked one if
-    they block some and allow none. A host is blocked if its distrust is more than
-    ``ratio`` times its trust.
+    rules without a path block some and no rule allows any. A host is blocked if its
+    distrust is more than ``ratio`` times its trust.
     """
     urls = pages.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    verdict = rule_of(F.col("host"), F.col("path"), rules)["verdict"]
+    found = rule_of(F.col("host"), F.col("path"), rules).alias("r")
+    some = lambda condition: F.coalesce(F.max(F.expr(condition)), F.lit(False))
     seeds = (
-        urls.filter("host != ''").select("host", verdict.alias("v")).groupBy("host")
-        .agg(F.coalesce(F.max(F.col("v") == "allow"), F.lit(False)).alias("a"), F.coalesce(F.max(F.col("v") == "block"), F.lit(False)).alias("b"))
-        .select("host", F.expr("a and not b").alias("trusted"), F.expr("b and not a").alias("blocked"))
+        urls.filter("host != ''").select("host", found).groupBy("host")
+        .agg(some("r.verdict = 'allow'").alias("a"), some("r.verdict = 'block'").alias("b"), some("r.verdict = 'block' and r.whole").alias("all_of_it"))
+        .select("host", F.expr("a and not b").alias("trusted"), F.expr("all_of_it and not a").alias("blocked"))
     )
     ranked = propagate(stage(seeds, "hosts"), stage(host_links(pages), "host-links"))
     blocked = F.col("distrust") > ratio * F.col("trust")
@@ -134,8 +154,14 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, rat
     an empty host and path and is allowed. Repeated rows get a row each; a null html has
     no links. Other columns are not looked at.
     """
-    hosts = judge_hosts(pages, rules, ratio).select("host", F.col("verdict").alias("by_host"))
+    hosts = stage(judge_hosts(pages, rules, ratio).select("host", F.col("verdict").alias("by_host")), "judged-hosts")
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rows = rows.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
-    return rows.join(hosts, "host", "left").select(
+    blocked = hosts.filter("by_host = 'block'")
+    if fits_broadcast(blocked):
+        judged = rows.join(F.broadcast(blocked), "host", "left")
+    else:
+        # Each host has a row, so that the join can spread the pages of a large one.
+        judged = split_join(rows, rows.select("host").distinct().join(blocked, "host", "left"), ["host"], ["page_id"])
+    return judged.select(
         "page_id", "host", "path", F.col("found.rule").alias("rule"), F.coalesce("found.verdict", "by_host", F.lit("allow")).alias("verdict"))

@@ -54,6 +54,17 @@ def test_url_filter_with_links(spark, tmp_path):
         (9, "a.example.net", "/en/", "example.net/en/"), (10, "a.example.net", "", None), (11, "y:", "//z.net/", None)]
 
 
+def test_a_rule_on_a_part_leaves_the_rest(spark, no_broadcast, monkeypatch):
+    """Pages outside a blocked path are judged by links; hosts with many links or pages are spread."""
+    monkeypatch.setattr("passagecraft.functions.sizing.HOT_KEY_ROWS", 5)
+    links = "".join(f'<a href="http://t{i}.org/">x</a>' for i in range(40)) + '<a href="http://bad.net/">x</a>'
+    pages = [("http://example.com/de/1", ""), ("http://example.com/en/1", ""), ("http://friend.org/", '<a href="http://example.com/">x</a>')]
+    pages += [(f"http://hub.com/{i}", links if i == 0 else "") for i in range(30)] + [("http://bad.net/", "")]
+    table = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    got = rows(url_graph.filter_urls(table), "page_id", "verdict")
+    assert got == [(0, "block"), (1, "allow"), (2, "allow"), *((i, "block") for i in range(3, 34))]
+
+
 def test_trust_reaches_the_end_of_a_chain(spark):
     """Distrust goes 30 links back and settles, also where a circle keeps it moving."""
     n, d = 30, url_graph.DAMPING
