@@ -3,26 +3,37 @@
 from __future__ import annotations
 
 from functools import reduce
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from passagecraft.functions.kernel import Best, add_vectors, matrix, unit
+from passagecraft.functions.runs import counted, owners
 from passagecraft.functions.sizing import blocks, measured_bytes, query_block_bytes, stage, top_k
-from passagecraft.functions.text import hash28, tokens, unnest, with_runs
+from passagecraft.functions.text import hash28, tokens, unnest
 
 
 def bucket_counts(texts: DataFrame, keys: list[str], text: str, dim: int, unit: str = "word") -> DataFrame:
     """Feature hashing: how many tokens of each text fall in each of ``dim`` buckets."""
     cut = texts.select(*keys, tokens(text, unit).alias("_tokens"))
-    hashed = cut.select(
-        *keys, F.transform("_tokens", lambda t: F.pmod(hash28(t), F.lit(dim)).cast("int")).alias("_buckets")
-    )
-    return with_runs(hashed, "_buckets", "_runs").select(*keys, "_runs")
+    buckets = pa.array(np.arange(dim, dtype=np.int32))
+
+    def hashed(batches):
+        for batch in batches:
+            words = batch["_tokens"].flatten().dictionary_encode()
+            # As :func:`hash28`, of every distinct word of a batch.
+            held = [int(md5(w).hexdigest()[:7], 16) % dim for w in words.dictionary.cast(pa.binary()).to_pylist()]
+            code = np.array(held, np.int64)[words.indices.to_numpy()]
+            out = counted(owners(batch["_tokens"]), code, batch.num_rows, buckets)
+            yield pa.RecordBatch.from_arrays([*[batch[key] for key in keys], out], names=[*keys, "_runs"])
+
+    run = T.DataType.fromDDL("array<struct<item: int, n: int>>")
+    return cut.mapInArrow(hashed, T.StructType([*[cut.schema[key] for key in keys], T.StructField("_runs", run)]))
 
 
 def bucket_idf(counts: DataFrame, dim: int) -> DataFrame:
@@ -37,19 +48,23 @@ def bucket_idf(counts: DataFrame, dim: int) -> DataFrame:
     return pairs.withColumn("n", n).select(weights.alias("idf"))
 
 
-def weigh(counts: DataFrame, idf: DataFrame, keys: list[str]) -> DataFrame:
-    """Unit-length vectors as a struct of bucket indices and weights."""
-    raw = counts.withColumn("_idf", idf.scalar()).select(
-        *keys,
-        F.col("_runs.item").alias("indices"),
-        F.transform("_runs", lambda r: r["n"] * F.get(F.col("_idf"), r["item"])).alias("_raw"),
-    )
-    norm = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda a, x: a + x * x))
-    normed = raw.withColumn("_norm", norm)
-    return normed.select(
-        *keys,
-        F.struct("indices", F.transform("_raw", lambda x: x / F.col("_norm")).alias("weights")).alias("vector"),
-    )
+def weigh(counts: DataFrame, idf: DataFrame | np.ndarray, keys: list[str]) -> DataFrame:
+    """Unit-length vectors as a struct of bucket indices and weights; the driver reads the ``dim`` weights of buckets."""
+    known = np.array(idf.first()[0]) if isinstance(idf, DataFrame) else idf
+
+    def weighed(batches):
+        for batch in batches:
+            runs = batch["_runs"].flatten()
+            row = owners(batch["_runs"])
+            raw = runs.field("n").to_numpy() * known[runs.field("item").to_numpy()]
+            norm = np.sqrt(np.bincount(row, raw * raw, batch.num_rows))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))])
+            offsets = pa.array(ends.astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, values) for values in (runs.field("item"), pa.array(raw / norm[row]))]
+            yield pa.RecordBatch.from_arrays([*[batch[key] for key in keys], pa.StructArray.from_arrays(lists, names=["indices", "weights"])], names=[*keys, "vector"])
+
+    vector = T.DataType.fromDDL("struct<indices: array<int>, weights: array<double>>")
+    return counts.select(*keys, "_runs").mapInArrow(weighed, T.StructType([*[counts.schema[key] for key in keys], T.StructField("vector", vector)]))
 
 
 def hash_embed(
@@ -65,7 +80,7 @@ def hash_embed(
     is ``dim`` numbers however large the vocabulary is; passages are not shuffled.
     """
     counts = stage(bucket_counts(chunks, list(keys), "chunk", dim, unit), "buckets")
-    idf = bucket_idf(counts, dim)
+    idf = np.array(bucket_idf(counts, dim).first()[0])
     asked = None
     if queries is not None:
         asked = weigh(bucket_counts(queries, ["query_id"], "question", dim, unit), idf, ["query_id"])

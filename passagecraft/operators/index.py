@@ -45,8 +45,7 @@ def build_index(
     are partly summed before terms are shuffled.
     """
     cut = chunks.select(*by, *PASSAGE, *keep, tokens("chunk", unit).alias("_tokens"))
-    runs = with_runs(cut, "_tokens", "runs")
-    passages = stage(runs.select(*by, *PASSAGE, *keep, F.size("_tokens").alias("n_words"), "runs"), "index")
+    passages = stage(with_runs(cut, "_tokens", "runs", "n_words"), "index")
     return _counted(passages, by, unit, keep)
 
 

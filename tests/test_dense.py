@@ -1,9 +1,12 @@
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
+from passagecraft.operators import dense
 from passagecraft.operators.dense import hash_embed, ivf_topk, search_cells, store_cells, vector_topk
 from passagecraft.operators.ranking import filtered_vector_topk
 from passagecraft.sources.tables import read_vectors
@@ -144,3 +147,25 @@ def test_hashed_vectors(spark):
         assert sum(w * w for w in r.vector.weights) == pytest.approx(1 if r.doc_id < 3 else 0)
     best = vector_topk(v, q, 1, keys=("doc_id", "chunk_no"), vector="vector", dim=64).collect()
     assert [(r.query_id, r.doc_id, r.score) for r in best] == [(9, 1, 1.0)]
+
+
+def test_bucket_counts_and_weights_are_counted_by_the_batch(spark):
+    """Against a count by hand, with null, empty and repeated words, in batches of one row and of all."""
+    from collections import Counter
+    from hashlib import md5
+
+    texts = ["Ä b b c", None, "", "b, Ä! ß", "x " * 40, "東京 b"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, chunk string").repartition(2)
+    words = [re.findall(r"[^\W_]+", (t or "").lower()) for t in texts]
+    want = [Counter(int(md5(w.encode()).hexdigest()[:7], 16) % 16 for w in ws) for ws in words]
+    idf = [np.log((len(texts) + 1) / (sum(i in c for c in want) + 1)) + 1 for i in range(16)]
+    for batch in ("1", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        counts = dense.bucket_counts(docs, ["doc_id"], "chunk", 16)
+        assert {r.doc_id: [(x.item, x.n) for x in r._runs] for r in counts.collect()} == {i: sorted(c.items()) for i, c in enumerate(want)}
+        vectors, _ = dense.hash_embed(docs, dim=16, keys=("doc_id",))
+        for r in vectors.collect():
+            raw = np.array([n * idf[i] for i, n in sorted(want[r.doc_id].items())])
+            assert r.vector.indices == sorted(want[r.doc_id])
+            np.testing.assert_allclose(r.vector.weights, raw / np.sqrt((raw**2).sum()) if len(raw) else [])
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

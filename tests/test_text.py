@@ -83,3 +83,12 @@ def test_passages_need_no_shuffle(spark):
     for df in (chunk(_docs(spark, "a b")), chunk_sentences(_docs(spark, "a b"))):
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
         assert df.filter(F.col("chunk").isNull()).count() == 0
+
+
+def test_runs_are_sorted_and_counted_in_place(spark):
+    """By the bytes of items, the length of the array beside them; a null array has no runs and no length."""
+    given = [(0, ["b", "é", "a", "b", "z"]), (1, []), (2, None), (3, ["東", "z", "東"])]
+    df = with_runs(spark.createDataFrame(given, "i int, xs array<string>"), "xs", "runs", "n")
+    got = {r.i: (r.n, [(x.item, x.n) for x in r.runs]) for r in df.collect()}
+    assert got == {0: (5, [("a", 1), ("b", 2), ("z", 1), ("é", 1)]), 1: (0, []), 2: (None, []), 3: (3, [("z", 1), ("東", 2)])}
+    assert df.schema["runs"].dataType.simpleString() == "array<struct<item:string,n:int>>"
