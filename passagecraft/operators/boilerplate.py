@@ -15,7 +15,8 @@ from passagecraft.functions.text import unnest
 
 # Parts that the rows of one text are dealt to, where very many rows may be copies of it.
 COPIES = 8
-PAIR = np.dtype([("a", np.int64), ("b", np.int64)])
+# Bytes of the hash of a line.
+PAIR_BYTES = 16
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -44,15 +45,27 @@ def common_lines(docs: DataFrame, least: int) -> DataFrame:
     return unnest(docs, [], F.transform(bare, _hash), "h").groupBy("h.a", "h.b").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= least)
 
 
-def _marked(batch: pa.RecordBatch, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _among(a: np.ndarray, b: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For pairs of hashes whether they are in ``known``, pairs sorted by ``a``, which are neither copied nor sorted again."""
+    known_a, known_b = known
+    found, at = np.zeros(len(a), bool), np.searchsorted(known_a, a)
+    left = np.arange(len(a))
+    while len(left):
+        left = left[at[left] < len(known_a)]
+        left = left[known_a[at[left]] == a[left]]
+        found[left] |= known_b[at[left]] == b[left]
+        at[left] += 1
+        left = left[~found[left]]
+    return found
+
+
+def _marked(batch: pa.RecordBatch, known: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """For lines of all texts in a row whether they are common, and how many lines each text has."""
     hashed = batch.column(batch.schema.get_field_index("_h"))
     flat = hashed.flatten()
-    pairs = np.zeros(len(flat), PAIR)
-    for name in ("a", "b"):
-        pairs[name] = flat.field(name).fill_null(0).to_numpy(zero_copy_only=False)
+    a, b = (flat.field(name).fill_null(0).to_numpy(zero_copy_only=False) for name in ("a", "b"))
     sizes = hashed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.isin(pairs, known) & flat.is_valid().to_numpy(zero_copy_only=False), sizes
+    return _among(a, b, known) & flat.is_valid().to_numpy(zero_copy_only=False), sizes
 
 
 def _without(text: str, gone: set[int]) -> str:
@@ -86,12 +99,10 @@ def drop_common_lines(docs: DataFrame, least: int, count: str | None = None) ->
     common = stage(common_lines(docs, least).select("a", "b"), "common-lines")
     rows = docs.select("text", F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
     schema = T.StructType([*rows.schema, T.StructField("_n", T.LongType())])
-    if common.count() * PAIR.itemsize <= broadcast_bytes(spark):
+    if common.count() * PAIR_BYTES <= broadcast_bytes(spark):
         table = common.toArrow()
-        known = np.zeros(table.num_rows, PAIR)
-        for name in ("a", "b"):
-            known[name] = table[name].to_numpy()
-        held = spark.sparkContext.broadcast(known)
+        order = np.argsort(table["a"].to_numpy())
+        held = spark.sparkContext.broadcast((table["a"].to_numpy()[order], table["b"].to_numpy()[order]))
         done = rows.withColumn("_h", _hashes()).mapInArrow(lambda b: _rebuilt(b, held), schema)
     else:
         keyed = rows.withColumn("_key", F.sha2(F.col("text"), 256))

@@ -1,9 +1,12 @@
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import rows
 
+from passagecraft.operators import boilerplate
 from passagecraft.operators.boilerplate import drop_common_lines
 
 rng = random.Random(4)
@@ -45,3 +48,18 @@ def test_repeated_rows_and_empty_tables(spark, way):
     got = drop_common_lines(frame, 2)
     assert sorted(str(r.text) for r in got.collect()) == ["", "", "None", "c"] and got.columns == frame.columns
     assert drop_common_lines(frame.limit(0), 2).count() == 0
+
+
+def test_hashes_are_looked_up_without_a_copy_of_the_known_ones():
+    """Pairs that share one hash are told apart, and a lookup takes memory by the batch."""
+    rng = np.random.default_rng(3)
+    known_a, known_b = rng.integers(-(2**62), 2**62, 200_000), rng.integers(0, 5, 200_000)
+    known_a[:6], known_b[:6] = 7, [9, 8, 1, 2, 3, 4]
+    order = np.argsort(known_a)
+    known = known_a[order], known_b[order]
+    a, b = np.array([7, 7, 7, known[0][-1], 2**62, -(2**62)]), np.array([9, 1, 5, known[1][-1], 0, 0])
+    tracemalloc.start()
+    assert boilerplate._among(a, b, known).tolist() == [True, True, False, True, False, False]
+    assert tracemalloc.get_traced_memory()[1] < known[0].nbytes / 10
+    tracemalloc.stop()
+    assert not boilerplate._among(a, b, (known[0][:0], known[1][:0])).any()
