@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -40,7 +39,7 @@ def bm25(
     place and keeps k rows per query, so neither passages nor scores are shuffled.
     """
     by = list(index.by)
-    asked = query_terms(queries, unit)
+    asked = stage(query_terms(queries, unit), "query-terms")
     # The semi-join is moved below the count per term, so only asked terms are shuffled.
     known = index.terms.join(broadcast_if(asked.select("term").distinct()), "term", "left_semi").join(broadcast_if(asked), "term")
     if by:
@@ -52,7 +51,7 @@ def bm25(
     weights = known.select(
         *by, "query_id", "term",
         (F.col("qtf") * F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("_idf"),
-        (words / n).alias("_mean"),
+        (words / n).alias("_mean"), (F.col("df") / n).alias("_share"),
     )
     weights = stage(weights, "query-weights")
     if where is not None:
@@ -73,21 +72,21 @@ def _scored_in_place(index: Index, weights: DataFrame, k: int, k1: float, b: flo
     for variant in sorted(set(zip(*[table[name].to_pylist() for name in by]))) if by else [()]:
         rows = of_variant(table, by, variant)
         if rows.num_rows:
-            columns = [rows[name].combine_chunks() for name in ("query_id", "term", "_idf", "_mean")]
-            variants[variant] = TermWeights(*columns[:2], columns[2].to_numpy(), columns[3][0].as_py())
+            columns = [rows[name].combine_chunks() for name in ("query_id", "term", "_idf", "_mean", "_share")]
+            variants[variant] = TermWeights(*columns[:2], columns[2].to_numpy(), columns[3][0].as_py(), columns[4].to_numpy())
 
     types = {f.name: f.dataType for f in index.passages.schema}
     key_types = [to_arrow_type(types[key]) for key in PASSAGE]
 
     def score(batches):
         best = {v: Best(len(t.ids), k, len(PASSAGE)) for v, t in variants.items()}
+        add = {v: t.scorer(best[v], k1, b) for v, t in variants.items()}
         for batch in batches:
-            for variant, asked in variants.items():
+            for variant in variants:
                 rows = of_variant(pa.Table.from_batches([batch]), by, variant)
-                for part in rows.combine_chunks().to_batches(max_chunksize=asked.rows_at_once):
-                    scores = asked.bm25(part["runs"], part["n_words"].to_numpy(), k1, b)
+                for part in rows.combine_chunks().to_batches():
                     keys = [part[key].to_numpy(zero_copy_only=False) for key in PASSAGE]
-                    best[variant].add(scores, keys, np.arange(len(asked.ids)))
+                    add[variant](part["runs"], part["n_words"].to_numpy(), keys)
         for variant, asked in variants.items():
             found = best[variant].columns(asked.ids, key_types)
             fixed = [pa.array([v] * len(found[0]), kind) for v, kind in zip(variant, kinds)]

@@ -1,5 +1,9 @@
+import numpy as np
+import pyarrow as pa
+import pytest
 from conftest import rows
 
+from passagecraft.functions.kernel import Best, TermWeights
 from passagecraft.operators.ranking import best_per_doc, context, expand, rank_diff, rrf, with_text
 from passagecraft.plans.rag import retrieve
 
@@ -62,3 +66,46 @@ def test_retrieve_japanese(spark):
     asked = spark.createDataFrame([(1, "首都はどこですか"), (2, "高い山")], "query_id long, question string")
     got = {r.query_id: r.context.split("\n\n")[0] for r in retrieve(docs, asked, k=1, unit="pair").collect()}
     assert got == {1: "日本の首都は東京です。", 2: "富士山は高い山です。"}
+
+
+def _weights(n_queries, n_terms, rng):
+    """Queries of eight terms, most of them among the first ones."""
+    rows = {(q, int(t)) for q in range(n_queries) for t in n_terms * rng.random(8) ** 4}
+    q, t = zip(*sorted(rows))
+    share = 0.9 / (1 + np.arange(n_terms))
+    return pa.array(q), pa.array([f"t{i}" for i in t]), rng.random(len(q)) + 0.1, share[list(t)], {r: i for i, r in enumerate(zip(q, t))}
+
+
+@pytest.mark.parametrize("k", [1, 5])
+@pytest.mark.parametrize("dense_share", [0.0, 0.002, 2.0])
+def test_few_pairs_are_scored_in_full(monkeypatch, k, dense_share):
+    """Scores and ties as by hand, though most pairs are left out after a sum in single precision."""
+    monkeypatch.setattr(TermWeights, "DENSE_SHARE", dense_share)
+    monkeypatch.setattr(TermWeights, "TILE_CELLS", 100_000)
+    rng = np.random.default_rng(1)
+    n, queries, n_terms = 3000, 1500, 400
+    query, term, weight, share, place = _weights(queries, n_terms, rng)
+    held = [sorted({int(t) for t in n_terms * rng.random(12) ** 3}) for _ in range(n)]
+    held[-5:] = [held[3]] * 5  # copies tie
+    runs = pa.array([[{"item": f"t{t}", "n": 1 + t % 3} for t in one] for one in held])
+    lengths = np.array([sum(1 + t % 3 for t in one) for one in held])
+    best = Best(queries, k, 1)
+    scored, whole = [], best.add_pairs
+    best.add_pairs = lambda q, scores, *rest: (scored.append(len(scores)), whole(q, scores, *rest))
+    weights = TermWeights(query, term, weight, 20.0, share)
+    weights.scorer(best, 1.2, 0.75)(runs, lengths, [np.arange(n)])
+    assert sum(scored) < 0.1 * n * queries
+    parts, weighed = np.zeros((n, n_terms)), np.zeros((queries, n_terms))
+    for row, one in enumerate(held):
+        for t in one:
+            tf = 1 + t % 3
+            parts[row, t] = tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * lengths[row] / 20.0))
+    for (q, t), i in place.items():
+        weighed[q, t] = weight[i]
+    by_hand = parts @ weighed.T
+    q, key, score = (c.to_numpy() for c in best.columns(weights.ids, [pa.int64()]))
+    by_hand = np.round(by_hand, 6)
+    for one in range(queries):
+        want = [r for r in np.lexsort((np.arange(n), -by_hand[:, one]))[:k] if by_hand[r, one] > 0]
+        assert key[q == one].tolist() == want
+        assert np.allclose(score[q == one], by_hand[want, one], atol=2e-6)
