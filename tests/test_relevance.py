@@ -42,3 +42,27 @@ def test_planted_items(spark, sf, n_items, n_docs):
 
 def _words(text):
     return re.findall(r"[^\W_]+", text.lower())
+
+
+def test_runs_of_documents_that_no_item_holds_are_left_out_where_they_lie(spark):
+    from passagecraft.functions.text import tokens
+    from passagecraft.operators import relevance
+
+    items, docs = (df.withColumn("_t", tokens("text")) for df in _tables(spark))
+    wanted = relevance._grams(items, ["item_id"], 3)
+    assert wanted.count() == 1 + 7 + 0  # "a a a", nine words
+    held = rows(relevance._grams(docs, ["doc_id"], 3, relevance._marks(wanted)), "doc_id", "at")
+    assert held == [(1, 0), (1, 1), *[(2, i) for i in range(1, 8)], *[(3, i) for i in range(6)]]
+
+
+def test_runs_across_slices_and_long_documents(spark, monkeypatch):
+    import pyarrow as pa
+
+    from passagecraft.functions import runs
+
+    lists = pa.array([[], ["a", "b", "a", "b"], None, ["b"], ["a", "b", "c", "a", "b"]])
+    whole = [tuple(map(int, g)) for parts in runs.grams(lists, 2) for g in zip(*parts)]
+    assert [g[:2] for g in whole] == [(1, 0), (1, 1), (1, 2), (4, 0), (4, 1), (4, 2), (4, 3)]
+    assert len({g[2:] for g in whole}) == 4
+    monkeypatch.setattr(runs, "GRAM_TOKENS", 3)
+    assert whole == [tuple(map(int, g)) for parts in runs.grams(lists, 2) for g in zip(*parts)]
