@@ -68,7 +68,7 @@ def grams(column: pa.Array, n: int, bits: np.ndarray | None = None) -> Iterator[
     shift = np.uint64(64 - int(np.log2(8 * len(bits)))) if bits is not None else None
     for low in range(0, len(code), GRAM_TOKENS):
         words, of = known[code[low : low + GRAM_TOKENS + n - 1]], row[low : low + GRAM_TOKENS + n - 1]
-        at = np.flatnonzero(of[n - 1 :] == of[: len(of) - n + 1])
+        at = np.flatnonzero(of[n - 1 :] == of[: max(0, len(of) - n + 1)])
         a = _joined(np.ascontiguousarray(words[:, 0]), at, n, FACTORS[0])
         if bits is not None:
             spot = (a >> shift).astype(np.int64)
