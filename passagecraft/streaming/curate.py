@@ -8,12 +8,13 @@ and not with the age of the corpus.
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from passagecraft.operators.extract import documents
@@ -47,7 +48,11 @@ def _earliest(key: str):
 
 
 def _first_seen(horizon: int):
-    """Keep a key's first row, and its next ones that come more than ``horizon`` milliseconds after the one before."""
+    """Keep a key's first row, and its next ones that come more than ``horizon`` milliseconds after the one before.
+
+    A frame is made for every key and most hold one row, so each is handed on as it came where
+    it can be. ``_packed`` begins with the row's time and id.
+    """
 
     def kept(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -55,15 +60,18 @@ def _first_seen(horizon: int):
             return
         last = state.get[0] if state.exists else None
         # One row for each time, that is for each file read at once, at most.
-        rows: dict[int, pd.DataFrame] = {}
+        rows: dict[int, tuple[bool, int, pd.DataFrame, int]] = {}
         for frame in frames:
-            frame = frame.sort_values(["at", "doc_id"], kind="stable").drop_duplicates("at")
-            for i, at in enumerate(frame["at"].tolist()):
-                if at not in rows or frame["doc_id"].iat[i] < rows[at]["doc_id"].iat[0]:
-                    rows[at] = frame.iloc[i : i + 1]
+            for i, packed in enumerate(frame["_packed"].array):
+                at, doc = math.nan if packed[0] is None else int(packed[0]), packed[1]
+                # A row without an id comes after those with one.
+                order = doc is None, int(doc or 0)
+                if at not in rows or order < rows[at][:2]:
+                    rows[at] = *order, frame, i
         for at in sorted(rows):
             if last is None or at - last > horizon:
-                yield rows[at]
+                frame, i = rows[at][2:]
+                yield frame if len(frame) == 1 else frame.iloc[i : i + 1]
             last = at if last is None else max(last, at)
         if last + horizon > state.getCurrentWatermarkMs():
             state.update((last,))
@@ -82,16 +90,22 @@ def first_in_horizon(rows: DataFrame, key: str, time: str, horizon: int = HORIZO
     past its last row. Rows older than the watermark are left out as too late, so ``delay`` is
     how far out of order files may land; it may not exceed ``horizon``. Null keys are left out.
     Repeats within an Arrow batch are dropped before the shuffle, so a key that holds
-    most rows sends few of them to its task.
+    most rows sends few of them to its task. Python gets a frame for each key, which costs by
+    its columns; so texts and whole numbers go through it as one array of strings.
     """
     if delay > horizon:
         raise ValueError("rows may not come later than keys are remembered")
-    schema = rows.drop("at").schema.simpleString().removeprefix("struct<").removesuffix(">") + ",at bigint"
     timed = rows.filter(F.col(key).isNotNull()).withColumn("at", F.unix_millis(time))
     few = timed.mapInPandas(_earliest(key), timed.schema)
-    marked = few.withWatermark(time, f"{delay} seconds")
-    return marked.groupBy(key).applyInPandasWithState(
-        _first_seen(1000 * horizon), schema.replace(":", " "), "last long", "append", GroupStateTimeout.EventTimeTimeout).drop("at")
+    plain = (T.StringType, T.LongType, T.IntegerType)
+    parts = ["at", "doc_id", *[c for c in rows.columns if c not in (key, time, "at", "doc_id") and type(rows.schema[c].dataType) in plain]]
+    others = [c for c in few.columns if c not in parts]
+    bare = few.select(*others, F.array(*[F.col(c).cast("string") for c in parts]).alias("_packed"))
+    marked = bare.withWatermark(time, f"{delay} seconds")
+    first = marked.groupBy(key).applyInPandasWithState(
+        _first_seen(1000 * horizon), bare.schema, "last long", "append", GroupStateTimeout.EventTimeTimeout)
+    whole = {c: F.col("_packed")[i].cast(few.schema[c].dataType) for i, c in enumerate(parts)}
+    return first.select(*[whole[c].alias(c) if c in whole else c for c in rows.columns if c != "at"])
 
 
 def _run(rows: DataFrame, path: str, checkpoint: str, by: str | None) -> Landed:

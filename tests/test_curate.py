@@ -2,7 +2,10 @@
 
 import os
 import random
+from datetime import datetime, timezone
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import Window, functions as F
@@ -11,7 +14,7 @@ from passagecraft.operators.extract import documents
 from passagecraft.operators.prepare import canonical_address
 from passagecraft.operators.rules import apply_rules
 from passagecraft.sources.tables import read_corpus
-from passagecraft.streaming.curate import stream_curate
+from passagecraft.streaming.curate import _first_seen, first_in_horizon, stream_curate
 
 rng = random.Random(6)
 DAY = 86_400
@@ -123,3 +126,31 @@ def test_nothing_landed(spark, place):
     assert (first.rows_in, second.rows_in) == (1, 0)
     with pytest.raises(ValueError):
         stream_curate(spark, f"{place}/landed", f"{place}/o", f"{place}/s", horizon=1, delay=2)
+
+
+def test_a_key_of_one_row_costs_python_no_new_frame():
+    """The frame of a key is handed on as it came; of several rows of one time the smallest id stays."""
+    held = []
+    state = SimpleNamespace(hasTimedOut=False, exists=False, get=None, getCurrentWatermarkMs=lambda: 0, update=held.append, setTimeoutTimestamp=held.append)
+    one = pd.DataFrame({"key": ["a"], "_packed": [["5", "7", "text"]]})
+    got = list(_first_seen(10)(None, iter([one]), state))
+    assert len(got) == 1 and got[0] is one and held == [(5,), 15]
+    many = pd.DataFrame({"key": ["a"] * 4, "_packed": [["5", None, "w"], ["5", "10", "x"], ["5", "9", "y"], ["30", "1", "z"]]})
+    assert [f["_packed"].iat[0][2] for f in _first_seen(10)(None, iter([many]), state)] == ["y", "z"]
+
+
+def test_rows_come_out_of_the_state_as_they_went_in(spark, place):
+    """Few columns go through Python one key at a time; nulls, whole numbers, times and other types keep their values."""
+    schema = "doc_id long, key string, word string, n int, big long, share double, at_time timestamp"
+    when = datetime(2024, 3, 31, 1, 30, 0, 123456, tzinfo=timezone.utc)
+    data = [(2**53 + 1, "a", 'w "\u0000\n,', -1, -(2**62), 0.1, when), (2, "b", None, None, None, None, when), (3, "c", "", 0, 0, -0.5, when), (4, "a", "x", 1, 1, 1.0, when)]
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{place}/rows")
+    first = first_in_horizon(spark.readStream.schema(schema).parquet(f"{place}/rows"), "key", "at_time")
+    plan = first._jdf.queryExecution().analyzed().toString()
+    assert "_packed" in plan and first.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+    query = first.writeStream.format("parquet").option("path", f"{place}/got").option("checkpointLocation", f"{place}/check").trigger(availableNow=True).start()
+    query.awaitTermination()
+    names = ["doc_id", "key", "word", "n", "big", "share", "at_time"]
+    key = lambda r: r[1]
+    want = sorted([tuple(r) for r in spark.createDataFrame(data[1:], schema).select(*names).collect()], key=key)
+    assert sorted([tuple(r) for r in spark.read.schema(schema).parquet(f"{place}/got").select(*names).collect()], key=key) == want
