@@ -11,6 +11,8 @@ from passagecraft.functions.sizing import broadcast_if, stage
 from passagecraft.functions.text import tokens, unnest, with_runs
 
 PASSAGE = ["doc_id", "chunk_no"]
+# Ranking works long on few bytes, so passages cut by one task are still ranked by many.
+FILE_PASSAGES = 10_000
 
 
 @dataclass
@@ -45,7 +47,7 @@ def build_index(
     are partly summed before terms are shuffled.
     """
     cut = chunks.select(*by, *PASSAGE, *keep, tokens("chunk", unit).alias("_tokens"))
-    passages = stage(with_runs(cut, "_tokens", "runs", "n_words"), "index")
+    passages = stage(with_runs(cut, "_tokens", "runs", "n_words"), "index", FILE_PASSAGES)
     return _counted(passages, by, unit, keep)
 
 

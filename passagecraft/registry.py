@@ -434,10 +434,11 @@ def _qa(spark, d):
 
 
 def _replies(spark, d):
-    """Assistant turns as documents to answer from."""
-    return _turns(spark, d).filter("role = 'assistant'").select(
+    """Assistant turns as documents to answer from, dealt out: a file of one row group would keep one task busy."""
+    replies = _turns(spark, d).filter("role = 'assistant'").select(
         (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("doc_id"), "text"
     )
+    return replies.repartition(3 * spark.sparkContext.defaultParallelism)
 
 
 def _qa_hits(spark, d, k):

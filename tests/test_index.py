@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from passagecraft.functions.sizing import split_join
 from passagecraft.functions import sizing
+from passagecraft.operators import index as index_module
 from passagecraft.operators.chunk import chunk
 from passagecraft.operators.index import build_index, changes, load_index, save_index, update_index
 from passagecraft.operators.lexical import bm25
 from passagecraft.operators.ranking import filtered_topk
+from passagecraft.registry import _replies
 
 TEXTS = ["the cat sat on the mat", "the dog sat", "a cat and a dog and a cat", "the the the", "", "zebra"]
 
@@ -82,6 +84,26 @@ def test_saved_index_is_scored_without_moving_passages(spark, tmp_path):
     assert plan.count("Exchange") == 2 and "WindowGroupLimit" in plan
 
 
+def test_passages_cut_by_one_task_are_ranked_by_many(spark, monkeypatch):
+    monkeypatch.setattr(index_module, "FILE_PASSAGES", 2)
+    index = build_index(chunk(_docs(spark).coalesce(1)))
+    assert len(index.passages.inputFiles()) == 3
+    _check(spark, bm25(index, _queries(spark), 10))
+
+
+def test_replies_of_one_file_are_cut_by_many_tasks(spark, tmp_path):
+    turns = [(i, 0, "assistant" if i % 2 else "user", f"text {i}") for i in range(100)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(
+        f"{tmp_path}/conversations.parquet")
+    dealt = spark.conf.get("spark.passagecraft.readPartitions")
+    spark.conf.set("spark.passagecraft.readPartitions", "0")
+    try:
+        held = _replies(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.passagecraft.readPartitions", dealt)
+    assert len(held) > 4 and sum(r["count"] for r in held) == 50
+
+
 def test_string_document_ids(spark, one_query_a_block):
     docs = _docs(spark).withColumn("doc_id", F.concat(F.lit("d-"), "doc_id"))
     hits = bm25(build_index(chunk(docs)), _queries(spark), 10)
